@@ -37,8 +37,14 @@ def strict_date(ymd: Column) -> Column:
 
 
 def lenient_date(stamp: Column) -> Column:
-    """First eight digits of a number or text as a date; NULL when invalid."""
-    return F.try_to_date(F.substring(stamp.cast("string"), 1, 8), "yyyyMMdd")
+    """First eight digits of a number or text as a date; NULL when invalid or before year 2.
+
+    A cast from ISO text: a format-based parse would raise and catch an error per bad row.
+    """
+    text = stamp.cast("string")
+    year = F.substring(text, 1, 4)
+    iso = F.concat_ws("-", year, F.substring(text, 5, 2), F.substring(text, 7, 2))
+    return F.when(year > "0001", iso.try_cast("date"))
 
 
 def date_parts(day: Column) -> list[Column]:

@@ -6,8 +6,9 @@ bounds each batch by bytes (``spark.sql.execution.arrow.maxBytesPerBatch``).
 Everything derived from its result is built-in expressions.
 """
 
+import re
 from collections.abc import Callable, Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
@@ -18,11 +19,26 @@ BLOCK_TAGS = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav "
     "ol option p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
-# Elements whose text is never shown, and elements around an article.
-HIDDEN_TAGS = frozenset("script style noscript template textarea".split())
+# Elements with raw text, elements whose text is not shown, elements around
+# an article, and elements that hold one.
+RAW_TAGS = frozenset("script style textarea title".split())
+HIDDEN_TAGS = frozenset("noscript template".split())
 CHROME_TAGS = frozenset("nav footer aside".split())
 CONTENT_TAGS = frozenset("article main".split())
 
+# A comment opening, a tag, or markup to skip. A quote counts only after "=", and every
+# loop is possessive, so the scan is linear in the page even where tags are left open.
+_TOKEN = re.compile(
+    r"""<(?:(!--)
+        |(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(?:>|\Z)
+        |[!?/][^>]*+>?)""",
+    re.VERBOSE,
+)
+_ATTRIBUTE = re.compile(
+    r"""([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+"""
+)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW_TAGS}
+
 PARTS = ("links", "meta", "blocks")
 _DDL = {
     "links": "array<string>",
@@ -45,25 +61,32 @@ _ARROW = {
 }
 
 
-class PageReader(HTMLParser):
-    """Collects hrefs, metadata and text blocks in document order."""
+def _attributes(source: str) -> dict[str, str]:
+    """Attributes of a tag with entities decoded; the first of a name wins."""
+    found: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(source):
+        found.setdefault(name.lower(), unescape(double or single or bare))
+    return found
+
+
+class PageReader:
+    """Collects hrefs, metadata and text blocks of one page in document order."""
 
     def __init__(self, with_blocks: bool) -> None:
-        super().__init__(convert_charrefs=True)
         self.links: list[str] = []
         self.meta: dict[str, dict[str, str]] = {}
         self.blocks: list[dict] = []
         self._with_blocks = with_blocks
-        self._title: list[str] | None = None
-        self._hidden = self._chrome = self._anchor = 0
+        self._hidden = self._chrome = 0
+        self._in_link = False
         self._pieces: list[str] = []
-        self._words = self._link_words = 0
+        self._link_words = 0
 
     def _put(self, group: str, key: str, value: str | None) -> None:
         if key and value:
             self.meta.setdefault(group, {}).setdefault(key, value)
 
-    def _read_meta(self, attrs: dict[str, str | None]) -> None:
+    def _read_meta(self, attrs: dict[str, str]) -> None:
         self._put("meta", "charset", attrs.get("charset"))
         name = attrs.get("property") or attrs.get("name") or attrs.get("http-equiv") or ""
         lowered = name.lower()
@@ -72,75 +95,74 @@ class PageReader(HTMLParser):
                 return self._put(group, lowered[len(prefix) :], attrs.get("content"))
         self._put("meta", lowered, attrs.get("content"))
 
+    def _text(self, text: str) -> None:
+        if text and not self._hidden:
+            text = unescape(text)
+            self._pieces.append(text)
+            if self._in_link:
+                self._link_words += len(text.split())
+
     def _end_block(self) -> None:
-        text = " ".join("".join(self._pieces).split())
-        if text:
+        words = "".join(self._pieces).split()
+        if words:
             self.blocks.append(
                 {
-                    "text": text,
-                    "words": len(text.split(" ")),
+                    "text": " ".join(words),
+                    "words": len(words),
                     "link_words": self._link_words,
                     "chrome": self._chrome > 0,
                 }
             )
         self._pieces, self._link_words = [], 0
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag == "a":
-            href = next((v for k, v in attrs if k == "href"), None)
-            if href is not None:
-                self.links.append(href)
-            self._anchor = 1
-        elif tag == "meta":
-            self._read_meta(dict(reversed(attrs)))
-        elif tag == "link":
-            found = dict(reversed(attrs))
-            if (found.get("rel") or "").lower() == "canonical":
-                self._put("page", "canonical", found.get("href"))
-        elif tag == "title":
-            self._title = []
-        if self._with_blocks:
-            if tag in BLOCK_TAGS:
-                self._end_block()
-            if tag in HIDDEN_TAGS:
-                self._hidden += 1
-            elif tag in CHROME_TAGS:
-                self._chrome += 1
-            elif tag in CONTENT_TAGS:
-                self._chrome = 0
-
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        # ``<a/>`` and the like open an element in HTML; only script-like tags must not.
-        if tag not in HIDDEN_TAGS:
-            self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag == "a":
-            self._anchor = 0
-        elif tag == "title" and self._title is not None:
-            self._put("page", "title", "".join(self._title))
-            self._title = None
-        if self._with_blocks:
-            if tag in BLOCK_TAGS:
-                self._end_block()
-            if tag in HIDDEN_TAGS:
-                self._hidden = max(0, self._hidden - 1)
-            elif tag in CHROME_TAGS:
-                self._chrome = max(0, self._chrome - 1)
-
-    def handle_data(self, data: str) -> None:
-        if self._title is not None:
-            self._title.append(data)
-        elif self._with_blocks and not self._hidden:
-            self._pieces.append(data)
-            if self._anchor:
-                self._link_words += len(data.split())
-
-    def finish(self) -> None:
-        self.close()
-        if self._title is not None:
-            self._put("page", "title", "".join(self._title))
+    def _structure(self, tag: str, opens: bool) -> None:
+        step = 1 if opens else -1
+        if tag in BLOCK_TAGS:
+            self._end_block()
+        if tag in HIDDEN_TAGS:
+            self._hidden = max(0, self._hidden + step)
+        elif tag in CHROME_TAGS:
+            self._chrome = max(0, self._chrome + step)
+        elif tag in CONTENT_TAGS and opens:
+            self._chrome = 0
+
+    def read(self, html: str) -> None:
+        at, end = 0, html.rfind(">") + 1
+        while (token := _TOKEN.search(html, at, end)) is not None:
+            if self._with_blocks:
+                self._text(html[at : token.start()])
+            at = token.end()
+            comment, closing, name, source = token.groups()
+            if comment:
+                close = html.find("-->", token.start() + 2)
+                at = close + 3 if close >= 0 else len(html)
+            if not name:
+                continue
+            tag = name.lower()
+            if self._with_blocks:
+                self._structure(tag, not closing)
+            if tag == "a":
+                self._in_link = not closing
+            if closing:
+                continue
+            if tag == "a":
+                href = _attributes(source).get("href")
+                if href is not None:
+                    self.links.append(href)
+            elif tag == "meta":
+                self._read_meta(_attributes(source))
+            elif tag == "link":
+                attrs = _attributes(source)
+                if attrs.get("rel", "").lower() == "canonical":
+                    self._put("page", "canonical", attrs.get("href"))
+            elif tag in RAW_TAGS and not source.endswith("/"):
+                close = _RAW_END[tag].search(html, at)
+                stop = close.start() if close else len(html)
+                if tag == "title":
+                    self._put("page", "title", unescape(html[at:stop]))
+                at = stop
         if self._with_blocks:
+            self._text(html[at:])
             self._end_block()
 
 
@@ -149,8 +171,7 @@ def read_page(html: str | None, parts: tuple[str, ...] = PARTS) -> dict | None:
     if html is None:
         return None
     reader = PageReader("blocks" in parts)
-    reader.feed(html)
-    reader.finish()
+    reader.read(html)
     found = {
         "links": reader.links,
         "meta": [(group, list(pairs.items())) for group, pairs in reader.meta.items()],

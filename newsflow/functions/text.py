@@ -21,29 +21,32 @@ def has_text(text: Column) -> Column:
 
 
 def unicode_escape(text: Column) -> Column:
-    r"""Backslash escapes for everything outside printable ASCII: ``\t \xe9 日 \U0001f600``.
+    r"""Backslash escapes for everything outside printable ASCII: ``\t \xe9 \u65e5 \U0001f600``.
 
-    Texts without such a character skip the per-character work.
+    The text is cut into runs of plain characters and single other ones, so work per
+    element is done only for characters that need an escape.
     """
 
     def padded_hex(code: Column, width: int) -> Column:
         return F.lpad(F.lower(F.hex(code)), width, "0")
 
-    def escape(char: Column) -> Column:
+    def escape_one(char: Column) -> Column:
         return bind(
             F.ascii(char),
             lambda code: F.when(char == "\\", F.lit("\\\\"))
             .when(char == "\t", F.lit("\\t"))
             .when(char == "\n", F.lit("\\n"))
             .when(char == "\r", F.lit("\\r"))
-            .when(code.between(32, 126), char)
             .when(code < 256, F.concat(F.lit("\\x"), padded_hex(code, 2)))
             .when(code < 65536, F.concat(F.lit("\\u"), padded_hex(code, 4)))
             .otherwise(F.concat(F.lit("\\U"), padded_hex(code, 8))),
         )
 
-    escaped = F.array_join(F.transform(F.split(text, ""), escape), "")
-    return F.when(text.rlike(r"[^ -\[\]-~]"), escaped).otherwise(text)
+    def escape(run: Column) -> Column:
+        return F.when((run >= " ") & (run < "\x7f") & (run != "\\"), run).otherwise(escape_one(run))
+
+    runs = F.regexp_extract_all(text, F.lit(r"[ -\[\]-~]+|[^ -\[\]-~]"), F.lit(0))
+    return F.array_join(F.transform(runs, escape), "")
 
 
 def null_to_empty(df: DataFrame) -> DataFrame:

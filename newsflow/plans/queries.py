@@ -75,7 +75,7 @@ def monthly_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.monthly_whitelisted(inputs.event_stats(spark, sf_dir), EVENT_WHITELIST, path)
     months = "year int, month int"
     schema = T.StructType.fromDDL(f"{' '.join(schemas.ARTICLE_STATS_DDL.split())}, day int, {months}")
-    stored = spark.read.options(**extracts.STATS_OPTIONS).schema(schema).csv(path)
+    stored = spark.read.options(**extracts.STATS_READ_OPTIONS).schema(schema).csv(path)
     return stored.select("url", "eventid", "gkgid", "keywords", "description", "year", "month", "day")
 
 

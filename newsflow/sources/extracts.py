@@ -8,6 +8,8 @@ from newsflow.functions.dates import batch_digits
 # Feed files have no quoting: a leading quote is data, or rows would be merged.
 _FEED_OPTIONS = {"sep": "\t", "quote": "", "header": "false"}
 STATS_OPTIONS = {"sep": "\t", "quote": '"', "escape": '"', "header": "true"}
+# With the default null text (''), a quoted empty field would be read as NULL as well.
+STATS_READ_OPTIONS = {**STATS_OPTIONS, "nullValue": "\x00"}
 
 
 def _read_feed(
@@ -82,4 +84,4 @@ def parse_lines(lines: DataFrame, line: str, schema: T.StructType, *keep: Column
 
 def read_article_stats(spark: SparkSession, paths: str | list[str], **options: str) -> DataFrame:
     """Article statistics files: tab separated with a header, plain or gzip."""
-    return spark.read.options(**STATS_OPTIONS, **options).schema(schemas.ARTICLE_STATS).csv(paths)
+    return spark.read.options(**STATS_READ_OPTIONS, **options).schema(schemas.ARTICLE_STATS).csv(paths)

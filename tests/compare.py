@@ -27,8 +27,7 @@ def _normal(table: pa.Table) -> tuple[dict[str, str], list[tuple]]:
 
 def differences(found: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     spark_types, spark_rows = _normal(found.toArrow())
-    result = connection.execute(sql).arrow()
-    duck_types, duck_rows = _normal(result.read_all() if hasattr(result, "read_all") else result)
+    duck_types, duck_rows = _normal(connection.execute(sql).to_arrow_table())
     problems = []
     if spark_types != duck_types:
         problems.append(f"types {spark_types} != {duck_types}")
