@@ -5,6 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, functions as F
 
 
+EMPTY_COUNTS_SQL = "cast(map() as map<string,bigint>)"
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it several times in ``body``.
 
@@ -41,5 +44,5 @@ def value_counts(values: Column) -> Column:
         )
 
     kept = F.array_sort(F.filter(values, lambda v: v.isNotNull() & (v != "")))
-    empty = F.expr("cast(map() as map<string,bigint>)")
+    empty = F.expr(EMPTY_COUNTS_SQL)
     return bind(kept, lambda a: F.when(F.size(a) == 0, empty).otherwise(count_runs(a)))

@@ -27,13 +27,21 @@ def batch_ts(digits: Column) -> Column:
 
 
 def batch_label(ts: Column) -> Column:
-    """The ``YYYYMMDDHHMMSS`` label of a batch timestamp."""
-    return F.date_format(ts, "yyyyMMddHHmmss")
+    """The ``YYYYMMDDHHMMSS`` label of a batch timestamp (no detour over a time zone)."""
+    return F.translate(F.substring(ts.cast("string"), 1, 19), "-: ", "")
+
+
+def _iso(stamp: Column) -> Column:
+    text = stamp.cast("string")
+    dash = F.lit("-")
+    return F.concat(
+        F.substring(text, 1, 4), dash, F.substring(text, 5, 2), dash, F.substring(text, 7, 2)
+    )
 
 
 def strict_date(ymd: Column) -> Column:
     """``YYYYMMDD`` as a date; under ANSI mode (the default) a bad value fails the job."""
-    return F.to_date(ymd.cast("string"), "yyyyMMdd")
+    return F.when(F.length(ymd.cast("string")) > 8, F.lit("")).otherwise(_iso(ymd)).cast("date")
 
 
 def lenient_date(stamp: Column) -> Column:
@@ -41,10 +49,7 @@ def lenient_date(stamp: Column) -> Column:
 
     A cast from ISO text: a format-based parse would raise and catch an error per bad row.
     """
-    text = stamp.cast("string")
-    year = F.substring(text, 1, 4)
-    iso = F.concat_ws("-", year, F.substring(text, 5, 2), F.substring(text, 7, 2))
-    return F.when(year > "0001", iso.try_cast("date"))
+    return F.when(F.substring(stamp.cast("string"), 1, 4) > "0001", _iso(stamp).try_cast("date"))
 
 
 def date_parts(day: Column) -> list[Column]:

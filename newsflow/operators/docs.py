@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, functions as F
 from newsflow import schemas
 from newsflow.functions.text import null_to_empty
 from newsflow.functions.urls import article_key
+from newsflow.operators.pages import page_fields
+from newsflow.operators.stats import OK_STATUS
 
 _KEYS = ["ymd", "article_id"]
 
@@ -23,6 +25,19 @@ def search_docs(stats: DataFrame, articles: DataFrame) -> DataFrame:
     return joined.select(*schemas.SEARCH_DOC_COLUMNS)
 
 
+def page_docs(parsed: DataFrame) -> DataFrame:
+    """The same documents straight from parsed pages: text and fields share a row, no join."""
+    fields = page_fields(F.col("meta"))
+    return parsed.where(F.col("status") == OK_STATUS).select(
+        fields["title"].alias("title"),
+        F.col("ymd").alias("accessdate"),
+        F.col("text").alias("article"),
+        *[fields[name].alias(name) for name in ("author", "keywords", "description")],
+        "eventid",
+        F.coalesce("gkgid", F.lit("")).alias("gkgid"),
+    )
+
+
 def unseen(new: DataFrame, landed: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key has not landed yet."""
     return new.join(landed.select(*keys), keys, "left_anti")

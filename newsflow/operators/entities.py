@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from newsflow import schemas
 from newsflow.functions.dates import date_parts, lenient_date
 from newsflow.functions.text import null_to_empty, readable_locations
-from newsflow.operators.skew import salted_join, scatter_missing
+from newsflow.operators.skew import hot_keys, salted_join, scatter_missing
 
 _CLASHING = ("year", "month", "day")
 
@@ -39,4 +39,6 @@ def article_entities(
     )
     if hot_rows is None:
         return left.join(right, "_key", how).drop("_key")
-    return salted_join(left, right, ["_key"], how, hot_rows).drop("_key")
+    with_id = articles.select(F.col("gkgid").alias("_key")).where(F.col("_key") != "")
+    hot = hot_keys(with_id, ["_key"], hot_rows)
+    return salted_join(left, right, ["_key"], how, hot=hot).drop("_key")

@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsflow import schemas
-from newsflow.functions.arrays import bind, value_counts
+from newsflow.functions.arrays import EMPTY_COUNTS_SQL, bind, value_counts
 from newsflow.functions.html import first_of, page_parser
 from newsflow.functions.text import clean_text, plain_spaces
 from newsflow.functions.urls import article_key, base_domain, is_absolute, resolve_root_links
@@ -181,23 +181,23 @@ def article_stats(parsed: DataFrame) -> DataFrame:
 
 
 def rebuild_domains(stats: DataFrame, link_lists: DataFrame) -> DataFrame:
-    """Link-domain counts from stored links: statistics left-joined with links.
+    """Link-domain counts from stored links: statistics left-joined with counts.
 
-    A page without a links row has an empty map.
+    Links are counted before the join, so the shuffle carries one small map per page and
+    no link lists. A page without a links row has an empty map.
     """
     keyed = stats.select(
         "url",
         F.col("accessdate").alias("ymd"),
         article_key(F.col("eventid"), F.col("gkgid")).alias("article_id"),
     )
-    joined = keyed.join(link_lists.select("article_id", "ymd", "links"), ["ymd", "article_id"], "left")
-    counted = domain_counts(F.coalesce("links", F.array().cast("array<string>")))
-    return joined.select(
+    counted = link_lists.select("ymd", "article_id", domain_counts(F.col("links")).alias("domains"))
+    return keyed.join(counted, ["ymd", "article_id"], "left").select(
         "article_id",
         "ymd",
         "url",
         base_domain(F.col("url")).alias("basedomain"),
-        counted.alias("domains"),
+        F.coalesce("domains", F.expr(EMPTY_COUNTS_SQL)).alias("domains"),
     )
 
 

@@ -23,8 +23,12 @@ def scatter_missing(key: Column, *spread: Column) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
-    """Keys with at least ``min_rows`` rows: at most rows / min_rows of them, by arithmetic."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_rows).drop("n")
+    """Keys with at least ``min_rows`` rows: at most rows / min_rows of them, by arithmetic.
+
+    Only the key columns are scanned, and counts are combined before the shuffle.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.where(F.col("_n") >= min_rows).drop("_n")
 
 
 def salted_join(
@@ -34,14 +38,18 @@ def salted_join(
     how: str = "left",
     min_rows: int = 5_000_000,
     salts: int = 64,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join that splits the hot keys of ``left`` into ``salts`` parts.
 
     Only right rows under a hot key are repeated (``salts`` times); all other rows take
     salt 0. ``how`` is inner, left, left_semi or left_anti. NULL keys match nothing.
+    ``hot`` takes hot keys found elsewhere, where ``left`` is costly to compute.
     """
+    if hot is None:
+        hot = hot_keys(left, keys, min_rows)
     # Bounded by arithmetic: a trillion rows hold at most 200,000 keys of five million rows.
-    hot = F.broadcast(hot_keys(left, keys, min_rows).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     salted_left = left.join(hot, keys, "left").withColumn(
         "_salt", F.when(F.col("_hot"), spread).otherwise(0)

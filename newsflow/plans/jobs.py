@@ -36,23 +36,26 @@ def land_archives(spark: SparkSession, paths: str | list[str], out: str, runs: s
 
     Broken archives are counted in the run log and skipped.
     """
-    unpacked = archives.read_zip_lines(spark, paths)
-    read = unpacked.withColumns(
-        {
-            "batch": batch_digits(F.col("file_name")),
-            "kind": F.get(F.split("file_name", r"\."), F.lit(1)),
-        }
-    )
     found = {}
     for kind, name, schema in (
         ("export", "events", schemas.EVENTS),
         ("gkg", "gkg", schemas.ENTITIES),
     ):
-        lines = read.where((F.col("kind") == kind) & F.col("line").isNotNull())
-        parsed = extracts.parse_lines(lines, "line", schema, "batch")
+        # Chosen by archive name, so each archive is opened for one of the two only.
+        lines = archives.read_zip_lines(spark, paths, pathGlobFilter=f"*.{kind}.*")
+        batch = batch_digits(F.col("file_name")).alias("batch")
+        parsed = extracts.parse_lines(lines, "line", schema, batch, "error")
+
+        def land(df: DataFrame, name: str = name) -> None:
+            land_extract(df.where(F.col("error").isNull()).drop("error"), f"{out}/{name}")
+
         found[name] = write_observed(
-            parsed, lambda df, name=name: land_extract(df, f"{out}/{name}"), runs, f"land {name}",
+            parsed,
+            land,
+            runs,
+            f"land {name}",
             bad_lines=F.count(schemas.CORRUPT),
+            bad_archives=F.count("error"),
         )
     return found
 
@@ -88,7 +91,7 @@ def process_pages(fetched: DataFrame, out: str, run: str, runs: str, absolute_on
     ok = F.col("status") == stats.OK_STATUS
     found = write_observed(
         parsed,
-        lambda df: write_dated(df, f"{out}/parsed", BY_RUN),
+        lambda df: write_dated(df, f"{out}/parsed", BY_RUN, rebalance=False),
         runs,
         f"pages {run}",
         n_fetched=F.sum(ok.cast("int")),
@@ -107,7 +110,7 @@ def process_pages(fetched: DataFrame, out: str, run: str, runs: str, absolute_on
         "article_stats": pages.article_stats(stored).withColumn("ymd", F.col("accessdate")),
     }
     for name, table in tables.items():
-        write_dated(table.withColumn("run", F.lit(run)), f"{out}/{name}", BY_RUN)
+        write_dated(table.withColumn("run", F.lit(run)), f"{out}/{name}", BY_RUN, rebalance=False)
     return found
 
 

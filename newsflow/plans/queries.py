@@ -8,17 +8,17 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from newsflow import schemas
-from newsflow.functions import arrays, dates, html, text as texts, urls
+from newsflow.functions import dates, html, text as texts, urls
 from newsflow.operators import docs, entities, manifest, merge, pages, stats
 from newsflow.plans import inputs, jobs
 from newsflow.plans.inputs import table, text
 from newsflow.plans.session import working_folder
 from newsflow.sinks import files, search
 from newsflow.sinks.tables import add_partitions, write_dated
-from newsflow.sources import archives, articles as article_files, extracts, layout, lists
+from newsflow.sources import archives, extracts, layout, lists
 from newsflow.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -16,15 +16,17 @@ def write_dated(
     path: str,
     by: tuple[str, ...] = ("year", "month", "ymd"),
     mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> None:
     """Write a Parquet table laid out by date; ``overwrite`` replaces only the days in ``df``.
 
     The rebalance hint lets adaptive execution merge small days into few files and split
-    a hot day over many tasks, whatever share of the rows it holds.
+    a hot day over many tasks, whatever share of the rows it holds. It costs a shuffle:
+    leave it out for wide rows whose tasks hold one or two days anyway.
     """
+    laid_out = df.hint("rebalance", *[F.col(c) for c in by]) if rebalance else df
     (
-        df.hint("rebalance", *[F.col(c) for c in by])
-        .write.mode(mode)
+        laid_out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)
