@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,11 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **extra: str) -
     return session
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="newsflow-")
+
+
 def working_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder that ``spark.checkpoint.dir`` names.
 
@@ -42,6 +48,5 @@ def working_folder(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="newsflow-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/newsflow/{name}-{uuid.uuid4().hex}"

@@ -79,7 +79,8 @@ def parse_lines(lines: DataFrame, line: str, schema: T.StructType, *keep: Column
         ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.with_corrupt(schema)),
         {"sep": "\t", "quote": "", "columnNameOfCorruptRecord": schemas.CORRUPT},
     )
-    return lines.select(*keep, record.alias("record")).select(*keep, "record.*")
+    parsed = lines.select(*keep, record.alias("record"))
+    return parsed.select(*[c for c in parsed.columns if c != "record"], "record.*")
 
 
 def read_article_stats(spark: SparkSession, paths: str | list[str], **options: str) -> DataFrame:

@@ -27,7 +27,7 @@ def _normal(table: pa.Table) -> tuple[dict[str, str], list[tuple]]:
 
 def differences(found: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     spark_types, spark_rows = _normal(found.toArrow())
-    duck_types, duck_rows = _normal(connection.execute(sql).to_arrow_table())
+    duck_types, duck_rows = _normal(connection.sql(sql).to_arrow_table())
     problems = []
     if spark_types != duck_types:
         problems.append(f"types {spark_types} != {duck_types}")
