@@ -45,4 +45,6 @@ def value_counts(values: Column) -> Column:
 
     kept = F.array_sort(F.filter(values, lambda v: v.isNotNull() & (v != "")))
     empty = F.expr(EMPTY_COUNTS_SQL)
-    return bind(kept, lambda a: F.when(F.size(a) == 0, empty).otherwise(count_runs(a)))
+    return bind(
+        kept, lambda a: F.when(F.size(a) > 0, count_runs(a)).when(a.isNotNull(), empty)
+    )

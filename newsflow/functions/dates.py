@@ -64,10 +64,11 @@ def month_label(month: Column) -> Column:
 
 def partition_columns(day: Column) -> list[Column]:
     """The ``year``/``month``/``ymd`` text columns by which tables are laid out."""
+    text = day.cast("string")
     return [
-        F.date_format(day, "yyyy").alias("year"),
-        F.date_format(day, "MM").alias("month"),
-        F.date_format(day, "yyyyMMdd").alias("ymd"),
+        F.substring(text, 1, 4).alias("year"),
+        F.substring(text, 6, 2).alias("month"),
+        F.replace(text, F.lit("-"), F.lit("")).alias("ymd"),
     ]
 
 

@@ -6,13 +6,15 @@ from newsflow.functions.arrays import bind
 
 
 def clean_text(text: Column) -> Column:
-    """Tabs and line breaks become blanks."""
-    return F.translate(text, "\n\r\t", "   ")
+    """Tabs and line breaks become blanks. (``replace`` scans bytes; ``translate`` is slower.)"""
+    for char in "\n\r\t":
+        text = F.replace(text, F.lit(char), F.lit(" "))
+    return text
 
 
 def plain_spaces(text: Column) -> Column:
     """Non-breaking blanks become blanks."""
-    return F.translate(text, "\u00a0", " ")
+    return F.replace(text, F.lit("\u00a0"), F.lit(" "))
 
 
 def has_text(text: Column) -> Column:

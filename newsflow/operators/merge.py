@@ -19,9 +19,8 @@ def event_order(batch: Column, record_id: Column) -> Column:
 def entity_order(batch: Column, record_id: Column) -> Column:
     """Batch, then the sequence number inside the id (10 comes after 2), then the text."""
     number = F.nullif(F.regexp_extract(record_id, _NUMBERED_ID, 2), F.lit("")).cast("bigint")
-    return F.struct(
-        batch, F.regexp_extract(record_id, _NUMBERED_ID, 1), F.coalesce(number, F.lit(-1)), record_id
-    )
+    translated = F.regexp_extract(record_id, _NUMBERED_ID, 1)
+    return F.struct(batch, translated, F.coalesce(number, F.lit(-1)), record_id)
 
 
 def latest_per_url(pairs: DataFrame, order: Column, alias: str, *extra: Column) -> DataFrame:

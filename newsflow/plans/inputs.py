@@ -19,9 +19,14 @@ def text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
+def event_url() -> Column:
+    """The article URL of an ``events`` row: one site per event type, one page per user."""
+    return text("http://", F.col("event_type"), ".example/", F.col("user_id"))
+
+
 def event_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article statistics from ``events``: errors were not fetched, sign-ups have no record id."""
-    url = text("http://", F.col("event_type"), ".example/", F.col("user_id"))
+    url = event_url()
     return table(spark, sf_dir, "events").select(
         url.alias("url"),
         base_domain(url).alias("domain"),

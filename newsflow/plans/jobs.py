@@ -63,14 +63,15 @@ def land_archives(spark: SparkSession, paths: str | list[str], out: str, runs: s
 def merge_day(events: DataFrame, records: DataFrame, ymd: str) -> DataFrame:
     """``(url, eventid, gkgid)`` of one landed day; both tables are pruned to that day."""
     check_ymd(ymd)
-    columns = {"events": (schemas.EVENT_ID, schemas.EVENT_URL), "gkg": (schemas.ENTITY_ID, schemas.ENTITY_URL)}
-    day_events, day_records = (
-        layout.in_range(df, ymd, ymd).select(
-            F.col(columns[name][0]).alias("id"), F.col(columns[name][1]).alias("url"), "batch"
-        )
-        for name, df in (("events", events), ("gkg", records))
+
+    def pairs(df: DataFrame, record_id: str, url: str) -> DataFrame:
+        day = layout.in_range(df, ymd, ymd)
+        return day.select(F.col(record_id).alias("id"), F.col(url).alias("url"), "batch")
+
+    return merge.merge_url_ids(
+        pairs(events, schemas.EVENT_ID, schemas.EVENT_URL),
+        pairs(records, schemas.ENTITY_ID, schemas.ENTITY_URL),
     )
-    return merge.merge_url_ids(day_events, day_records)
 
 
 def day_is_complete(landed: DataFrame, ymd: str) -> DataFrame:
@@ -79,7 +80,9 @@ def day_is_complete(landed: DataFrame, ymd: str) -> DataFrame:
     return manifest.completeness(wanted)
 
 
-def process_pages(fetched: DataFrame, out: str, run: str, runs: str, absolute_only: bool = True) -> dict:
+def process_pages(
+    fetched: DataFrame, out: str, run: str, runs: str, absolute_only: bool = True
+) -> dict:
     """Parse pages once and write the five page tables of a run.
 
     The parsed rows are written first and read back: the tables are then column

@@ -73,10 +73,11 @@ def monthly_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitelisted articles written to one directory per month, read back."""
     path = working_folder(spark, "monthly_articles")
     jobs.monthly_whitelisted(inputs.event_stats(spark, sf_dir), EVENT_WHITELIST, path)
-    months = "year int, month int"
-    schema = T.StructType.fromDDL(f"{' '.join(schemas.ARTICLE_STATS_DDL.split())}, day int, {months}")
+    schema = f"{schemas.ARTICLE_STATS_DDL}, day int, year int, month int"
     stored = spark.read.options(**extracts.STATS_READ_OPTIONS).schema(schema).csv(path)
-    return stored.select("url", "eventid", "gkgid", "keywords", "description", "year", "month", "day")
+    return stored.select(
+        "url", "eventid", "gkgid", "keywords", "description", "year", "month", "day"
+    )
 
 
 @query
@@ -175,7 +176,8 @@ def valid_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = table(spark, sf_dir, "orders").select(
         "o_orderkey", dates.lenient_date(stamp).alias("day")
     )
-    return dated.where(F.col("day").isNotNull()).select("o_orderkey", *dates.date_parts(F.col("day")))
+    valid = dated.where(F.col("day").isNotNull())
+    return valid.select("o_orderkey", *dates.date_parts(F.col("day")))
 
 
 @query
@@ -201,10 +203,14 @@ def url_ids_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def url_ids_merge_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roles of the two tables swapped, and URLs of both sides kept."""
     orders, events = inputs.customer_pairs(spark, sf_dir)
-    return merge.merge_url_ids(events.select(F.substring_index("id", "-", -1).cast("bigint").alias("id"), "url", "batch"),
-                               orders.select(text(F.col("batch"), "-", F.col("id")).alias("id"), "url", "batch"),
-                               how="outer")
+    number = F.substring_index("id", "-", -1).cast("bigint")
+    return merge.merge_url_ids(
+        events.withColumn("id", number),
+        orders.withColumn("id", text(F.col("batch"), "-", F.col("id"))),
+        how="outer",
+    )
 
 
 def _flagged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,7 +358,9 @@ def rebuilt_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType.fromDDL("article_id string, links array<string>, ymd string")
     stored = layout.in_range(spark.read.schema(schema).parquet(f"{path}/links"), "20240101")
     rebuilt = pages.rebuild_domains(article_stats, stored)
-    return rebuilt.select("article_id", "url", "basedomain", F.explode_outer("domains").alias("domain", "n_links"))
+    return rebuilt.select(
+        "article_id", "url", "basedomain", F.explode_outer("domains").alias("domain", "n_links")
+    )
 
 
 @query
@@ -383,14 +391,21 @@ def page_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole page job: parse once, write five tables, read three of them back."""
     path = working_folder(spark, "page_job")
     jobs.process_pages(inputs.fetched_pages(spark, sf_dir), path, "r1", f"{path}/runs", False)
-    text_ymd = "ymd string, run string"
-    stored = spark.read.schema(f"article_id string, {text_ymd}").parquet(f"{path}/articles")
-    links = spark.read.schema(f"article_id string, links array<string>, {text_ymd}").parquet(f"{path}/page_links")
-    meta = spark.read.schema(f"article_id string, meta {schemas.HTML_META_DDL}, {text_ymd}").parquet(f"{path}/html_meta")
-    joined = stored.join(links, ["article_id", "ymd", "run"], "left").join(meta, ["article_id", "ymd", "run"], "left")
+
+    def stored(name: str, columns: str) -> DataFrame:
+        schema = f"article_id string, {columns} ymd string, run string"
+        return spark.read.schema(schema).parquet(f"{path}/{name}")
+
+    keys = ["article_id", "ymd", "run"]
+    texts_and_links = stored("articles", "").join(
+        stored("page_links", "links array<string>,"), keys, "left"
+    )
+    metas = stored("html_meta", f"meta {schemas.HTML_META_DDL},")
+    joined = texts_and_links.join(metas, keys, "left")
+    n_links = F.when(F.col("links").isNull(), 0).otherwise(F.size("links")).cast("bigint")
     return joined.select(
         "article_id",
-        F.size(F.coalesce("links", F.array().cast("array<string>"))).cast("bigint").alias("n_links"),
+        n_links.alias("n_links"),
         F.col("meta")["meta"]["charset"].alias("charset"),
     )
 
@@ -449,7 +464,7 @@ def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyyMMdd").cast("int").alias("SQLDATE"),
         F.col("event_type").alias("EventCode"),
         F.col("value").alias("AvgTone"),
-        text("http://", F.col("event_type"), ".example/", F.col("user_id")).alias("SOURCEURL"),
+        inputs.event_url().alias("SOURCEURL"),
     )
     whole = _all_columns(events, schemas.EVENTS)
     return whole.select(
@@ -464,7 +479,8 @@ def roundtrip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = working_folder(spark, "roundtrip_events")
     _event_lines(spark, sf_dir).select("line").write.text(f"{path}/raw", compression="gzip")
     events = extracts.read_events(spark, f"{path}/raw").where(F.col(schemas.CORRUPT).isNull())
-    write_dated(events.withColumn("ymd", F.col("SQLDATE").cast("string")), f"{path}/events", ("ymd",))
+    dated = events.withColumn("ymd", F.col("SQLDATE").cast("string"))
+    write_dated(dated, f"{path}/events", ("ymd",))
     stored = spark.read.parquet(f"{path}/events")
     return stored.select("GLOBALEVENTID", "SQLDATE", "EventCode", "AvgTone", "SOURCEURL")
 
@@ -485,7 +501,10 @@ def roundtrip_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = archives.unzip_lines(packed).where(F.col("error").isNull())
     parsed = extracts.parse_lines(lines, "line", schemas.EVENTS, "file_name")
     return parsed.select(
-        dates.batch_digits(F.col("file_name")).alias("batch"), "GLOBALEVENTID", "EventCode", "SOURCEURL"
+        dates.batch_digits(F.col("file_name")).alias("batch"),
+        "GLOBALEVENTID",
+        "EventCode",
+        "SOURCEURL",
     )
 
 
@@ -500,7 +519,9 @@ def roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     files.write_json(counted, path)
     stored = spark.read.schema(schemas.PAGE_DOMAINS_DDL).json(path)
-    return stored.select("url", "basedomain", F.explode_outer("domains").alias("domain", "n_links"))
+    return stored.select(
+        "url", "basedomain", F.explode_outer("domains").alias("domain", "n_links")
+    )
 
 
 @query
@@ -522,7 +543,9 @@ def roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Organizations string, Locations string, gkg_year int, gkg_month int, gkg_day int"
     )
     stored = spark.read.schema(ddl).csv(path, header=True, escape='"')
-    return stored.select("eventid", "gkgid", "Persons", "Locations", "gkg_year", "gkg_month", "gkg_day")
+    return stored.select(
+        "eventid", "gkgid", "Persons", "Locations", "gkg_year", "gkg_month", "gkg_day"
+    )
 
 
 @query
@@ -531,18 +554,20 @@ def roundtrip_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = working_folder(spark, "roundtrip_bulk")
     search.write_bulk(search_docs(spark, sf_dir), path, "articles")
     lines = spark.read.text(path)
-    doc = F.from_json("value", "title string, accessdate string, article string, eventid bigint, gkgid string")
-    return lines.where(~F.startswith(F.col("value"), F.lit('{"index"'))).select(doc.alias("doc")).select("doc.*")
+    fields = "title string, accessdate string, article string, eventid bigint, gkgid string"
+    documents = lines.where(~F.startswith(F.col("value"), F.lit('{"index"')))
+    return documents.select(F.from_json("value", fields).alias("doc")).select("doc.*")
 
 
 # --- streams ---------------------------------------------------------------------------
 
 
 def _event_files(spark: SparkSession, sf_dir: str, path: str, n_files: int) -> DataFrame:
-    """A stream over ``events``, copied to several files; timestamps are made zoned for watermarks."""
+    """A stream over a copy of ``events``; watermarks need zoned timestamps."""
     events = table(spark, sf_dir, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type"
     )
+    # Several files, so that the stream takes several micro-batches.
     events.repartitionByRange(n_files, "ts").write.parquet(path)
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "2").parquet(path)
     return stream.withColumn("ymd", F.date_format("ts", "yyyyMMdd"))
@@ -553,7 +578,8 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each (day, user) landed once over several micro-batches, by anti-join."""
     path = working_folder(spark, "stream_dedup")
     rows = _event_files(spark, sf_dir, f"{path}/in", 4).select("ymd", "user_id")
-    feed.land_once(rows, f"{path}/out", ["ymd", "user_id"], f"{path}/checkpoint").awaitTermination()
+    keys = ["ymd", "user_id"]
+    feed.land_once(rows, f"{path}/out", keys, f"{path}/checkpoint").awaitTermination()
     schema = "user_id bigint, ymd string, run string"
     return spark.read.schema(schema).parquet(f"{path}/out").select("ymd", "user_id")
 
@@ -593,24 +619,20 @@ def slot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both feeds as text files by kind and batch, merged on URL and landed by a stream."""
     path = working_folder(spark, "stream_ingest")
-    events = _event_lines(spark, sf_dir).select(F.lit("export").alias("kind"), text(F.col("ymd"), "000000").alias("batch"), "line")
+    events = _event_lines(spark, sf_dir).select(
+        F.lit("export").alias("kind"), text(F.col("ymd"), "000000").alias("batch"), "line"
+    )
     seen = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "click"))
     batch = text(F.date_format("ts", "yyyyMMdd"), "000000")
     records = seen.select(
         text(batch, "-", F.col("event_id")).alias("GKGRECORDID"),
-        text("http://", F.col("event_type"), ".example/", F.col("user_id")).alias("DocumentIdentifier"),
-        batch.alias("_batch"),
+        inputs.event_url().alias("DocumentIdentifier"),
     )
-    whole = _all_columns(records, schemas.ENTITIES).columns
-    lines = records.select(
+    whole = _all_columns(records, schemas.ENTITIES)
+    lines = whole.select(
         F.lit("gkg").alias("kind"),
-        F.col("_batch").alias("batch"),
-        F.to_csv(
-            F.struct(*[
-                (F.col(c) if c in records.columns else F.lit(None).cast("string")).alias(c) for c in whole
-            ]),
-            {"sep": "\t", "emptyValue": ""},
-        ).alias("line"),
+        F.substring("GKGRECORDID", 1, 14).alias("batch"),
+        F.to_csv(F.struct(*whole.columns), {"sep": "\t", "emptyValue": ""}).alias("line"),
     )
     both = events.unionByName(lines).withColumnRenamed("line", "value")
     both.write.partitionBy("kind", "batch").text(f"{path}/in")
@@ -619,5 +641,6 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream.select("kind", "batch", F.col("value").alias("line")),
         f"{path}/out", f"{path}/checkpoint", f"{path}/runs",
     ).awaitTermination()
-    schema = "url string, eventid bigint, gkgid string, batch string, article_id string, ymd string, run string"
+    columns = "url string, eventid bigint, gkgid string, batch string, article_id string"
+    schema = f"{columns}, ymd string, run string"
     return spark.read.schema(schema).parquet(f"{path}/out").drop("run")

@@ -19,7 +19,9 @@ def write_article_stats(stats: DataFrame, path: str, mode: str = "overwrite") ->
     write_tsv(stats.withColumn("title", unicode_escape(F.col("title"))), path, mode)
 
 
-def write_feed(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip") -> None:
+def write_feed(
+    df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip"
+) -> None:
     """Feed-format text: tabs, no header, no quotes; values must be free of tabs and breaks."""
     df.write.options(sep="\t", quote="", header="false", emptyValue="", **_KEEP_BLANKS).csv(
         path, mode=mode, compression=compression

@@ -33,7 +33,8 @@ def write_observed(
     """Run a write once, collect metrics from the rows that pass through it, log the run."""
     started = datetime.now(timezone.utc)
     seen = Observation(kind)
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]))
+    counted = [column.alias(name) for name, column in metrics.items()]
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counted))
     found = dict(seen.get)
     message = "; ".join(f"{name}: {value}" for name, value in found.items())
     log_run(df.sparkSession, runs_path, kind, started, message)

@@ -9,7 +9,8 @@ from newsflow import schemas
 
 
 def _article_id() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)\.(?:text|txt|json|html)(?:\.gz)?$", 1)
+    name = F.col("_metadata.file_name")
+    return F.regexp_extract(name, r"^(.*?)\.(?:text|txt|json|html)(?:\.gz)?$", 1)
 
 
 def _ymd() -> Column:

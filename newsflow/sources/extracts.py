@@ -72,7 +72,9 @@ def entity_pairs(extract: DataFrame) -> DataFrame:
     return _pairs(extract, schemas.ENTITY_ID, schemas.ENTITY_URL)
 
 
-def parse_lines(lines: DataFrame, line: str, schema: T.StructType, *keep: Column | str) -> DataFrame:
+def parse_lines(
+    lines: DataFrame, line: str, schema: T.StructType, *keep: Column | str
+) -> DataFrame:
     """Parse feed lines held in a text column (from archives) with a feed schema."""
     record = F.from_csv(
         F.col(line),
@@ -85,4 +87,5 @@ def parse_lines(lines: DataFrame, line: str, schema: T.StructType, *keep: Column
 
 def read_article_stats(spark: SparkSession, paths: str | list[str], **options: str) -> DataFrame:
     """Article statistics files: tab separated with a header, plain or gzip."""
-    return spark.read.options(**STATS_READ_OPTIONS, **options).schema(schemas.ARTICLE_STATS).csv(paths)
+    reader = spark.read.options(**STATS_READ_OPTIONS, **options)
+    return reader.schema(schemas.ARTICLE_STATS).csv(paths)

@@ -60,7 +60,9 @@ def once_within_watermark(rows: DataFrame, keys: list[str], ts: str, delay: str)
     return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def _ensure_table(spark: SparkSession, path: str, schema: T.StructType, by: tuple[str, ...]) -> None:
+def _ensure_table(
+    spark: SparkSession, path: str, schema: T.StructType, by: tuple[str, ...]
+) -> None:
     # An empty table makes the first micro-batch like all others.
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*by).parquet(path)
 
@@ -73,7 +75,9 @@ def _with_run(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField("run", T.StringType())])
 
 
-def landed_before(spark: SparkSession, path: str, schema: T.StructType, run: str, days: list[str]) -> DataFrame:
+def landed_before(
+    spark: SparkSession, path: str, schema: T.StructType, run: str, days: list[str]
+) -> DataFrame:
     """Rows that other runs have landed for some days; only those partitions are read."""
     landed = spark.read.schema(schema).parquet(path)
     return landed.where(F.col("ymd").isin(days) & (F.col("run") != run))
@@ -136,7 +140,9 @@ def ingest_urls(
     )
     _ensure_table(spark, path, _with_run(schema), BY_RUN)
 
-    def pairs(batch: DataFrame, kind: str, schema: T.StructType, record_id: str, url: str) -> DataFrame:
+    def pairs(
+        batch: DataFrame, kind: str, schema: T.StructType, record_id: str, url: str
+    ) -> DataFrame:
         parsed = parse_lines(batch.where(F.col("kind") == kind), "line", schema, "batch")
         return parsed.select(F.col(record_id).alias("id"), F.col(url).alias("url"), "batch")
 
@@ -162,13 +168,16 @@ def ingest_urls(
             )
             for row in duplicate_counts(feeds, "url", "kind").collect():  # one row per feed
                 now = datetime.now(timezone.utc)
-                message = f"urls: {row.n_rows}; distinct: {row.n_distinct}; duplicates: {row.n_duplicates}"
+                counts = (row.n_rows, row.n_distinct, row.n_duplicates)
+                message = "urls: %d; distinct: %d; duplicates: %d" % counts
                 log_run(spark, runs, f"duplicates {row.kind}", now, message)
 
     return _start(lines, handle, checkpoint, "append", every)
 
 
-def upsert_counts(counts: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def upsert_counts(
+    counts: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Write the groups that each micro-batch changed, one partition per run."""
     _ensure_table(counts.sparkSession, path, _with_run(counts.schema), ("run",))
 
