@@ -59,15 +59,19 @@ def merge_url_ids(
     return merged.select("url", "eventid", F.coalesce("gkgid", F.lit("")).alias("gkgid"), *batches)
 
 
-def duplicate_counts(df: DataFrame, key: str, *by: str, digest: bool = False) -> DataFrame:
+def duplicate_counts(
+    df: DataFrame, key: str, *by: str, digest: bool = False, approximate: bool = False
+) -> DataFrame:
     """Rows, distinct keys and their difference, per group.
 
     The distinct step shuffles on (group, key), so no group has to fit in one task.
-    ``digest`` shuffles a SHA-256 of long keys instead of the keys.
+    ``digest`` shuffles a SHA-256 of long keys instead of the keys. ``approximate`` shuffles
+    one sketch per group and task; the distinct count is then an estimate.
     """
+    distinct = F.approx_count_distinct("key") if approximate else F.countDistinct("key")
     value = F.unhex(F.sha2(key, 256)) if digest else F.col(key)
     keyed = df.select(*by, value.alias("key"))
     counted = keyed.groupBy(*by).agg(
-        F.count("key").alias("n_rows"), F.countDistinct("key").alias("n_distinct")
+        F.count("key").alias("n_rows"), distinct.alias("n_distinct")
     )
     return counted.withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct"))

@@ -22,6 +22,14 @@ def scatter_missing(key: Column, *spread: Column) -> Column:
     return F.when(text.isNull() | (text == ""), nowhere).otherwise(text)
 
 
+def broadcast_checked(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is.
+
+    For narrow sides joined with very wide rows, where a shuffle would move the wide ones.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
     """Keys with at least ``min_rows`` rows: at most rows / min_rows of them, by arithmetic.
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from newsflow import schemas
 from newsflow.functions.dates import batch_digits, check_ymd
 from newsflow.operators import docs, entities, manifest, merge, pages, stats
+from newsflow.operators.skew import broadcast_checked
 from newsflow.sinks import files, search
 from newsflow.sinks.runlog import write_observed
 from newsflow.sinks.tables import land_extract, write_dated
@@ -100,11 +101,7 @@ def process_pages(
         n_fetched=F.sum(ok.cast("int")),
         n_chars=F.sum("nbytes"),
     )
-    text_partitions = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
-    stored = (
-        spark.read.schema(parsed.schema).options(**text_partitions)
-        .parquet(f"{out}/parsed").where(F.col("run") == run)
-    )
+    stored = spark.read.schema(parsed.schema).parquet(f"{out}/parsed").where(F.col("run") == run)
     tables = {
         "articles": pages.articles(stored),
         "page_links": pages.links(stored),
@@ -161,8 +158,9 @@ def backfill_day(
     """Re-run one day: merge its records, take the day's pages, replace its page tables.
 
     ``fetched`` holds ``(url, ymd, status, html)``. All earlier runs of the day stay
-    untouched; this run replaces its own earlier result.
+    untouched; this run replaces its own earlier result. The merged ids of a day are few
+    and narrow: behind a row check they are broadcast, so the HTML is not shuffled.
     """
-    wanted = merge_day(events, records, ymd)
+    wanted = broadcast_checked(merge_day(events, records, ymd))
     day_pages = layout.in_range(fetched, ymd, ymd).join(wanted, "url")
     return process_pages(day_pages, out, f"backfill-{ymd}", runs)

@@ -6,6 +6,7 @@ Queries that need files or streams work in a fresh folder below ``spark.checkpoi
 import io
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -15,7 +16,7 @@ from newsflow.functions import dates, html, text as texts, urls
 from newsflow.operators import docs, entities, manifest, merge, pages, stats
 from newsflow.plans import inputs, jobs
 from newsflow.plans.inputs import table, text
-from newsflow.plans.session import working_folder
+from newsflow.plans.session import ship_package, working_folder
 from newsflow.sinks import files, search
 from newsflow.sinks.tables import add_partitions, write_dated
 from newsflow.sources import archives, extracts, layout, lists
@@ -29,8 +30,15 @@ EVENT_WHITELIST = ["click", "pu.chase", "err"]
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Register a query under its function name."""
+
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 # --- statistics ------------------------------------------------------------------------

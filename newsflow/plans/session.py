@@ -2,10 +2,14 @@
 
 import tempfile
 import uuid
+import zipfile
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+import newsflow
+
 # What the jobs assume. Partition counts are left to adaptive execution on a cluster.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -33,6 +37,31 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **extra: str) -
     return session
 
 
+@cache
+def _package_archive() -> str:
+    root = Path(newsflow.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="newsflow-")) / "newsflow.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    return str(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    The page parser and the archive reader run in Python workers, which must be able to
+    import it. Not needed where the package is installed on all nodes.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        spark.sparkContext.addPyFile(_package_archive())
+        _SHIPPED.add(application)
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="newsflow-")

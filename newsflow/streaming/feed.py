@@ -15,12 +15,14 @@ from newsflow.functions.dates import batch_digits
 from newsflow.functions.urls import article_key
 from newsflow.operators.docs import unseen
 from newsflow.operators.merge import duplicate_counts, merge_url_ids
+from newsflow.operators.skew import broadcast_checked
+from newsflow.plans.jobs import BY_RUN, process_pages
 from newsflow.sinks.runlog import log_run, write_observed
 from newsflow.sinks.tables import write_dated
 from newsflow.sources.extracts import parse_lines
 
 SLOT = "15 minutes"
-BY_RUN = ("ymd", "run")
+PAGE_KEYS = ("ymd", "article_id")
 
 
 def read_extract_stream(
@@ -175,6 +177,50 @@ def ingest_urls(
     return _start(lines, handle, checkpoint, "append", every)
 
 
+PAGE_COLUMNS = ("url", "eventid", "gkgid", "ymd", "status", "html")
+
+
+def new_pages(batch: DataFrame, landed: DataFrame) -> DataFrame:
+    """Pages of a micro-batch whose article has not landed, one per article.
+
+    The lookup runs on the keys alone; HTML is only shuffled when the micro-batch itself
+    holds an article twice, or holds more new articles than may be broadcast.
+    """
+    keyed = batch.withColumn("article_id", article_key(F.col("eventid"), F.col("gkgid")))
+    copies = keyed.groupBy(*PAGE_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    new = unseen(copies, landed, list(PAGE_KEYS))
+    most = new.agg(F.max("n").alias("most")).first().most
+    fresh = keyed.join(broadcast_checked(new.select(*PAGE_KEYS)), list(PAGE_KEYS), "left_semi")
+    if most is not None and most > 1:
+        fresh = fresh.dropDuplicates(list(PAGE_KEYS))
+    return fresh.select(*PAGE_COLUMNS)
+
+
+def process_new_pages(
+    fetched: DataFrame,
+    out: str,
+    checkpoint: str,
+    runs: str,
+    every: str | None = None,
+    absolute_only: bool = True,
+) -> StreamingQuery:
+    """Run the page job on each micro-batch of fetched pages, once per article and day.
+
+    Pages that were not fetched land with an empty text, so they count as done.
+    """
+    spark = fetched.sparkSession
+    articles = T.StructType.fromDDL("article_id string, text string, ymd string, run string")
+    _ensure_table(spark, f"{out}/articles", articles, BY_RUN)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        run = _run_label(batch_id)
+        days = batch_days(batch, F.col("ymd"))
+        landed = landed_before(spark, f"{out}/articles", articles, run, days)
+        process_pages(new_pages(batch, landed), out, run, runs, absolute_only)
+
+    return _start(fetched, handle, checkpoint, "append", every)
+
+
 def upsert_counts(
     counts: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:

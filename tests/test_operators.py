@@ -64,6 +64,7 @@ def test_duplicate_counts(spark, digest):
         ("a", 2, 1, 1), ("b", 1, 1, 0),
     ]
     assert rows(merge.duplicate_counts(df, "url")) == [(3, 2, 1)]
+    assert rows(merge.duplicate_counts(df, "url", approximate=True)) == [(3, 2, 1)]
 
 
 def stats_rows(spark, values):
@@ -193,6 +194,19 @@ def test_search_docs(spark):
     assert rows(found.select("eventid", "article", "author")) == [(1, "one", ""), (3, "", ""), (None, "two", "")]
 
 
+def test_broadcast_is_checked(spark):
+    left, small = spark.range(1000), spark.range(10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [
+            left.join(skew.broadcast_checked(small, n), "id")._jdf.queryExecution().executedPlan().toString()
+            for n in (10, 9)
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
+
+
 def test_unseen(spark):
     new = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     assert rows(docs.unseen(new, spark.createDataFrame([(1, "z")], "k int, w string"), ["k"])) == [(2, "b")]

@@ -1,6 +1,10 @@
 """Registered queries against their SQL, and plan checks."""
 
+import os
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from compare import connect, differences
@@ -40,6 +44,23 @@ def test_entry(spark):
     assert found.columns[:4] == ["year", "month", "day", "domain"] and found.count() > 0
 
 
+def test_queries_run_from_any_folder(tmp_path):
+    """Python workers import the package although it is not on their path."""
+    script = tmp_path / "run.py"
+    root = Path(__file__).parents[1]
+    script.write_text(
+        f"import sys; sys.path.insert(0, {str(root)!r})\n"
+        "from newsflow.plans.session import local_session\n"
+        "from newsflow.plans.queries import QUERIES\n"
+        "print(QUERIES['page_title'](local_session('2'), '/root/testdata/sf0.001').count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert run.stdout.split()[-1:] == ["50"], run.stderr[-2000:]
+
+
 def plan(spark, name):
     return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 

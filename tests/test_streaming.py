@@ -86,6 +86,31 @@ def test_a_repeated_micro_batch_changes_nothing(spark, folder):
         ("a", "20200101", "000000000000"), ("b", "20200101", "000000000001")]
 
 
+FETCHED = "url string, eventid bigint, gkgid string, ymd string, status int, html string"
+
+
+def test_pages_are_processed_once(spark, folder):
+    batches = [
+        [("http://a/1", 1, "", "20200101", 200, "<title>one</title>"), ("http://a/2", 2, "", "20200101", 404, None)],
+        [("http://a/1", 1, "", "20200101", 200, "<title>again</title>"),
+         ("http://a/2", 2, "", "20200101", 200, "<title>retried</title>"),
+         ("http://a/3", 3, "", "20200101", 200, "<title>three</title>"),
+         ("http://a/3", 3, "", "20200101", 200, "<title>three</title>"),
+         ("http://a/1", 1, "", "20200102", 200, "<title>next day</title>")],
+        [("http://a/3", 3, "", "20200101", 200, "<title>late copy</title>")],
+    ]
+    for n, values in enumerate(batches):
+        spark.createDataFrame(values, FETCHED).coalesce(1).write.parquet(f"{folder}/in/{n}")
+        stream = spark.readStream.schema(FETCHED).option("recursiveFileLookup", "true").parquet(f"{folder}/in")
+        feed.process_new_pages(stream, f"{folder}/out", f"{folder}/c", f"{folder}/runs").awaitTermination()
+    articles = spark.read.schema("article_id string, ymd string, run string").parquet(f"{folder}/out/articles")
+    assert sorted((r.ymd, r.article_id, int(r.run)) for r in articles.collect()) == [
+        ("20200101", "1", 0), ("20200101", "2", 0), ("20200101", "3", 1), ("20200102", "1", 1),
+    ]
+    stats = spark.read.schema("title string, ymd string").parquet(f"{folder}/out/article_stats")
+    assert sorted(r.title for r in stats.collect()) == ["next day", "one", "three"]
+
+
 def test_the_watermark_variant_drops_late_rows(spark, folder):
     schema = "k string, ts timestamp"
     batches = [[("a", datetime(2020, 1, 1)), ("a", datetime(2020, 1, 1, 1))],
