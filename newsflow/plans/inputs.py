@@ -104,8 +104,13 @@ def event_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` as fetched pages; pages of one site count as not found."""
+    return as_fetched(table(spark, sf_dir, "pages"))
+
+
+def as_fetched(pages: DataFrame) -> DataFrame:
+    """The page-job columns from the columns of ``pages``, batch or stream."""
     lost = F.col("url").contains("cheap-pills")
-    return table(spark, sf_dir, "pages").select(
+    return pages.select(
         "url",
         F.col("page_id").alias("eventid"),
         text("p-", F.col("page_id")).alias("gkgid"),

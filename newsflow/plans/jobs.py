@@ -86,6 +86,7 @@ def process_pages(
 ) -> dict:
     """Parse pages once and write the five page tables of a run.
 
+    ``fetched`` holds one row per article (see ``pages.one_per_article``).
     The parsed rows are written first and read back: the tables are then column
     projections of a Parquet table, HTML is not parsed again for each of them, and a
     lost executor costs a read instead of a parse.
@@ -163,4 +164,4 @@ def backfill_day(
     """
     wanted = broadcast_checked(merge_day(events, records, ymd))
     day_pages = layout.in_range(fetched, ymd, ymd).join(wanted, "url")
-    return process_pages(day_pages, out, f"backfill-{ymd}", runs)
+    return process_pages(pages.one_per_article(day_pages), out, f"backfill-{ymd}", runs)

@@ -138,6 +138,17 @@ last_events AS (
                  FROM event_pairs) e WHERE rn = 1)
 """
 
+_PAGE_STATS = f"""
+SELECT url, regexp_extract(url, '^(https?://[^/?#]*)', 1) || '/' AS domain,
+       CAST(length(html) AS BIGINT) AS nbytes, eventid, 'p-' || eventid AS gkgid, 200 AS status,
+       '20240101' AS accessdate, {_TITLE} AS title, '' AS site_name, '' AS author, '' AS keywords,
+       '' AS description
+FROM (SELECT url, page_id AS eventid, html,
+             row_number() OVER (PARTITION BY url ORDER BY page_id DESC) AS rn
+      FROM pages WHERE url NOT LIKE '%cheap-pills%') p
+WHERE rn = 1
+"""
+
 _WHITELISTED = "status = 200 AND regexp_matches(domain, '(click|pu.chase|err)')"
 
 _SEARCH_DOCS = (
@@ -330,16 +341,7 @@ FROM pages WHERE html LIKE '%<meta charset=%'
 UNION ALL
 SELECT page_id, 'page', 'title', {_TITLE} FROM pages WHERE {_TITLE} <> ''
 """,
-    "page_stats": f"""
-SELECT url, regexp_extract(url, '^(https?://[^/?#]*)', 1) || '/' AS domain,
-       CAST(length(html) AS BIGINT) AS nbytes, eventid, 'p-' || eventid AS gkgid, 200 AS status,
-       '20240101' AS accessdate, {_TITLE} AS title, '' AS site_name, '' AS author, '' AS keywords,
-       '' AS description
-FROM (SELECT url, page_id AS eventid, html,
-             row_number() OVER (PARTITION BY url ORDER BY page_id DESC) AS rn
-      FROM pages WHERE url NOT LIKE '%cheap-pills%') p
-WHERE rn = 1
-""",
+    "page_stats": _PAGE_STATS,
     "page_job": """
 SELECT CASE WHEN page_id = 0 THEN 'g_p-0' ELSE CAST(page_id AS VARCHAR) END AS article_id,
        CASE WHEN url LIKE '%cheap-pills%' THEN 0
@@ -381,6 +383,7 @@ FROM event_flags f LEFT JOIN entities e ON f.gkgid = e.gkgid
     "roundtrip_bulk": f"SELECT title, accessdate, article, eventid, gkgid FROM ({_SEARCH_DOCS}) d",
     "stream_dedup": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS ymd, user_id FROM events",
     "stream_dedup_watermark": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS ymd, user_id FROM events",
+    "stream_pages": _PAGE_STATS,
     "stream_window_counts": """
 SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS slot_start, event_type, count(*) AS n
 FROM events GROUP BY ALL

@@ -604,6 +604,17 @@ def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("ymd string, user_id bigint").parquet(f"{path}/out")
 
 
+@query
+def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page job on a stream of fetched pages, once per article."""
+    path = working_folder(spark, "stream_pages")
+    stream = spark.readStream.schema(table(spark, sf_dir, "pages").schema)
+    rows = inputs.as_fetched(stream.option("pathGlobFilter", "pages.parquet").parquet(sf_dir))
+    feed.process_new_pages(rows, path, f"{path}/checkpoint", f"{path}/runs").awaitTermination()
+    stored = spark.read.schema(schemas.ARTICLE_STATS).parquet(f"{path}/article_stats")
+    return stored.select(*schemas.ARTICLE_STATS.names)
+
+
 @query
 def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per quarter hour and event type, updated over several micro-batches."""

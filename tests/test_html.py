@@ -5,6 +5,7 @@ from html.parser import HTMLParser
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from newsflow.functions import html
 from newsflow.functions.html import read_page
 from newsflow.operators import pages
 
@@ -137,6 +138,37 @@ def test_body_text(spark):
         assert other not in body
 
 
+def python_body(html, rules=pages.BodyRules()):
+    """The rules written out for one page at a time."""
+    blocks = read_page(html)["blocks"]
+    nothing = {"words": 0, "link_words": 0}
+    density = lambda b: b["link_words"] / max(b["words"], 1)
+    kept = []
+    for i, block in enumerate(blocks):
+        before = blocks[i - 1] if i else nothing
+        after = blocks[i + 1] if i + 1 < len(blocks) else nothing
+        if block["chrome"] or density(block) > rules.link_density:
+            continue
+        if density(before) <= rules.previous_link_density:
+            content = (block["words"] > rules.short_words or after["words"] > rules.next_words
+                       or before["words"] > rules.previous_words)
+        else:
+            content = (block["words"] > rules.long_words
+                       or after["words"] > rules.next_words_after_links)
+        if content:
+            kept.append(block["text"])
+    return "\n".join(kept).replace("\xa0", " ")
+
+
+def test_body_text_against_brute_force(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = table.select("page_id", "html", html.page_parser("blocks")(F.col("html")).alias("page"))
+    found = rows.select("page_id", "html", pages.body_text(F.col("page.blocks")).alias("text")).collect()
+    assert len(found) == 50 and sum(len(r.text) for r in found) > 10_000
+    for row in found:
+        assert row.text == python_body(row.html)
+
+
 def test_body_of_link_lists_is_left_out(spark):
     menu = "<ul>" + "".join(f"<li><a href=/{i}>menu item {i}</a></li>" for i in range(30)) + "</ul>"
     html = f"<body>{menu}<p>{'text ' * 50}</p>{menu}</body>"

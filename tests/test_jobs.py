@@ -96,7 +96,8 @@ def test_page_job(spark, folder):
 
 def test_backfill_day(spark, folder):
     _, events, records = landed(spark, folder)
-    fetched = spark.createDataFrame(PAGES, FETCHED).select("url", "ymd", "status", "html")
+    twice = PAGES + PAGES[:1]
+    fetched = spark.createDataFrame(twice, FETCHED).select("url", "ymd", "status", "html")
     jobs.process_pages(spark.createDataFrame(PAGES[:1], FETCHED), f"{folder}/out", "r1", f"{folder}/runs")
     for _ in range(2):
         jobs.backfill_day(events, records, fetched, f"{folder}/out", f"{folder}/runs", DAY)
