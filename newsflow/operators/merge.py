@@ -2,24 +2,24 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Records of the entity feed are numbered inside a batch, with a T for translated sources.
-_NUMBERED_ID = r"^\d{14}-(T?)(\d{1,18})$"
-
-
 def event_order(batch: Column, record_id: Column) -> Column:
     """Batch, then numeric id, packed into one number.
 
     A number keeps ``max_by`` on hash aggregation; a struct would need a sort.
     """
     shift = F.lit("1" + "0" * 19).cast("decimal(38,0)")
-    batch_number = F.coalesce(batch.try_cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
-    return batch_number * shift + record_id.cast("decimal(19,0)")
+    number = F.coalesce(batch.try_cast("bigint"), F.lit(0).cast("bigint"))
+    return number.cast("decimal(19,0)") * shift + record_id.cast("decimal(19,0)")
 
 
 def entity_order(batch: Column, record_id: Column) -> Column:
-    """Batch, then the sequence number inside the id (10 comes after 2), then the text."""
-    number = F.nullif(F.regexp_extract(record_id, _NUMBERED_ID, 2), F.lit("")).cast("bigint")
-    translated = F.regexp_extract(record_id, _NUMBERED_ID, 1)
+    """Batch, then the number at the end of the id (10 comes after 2), then the text.
+
+    Records of translated sources have a T before the number and come after the others.
+    """
+    tail = F.substring_index(record_id, "-", -1)
+    translated = F.startswith(tail, F.lit("T"))
+    number = F.when(translated, F.substring(tail, 2, 30)).otherwise(tail).try_cast("bigint")
     return F.struct(batch, translated, F.coalesce(number, F.lit(-1)), record_id)
 
 

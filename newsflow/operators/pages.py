@@ -120,7 +120,9 @@ def one_per_article(fetched: DataFrame) -> DataFrame:
     return fetched
 
 
-def parse_pages(pages: DataFrame, absolute_only: bool = True) -> DataFrame:
+def parse_pages(
+    pages: DataFrame, absolute_only: bool = True, rules: BodyRules = BodyRules()
+) -> DataFrame:
     """One row per page with everything the derived tables need.
 
     Input: ``url, eventid, gkgid, ymd, status, html``. Pages that were not fetched keep a
@@ -146,7 +148,7 @@ def parse_pages(pages: DataFrame, absolute_only: bool = True) -> DataFrame:
         *[c for c in parsed.columns if c != "page"],
         page_links(F.col("page.links"), absolute_only).alias("links"),
         page_meta(F.col("page.meta")).alias("meta"),
-        body_text(F.col("page.blocks")).alias("text"),
+        body_text(F.col("page.blocks"), rules).alias("text"),
     )
     return listed.withColumn("domains", domain_counts(F.col("links")))
 

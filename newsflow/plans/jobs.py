@@ -32,16 +32,36 @@ def process_tree(
     write(read(spark, root, **layout.tree_options(suffix)).transform(transform))
 
 
+FEEDS = {
+    "export": ("events", schemas.EVENTS, extracts.read_events),
+    "gkg": ("gkg", schemas.ENTITIES, extracts.read_entities),
+}
+
+
+def land_files(
+    spark: SparkSession, paths: str | list[str], kind: str, out: str, runs: str, **options: str
+) -> dict:
+    """Plain or gzip extracts of one feed -> its Parquet table by day and batch."""
+    name, _, read = FEEDS[kind]
+    named = read(spark, paths, **options).withColumn(
+        "batch", batch_digits(F.col("_metadata.file_name"))
+    )
+    return write_observed(
+        named,
+        lambda df: land_extract(df, f"{out}/{name}"),
+        runs,
+        f"land {name}",
+        bad_lines=F.count(schemas.CORRUPT),
+    )
+
+
 def land_archives(spark: SparkSession, paths: str | list[str], out: str, runs: str) -> dict:
-    """Zip archives of both feeds -> Parquet tables ``events`` and ``gkg`` by day.
+    """Zip archives of both feeds -> Parquet tables ``events`` and ``gkg`` by day and batch.
 
     Broken archives are counted in the run log and skipped.
     """
     found = {}
-    for kind, name, schema in (
-        ("export", "events", schemas.EVENTS),
-        ("gkg", "gkg", schemas.ENTITIES),
-    ):
+    for kind, (name, schema, _) in FEEDS.items():
         # Chosen by archive name, so each archive is opened for one of the two only.
         lines = archives.read_zip_lines(spark, paths, pathGlobFilter=f"*.{kind}.*")
         batch = batch_digits(F.col("file_name")).alias("batch")

@@ -29,10 +29,13 @@ def write_feed(
 
 
 def write_monthly(df: DataFrame, path: str, mode: str = "append") -> None:
-    """One directory per year and month, tab separated with a header."""
+    """One directory per year and month, tab separated with a header.
+
+    ``append`` adds files to a month; ``overwrite`` replaces the months in ``df``.
+    """
     (
         df.hint("rebalance", F.col("year"), F.col("month"))
-        .write.options(**STATS_OPTIONS, **_KEEP_BLANKS)
+        .write.options(**STATS_OPTIONS, **_KEEP_BLANKS, partitionOverwriteMode="dynamic")
         .partitionBy("year", "month")
         .csv(path, mode=mode, compression="gzip")
     )

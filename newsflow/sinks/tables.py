@@ -34,10 +34,11 @@ def write_dated(
 
 
 def land_extract(df: DataFrame, path: str, batch: str = "batch") -> None:
-    """Keep a landed extract as Parquet laid out by the day of its batch.
+    """Keep a landed extract as Parquet laid out by the day and label of its batch.
 
     Text is not splittable once compressed and has to be parsed in full on each read;
-    after this step later jobs prune columns and days.
+    after this step later jobs prune columns and days. Landing a batch again replaces it
+    and leaves the other batches of its day alone.
     """
     dated = df.withColumn("ymd", F.substring(F.col(batch), 1, 8))
-    write_dated(add_partitions(dated), path)
+    write_dated(add_partitions(dated), path, ("year", "month", "ymd", batch))

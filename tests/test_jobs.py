@@ -58,6 +58,21 @@ def test_land_and_merge(spark, folder):
     assert spark.read.schema(runlog.RUNS_DDL).json(f"{folder}/runs").count() == 2
 
 
+def test_landing_a_batch_keeps_the_others_of_its_day(spark, folder):
+    def land(batch, *ids):
+        lines = "\n".join(event_line(i, f"http://a/{i}") for i in ids) + "\n"
+        path = write(f"{folder}/in{len(ids)}/{batch}.export.CSV.gz", lines)
+        return jobs.land_files(spark, path, "export", f"{folder}/bronze", f"{folder}/runs")
+
+    assert land(f"{DAY}000000", 1, 2) == {"rows": 2, "bad_lines": 0}
+    land(f"{DAY}001500", 3)
+    land(f"{DAY}000000", 1, 2, 4)  # landed again: replaced, not doubled
+    events = spark.read.parquet(f"{folder}/bronze/events")
+    assert sorted(r.GLOBALEVENTID for r in events.collect()) == [1, 2, 3, 4]
+    records = spark.createDataFrame([], "GKGRECORDID string, DocumentIdentifier string, batch string, ymd string")
+    assert jobs.merge_day(events, records, DAY).count() == 4
+
+
 def read(spark, path, ddl):
     return spark.read.schema(f"{ddl}, ymd string, run string").parquet(path)
 
