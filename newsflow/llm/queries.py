@@ -5,7 +5,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsflow.llm import chat, exact_dedup, mixing
+from newsflow.llm import chat, exact_dedup, line_dedup, mixing
 from newsflow.llm.common import session_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,39 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(
+    f"""
+    WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    l AS (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d),
+    k AS (
+      SELECT doc_id, i, ls[i] AS line, trim(translate(ls[i], '{_UPPER}', '{_LOWER}'),
+        ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+      FROM l
+    ),
+    f AS (
+      SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+    ),
+    m AS (
+      SELECT doc_id, i, line, coalesce(last <> doc_id, false) AS dropped
+      FROM k LEFT JOIN f USING (key)
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), ''))
+        AS kept_sha256
+    FROM m GROUP BY doc_id
+    """
+)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
+    return found.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 _MIX_TOTAL, _MIX_EXPONENT, _MIX_BLOCK = 1000, 0.7, 64
 
 
