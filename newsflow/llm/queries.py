@@ -5,7 +5,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsflow.llm import chat, exact_dedup, line_dedup, mixing, near_dedup
+from newsflow.llm import chat, exact_dedup, line_dedup, mixing, near_dedup, quality, toxicity
 from newsflow.llm.common import session_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return frame
 
 
+@query()
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return toxicity.toxicity(docs, labels)
+
+
 @query()
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, similarity=80)
