@@ -6,10 +6,12 @@ collection, so ``tables`` squared keys of twice ``rows`` values cost only twice
 groups. A pair with similarity s shares a key unless one collection has no common group:
 it is missed with probability below 2 (1 - s^rows)^tables, 0.00002 at 0.8.
 
-Candidates are confirmed on full shingle sets. Only components are wanted, so copies of a
-set stand for one another, and no bucket emits all its pairs: its members are linked to
-its first and last member; only what is then still in different components inside a bucket
-is compared again, all of it.
+Documents that share keys, directly or over others, form a family. Inside a family links are
+confirmed on full shingle sets, against all members at once by an index of their shingles.
+Only components are wanted: a member is compared as long as it lies outside its family's
+largest component, and what comes out is a spanning forest, never all pairs. Large families
+are cut into blocks of bounded size, and every pair of blocks is compared by a task of its
+own. Copies of one shingle set stand for one another.
 """
 
 from collections.abc import Iterator
@@ -23,9 +25,10 @@ from newsflow.llm.common import session_of, stored, whole_text
 from newsflow.llm.components import components
 
 TABLES, ROWS = 16, 3
-# Equal groups out of twice TABLES that a pair needs to be compared in a mixed bucket. A
-# pair with similarity 0.8 has fewer with probability 0.00004.
-LEAST_EQUAL = 6
+# Shingles in one block of a family: bounds what a task holds.
+BLOCK_SHINGLES = 1_500_000
+# Members that are compared first, as they have the most common shingles.
+_PIVOTS = 8
 _CHUNK = 4096
 _CACHED_WORDS = 1_000_000
 _U = np.uint64
@@ -117,45 +120,74 @@ def _sets(words: int):
     return sets
 
 
-def _confirm(similarity: int):
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for one, other in zip(batch["one"], batch["other"]):
-                a = np.frombuffer(one.as_buffer(), dtype=_U)
-                b = np.frombuffer(other.as_buffer(), dtype=_U)
-                common = len(a) + len(b) - len(np.union1d(a, b))
-                linked.append(100 * common >= similarity * (len(a) + len(b) - common))
-            yield batch.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
-
-    return confirm
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Those pairs (u, v) whose full sets are similar enough, written out."""
-    one = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("one"))
-    other = sets.select(F.col("rep").alias("v"), F.col("shingles").alias("other"))
-    joined = pairs.join(one, "u").join(other, "v").select("u", "v", "one", "other")
-    # sizes alone rule out most of the rest
-    a, b = F.length("one"), F.length("other")
-    close = joined.where(100 * F.least(a, b) >= similarity * F.greatest(a, b))
-    return stored(close.mapInArrow(_confirm(similarity), "u long, v long"), "links")
-
-
-def _compare_bucket(rows: pa.Table) -> pa.Table:
-    """Likely pairs of different components inside one bucket, outside its largest one."""
-    reps = rows["rep"].to_numpy()
-    labels = rows["component"].to_numpy()
-    groups = np.array(rows["groups"].to_pylist(), dtype=np.int64)
-    names, sizes = np.unique(labels, return_counts=True)
-    outside = np.flatnonzero(labels != names[np.argmax(sizes)])
-    u, v = [], []
-    for i in outside.tolist():
-        near = (groups == groups[i]).sum(axis=1) >= LEAST_EQUAL
-        for j in np.flatnonzero(near & (labels != labels[i])).tolist():
-            u.append(min(reps[i], reps[j]))
-            v.append(max(reps[i], reps[j]))
-    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+class Forest:
+    """Components of the members of a family, found by comparing full sets."""
+
+    def __init__(self, sets: list[np.ndarray], similarity: int) -> None:
+        self.similarity = similarity
+        self.sizes = np.array([len(x) for x in sets], dtype=np.int64)
+        values, place, counts = np.unique(
+            np.concatenate(sets), return_inverse=True, return_counts=True
+        )
+        member = np.repeat(np.arange(len(sets)), self.sizes)
+        self.holders = member[np.argsort(place, kind="stable")]
+        self.ends = np.cumsum(counts)
+        self.starts = self.ends - counts
+        self.common = counts[place] > 1
+        self.place, self.offsets = place, np.cumsum(self.sizes) - self.sizes
+        self.commonness = np.bincount(member, counts[place].astype(np.float64))
+        self.root = np.arange(len(sets))
+        self.edges: list[tuple[int, int]] = []
+
+    def join(self, x: int, others: np.ndarray) -> None:
+        """Put the components of all ``others`` into that of x, one edge for each."""
+        roots, first = np.unique(self.root[others], return_index=True)
+        new = roots != self.root[x]
+        self.edges += [(x, y) for y in others[first[new]].tolist()]
+        moved = np.zeros(len(self.root), dtype=bool)
+        moved[roots[new]] = True
+        self.root[moved[self.root]] = self.root[x]
+
+    def linked(self, x: int) -> np.ndarray:
+        """All members that are similar enough to x."""
+        own = slice(self.offsets[x], self.offsets[x] + self.sizes[x])
+        shared = self.place[own][self.common[own]]
+        runs = [self.holders[s:e] for s, e in zip(self.starts[shared], self.ends[shared])]
+        if not runs:
+            return np.empty(0, dtype=np.int64)
+        both = np.bincount(np.concatenate(runs), minlength=len(self.sizes))
+        union = self.sizes[x] + self.sizes - both
+        near = np.flatnonzero(100 * both >= self.similarity * union)
+        return near[near != x]
+
+    def grow(self) -> None:
+        """Compare members until all but those of the largest component have been."""
+        waiting = np.ones(len(self.sizes), dtype=bool)
+        first = np.argsort(-self.commonness / self.sizes, kind="stable")[:_PIVOTS].tolist()
+        while True:
+            outside = np.flatnonzero(waiting & (self.root != np.argmax(np.bincount(self.root))))
+            if not len(outside):
+                return
+            x = first.pop(0) if first else int(outside[0])
+            if waiting[x]:
+                waiting[x] = False
+                self.join(x, self.linked(x))
+
+
+def _link_family(similarity: int):
+    def link(rows: pa.Table) -> pa.Table:
+        reps = rows["rep"].to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), dtype=_U) for x in rows["shingles"]]
+        forest = Forest(sets, similarity)
+        if "local" in rows.column_names:
+            # already connected inside its block: the first member stands for the rest
+            _, first, place = np.unique(rows["local"].to_numpy(), return_index=True, return_inverse=True)
+            forest.root = first[place]
+        forest.grow()
+        edges = np.array(forest.edges, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"u": reps[edges[:, 0]], "v": reps[edges[:, 1]]})
+
+    return link
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> DataFrame:
@@ -188,28 +220,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> Da
     reps = stored(reps.select("rep", "groups"), "representatives")
     keys = stored(_table_keys(reps), "table-keys")
 
-    ends = keys.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
-    paired = keys.join(ends, "key").select(
-        "rep", F.explode(F.array_distinct(F.array("first", "last"))).alias("pivot")
-    )
-    pairs = stored(
-        paired.where("rep <> pivot").select(
-            F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v")
-        ).distinct(),
-        "pairs",
-    )
-    named = pairs.select(F.col("u").alias("rep")).unionByName(pairs.select(F.col("v").alias("rep"))).distinct()
-    texts = rows.withColumnRenamed("doc_id", "rep").join(named, "rep", "left_semi")
-    texts = texts.select(F.col("rep").alias("doc_id"), "text")
+    firsts = keys.groupBy("key").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1")
+    shared = keys.join(firsts, "key").where("rep <> first")
+    families = components(shared.select(F.col("rep").alias("u"), F.col("first").alias("v")).distinct())
+    texts = rows.join(families, F.col("doc_id") == F.col("node"), "left_semi")
     sets = stored(texts.mapInArrow(_sets(words), "rep long, shingles binary").dropDuplicates(["rep"]), "sets")
-
-    nearest = pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-    links = _confirmed(nearest, sets, similarity)
-    labels = components(links)
-    links = links.unionByName(_confirmed(_across(pairs, labels), sets, similarity))
-    labels = components(links)
-    links = links.unionByName(_confirmed(_mixed_bucket_pairs(keys, reps, labels), sets, similarity))
-    labels = components(links)
+    labels = components(_family_links(sets, families, similarity))
 
     of_class = classes.join(labels, classes.rep == labels.node, "left").select(
         F.col("low").alias("_low"), F.col("high").alias("_high"), F.coalesce("component", "rep").alias("component_id")
@@ -245,29 +261,38 @@ def _table_keys(reps: DataFrame) -> DataFrame:
     return pairs.select(F.xxhash64("a", "b").alias("key"), "rep")
 
 
-def _labelled(frame: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
-    label = labels.select(F.col("node").alias(node), F.col("component").alias(name))
-    return frame.join(label, node, "left").withColumn(name, F.coalesce(name, node))
-
-
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components."""
-    both = _labelled(_labelled(pairs, labels, "u", "of_u"), labels, "v", "of_v")
-    return both.where("of_u <> of_v").select("u", "v")
-
-
-def _mixed_bucket_pairs(keys: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
-    """Likely pairs across components from the buckets that hold more than one."""
-    labelled = _labelled(keys, labels, "rep", "component")
-    mixed = (
-        labelled.groupBy("key")
-        .agg(F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("n"))
-        .where("first < last AND n > 2")
-        .select("key")
+def _family_links(sets: DataFrame, families: DataFrame, similarity: int) -> DataFrame:
+    """Links (u, v) that connect what is connected inside each family."""
+    members = sets.join(families.withColumnRenamed("component", "family"), sets.rep == families.node)
+    sizes = members.groupBy("family").agg(F.sum(F.length("shingles") / 8).alias("size"))
+    sizes = sizes.select("family", F.ceil(F.col("size") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    members = stored(
+        members.join(sizes, "family").select(
+            "family",
+            "blocks",
+            F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
+            "rep",
+            "shingles",
+        ),
+        "families",
+    )
+    link = _link_family(similarity)
+    inside = stored(members.groupBy("family", "block").applyInArrow(link, "u long, v long"), "links")
+    large = members.where("blocks > 1")
+    if large.isEmpty():
+        return inside
+    local = components(inside).select(F.col("node").alias("_node"), F.col("component").alias("_local"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    crossed = (
+        large.join(local, large.rep == F.col("_node"), "left")
+        .select("family", "block", "rep", "shingles", F.coalesce("_local", "rep").alias("local"), other)
+        .where("block <> other")
+        .withColumn("one", F.least("block", "other"))
+        .withColumn("two", F.greatest("block", "other"))
+        .select("family", "one", "two", "rep", "local", "shingles")
     )
-    members = labelled.join(mixed, "key", "left_semi").join(reps, "rep")
-    found = members.groupBy("key").applyInArrow(_compare_bucket, "u long, v long")
-    return found.distinct()
+    across = crossed.groupBy("family", "one", "two").applyInArrow(link, "u long, v long")
+    return inside.unionByName(stored(across, "links"))
 
 
 def without_near_copies(docs: DataFrame, words: int = 5, similarity: int = 80) -> DataFrame:
