@@ -6,8 +6,8 @@ of its words with their counts. The counts of all blocks make the model. The blo
 ask the sharded model for just the values of their own n-grams. Token blocks are written
 bucketed by block, so reading them next to an answer moves the answers only.
 
-N-grams are character 5-grams inside words: a word is spelled from start marks to an end
-mark, and each of its characters is predicted from the four before it.
+N-grams are of characters inside words: a word is spelled from start marks to an end mark,
+and each of its characters is predicted from those before it.
 """
 
 import uuid
@@ -23,10 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 from newsflow.llm.common import stored
 from newsflow.plans.session import working_folder
 
-ORDER = 5
 START, END = "\x02", "\x03"
 # Words in one block, about: bounds what a task holds of text and vocabulary at once.
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 2_000_000
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 WINDOW = 8
@@ -80,24 +79,24 @@ def base_counts(text: str, ids: np.ndarray) -> tuple[int, int, int, int, int]:
 class Grams:
     """The distinct n-grams of a list of words, and which words use them."""
 
-    def __init__(self, words: list[str]) -> None:
-        self.text = "".join(START * (ORDER - 1) + w + END for w in words)
-        codes = np.frombuffer(self.text.encode("utf-32-le"), dtype=np.uint32).astype(_U)
-        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+    def __init__(self, words: list[str], order: int) -> None:
+        self.order = order
+        self.text = "".join([START * (order - 1) + w + END for w in words])
+        codes = np.frombuffer(self.text.encode("utf-32-le"), dtype=np.uint32)
+        lengths = np.fromiter(map(len, words), dtype=np.int32, count=len(words)) + 1
+        self.symbols = lengths
+        self.word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         # the first character of the n-gram that predicts each character of each word
-        starts = np.repeat(np.cumsum(lengths + ORDER - 1) - lengths - (ORDER - 1), lengths)
-        inside = np.arange(len(starts)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        starts = starts + inside
+        starts = np.arange(len(self.word), dtype=np.int32) + self.word * np.int32(order - 1)
         key = np.zeros(len(starts), dtype=_U)
-        for i in range(ORDER):
+        for i in range(order):
             key = mix64((key ^ codes[starts + i]) * _U(0x9E3779B97F4A7C15) + _U(i))
-        _, first, self.gram = np.unique(key, return_index=True, return_inverse=True)
+        _, first, gram = np.unique(key, return_index=True, return_inverse=True)
+        self.gram = gram.astype(np.int32)
         self.first = starts[first]
-        self.word = np.repeat(np.arange(len(words)), lengths)
-        self.symbols = lengths
 
     def strings(self, chosen: np.ndarray) -> list[str]:
-        return [self.text[s : s + ORDER] for s in self.first[chosen].tolist()]
+        return [self.text[s : s + self.order] for s in self.first[chosen].tolist()]
 
     def counts(self, of_words: np.ndarray) -> np.ndarray:
         """Occurrences of each n-gram, given those of each word."""
@@ -108,13 +107,17 @@ class Grams:
         return np.bincount(self.word, values[self.gram], len(self.symbols))
 
 
-def _packed(array: np.ndarray) -> bytes:
+# Between packed words: a byte that UTF-8 does not use.
+_BETWEEN = b"\xff"
+
+
+def packed(array: np.ndarray) -> bytes:
     """Deflated, byte plane by byte plane."""
     planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), -1).T
     return zlib.compress(planes.tobytes(), 3)
 
 
-def _unpacked(data: bytes, dtype: type) -> np.ndarray:
+def unpacked(data: bytes, dtype: type) -> np.ndarray:
     raw = np.frombuffer(zlib.decompress(data), dtype=np.uint8)
     width = np.dtype(dtype).itemsize
     return np.ascontiguousarray(raw.reshape(width, -1).T).view(dtype).reshape(-1)
@@ -124,15 +127,15 @@ class Block:
     """A block read back: docs, group of each doc, n_words, and word numbers."""
 
     def __init__(self, row: dict) -> None:
-        self.words = zlib.decompress(row["words"]).decode().split("\n") if row["words"] else []
-        self.ids = _unpacked(row["ids"], np.uint32).astype(np.int64)
+        self.words = [w.decode() for w in zlib.decompress(row["words"]).split(_BETWEEN)] if row["words"] else []
+        self.ids = unpacked(row["ids"], np.uint32).astype(np.int64)
         self.docs = row["docs"]
         self.counts = np.array([[d[n] for n in COUNTS] for d in self.docs], dtype=np.int64).reshape(-1, 5)
         self.doc_of_word = np.repeat(np.arange(len(self.docs)), self.counts[:, 0])
         self.groups = [d["group"] for d in self.docs]
 
-    def grams(self) -> Grams:
-        return Grams(self.words)
+    def grams(self, order: int) -> Grams:
+        return Grams(self.words, order)
 
     def word_counts(self, docs: np.ndarray) -> np.ndarray:
         """How often each word occurs in the chosen documents."""
@@ -159,59 +162,75 @@ _DOC_DDL = ", ".join(f"{n}: bigint" for n in COUNTS)
 BLOCK_DDL = f"block long, words binary, ids binary, docs array<struct<doc_id: bigint, group: string, {_DOC_DDL}>>"
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of about BLOCK_WORDS words; a longer text has a block of its own."""
-    number = TaskContext.get().partitionId() << 32
-    vocabulary, ids, docs, size = Vocabulary(), [], [], 0
+def split_words(text: str) -> list[bytes]:
+    return text.encode().split()
 
-    def block() -> pa.RecordBatch:
-        all_ids = np.concatenate(ids) if ids else np.empty(0, np.uint32)
-        # frequent words first: small numbers pack well
-        order = np.argsort(-np.bincount(all_ids, minlength=len(vocabulary)), kind="stable")
-        rank = np.empty(len(order), dtype=np.uint32)
-        rank[order] = np.arange(len(order), dtype=np.uint32)
-        words = list(vocabulary)
-        packed = zlib.compress(b"\n".join([words[i] for i in order.tolist()]), 3) if words else b""
-        row = {"block": number, "words": packed, "ids": _packed(rank[all_ids]), "docs": list(docs)}
-        return pa.RecordBatch.from_pylist([row], schema=_BLOCK_SCHEMA)
 
-    for batch in batches:
-        columns = (batch[name].to_pylist() for name in ("doc_id", "group", "text"))
-        for doc, group, text in zip(*columns):
-            words = text.encode().split()
-            if docs and size + len(words) > BLOCK_WORDS:
-                yield block()
-                number += 1
-                vocabulary, ids, docs, size = Vocabulary(), [], [], 0
-            own = np.fromiter(map(vocabulary.__getitem__, words), dtype=np.uint32, count=len(words))
-            ids.append(own)
-            docs.append({"doc_id": doc, "group": group, **dict(zip(COUNTS, base_counts(text, own)))})
-            size += len(words)
-    if docs:
-        yield block()
-
-
-def write_blocks(docs: DataFrame) -> DataFrame:
+def cut(split=split_words, count=base_counts, block_words: int = BLOCK_WORDS):
+    """Blocks of about ``block_words`` words; a longer text has a block of its own."""
+
+    def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        vocabulary, ids, docs, size = Vocabulary(), [], [], 0
+
+        def block() -> pa.RecordBatch:
+            all_ids = np.concatenate(ids)
+            # frequent words first: small numbers pack well
+            order = np.argsort(-np.bincount(all_ids, minlength=len(vocabulary)), kind="stable")
+            rank = np.empty(len(order), dtype=np.uint32)
+            rank[order] = np.arange(len(order), dtype=np.uint32)
+            words = list(vocabulary)
+            spelled = zlib.compress(_BETWEEN.join([words[i] for i in order.tolist()]), 3) if words else b""
+            row = {"block": number, "words": spelled, "ids": packed(rank[all_ids]), "docs": docs}
+            return pa.RecordBatch.from_pylist([row], schema=_BLOCK_SCHEMA)
+
+        for batch in batches:
+            columns = (batch[name].to_pylist() for name in ("doc_id", "group", "text"))
+            for doc, group, text in zip(*columns):
+                words = split(text)
+                if docs and size + len(words) > block_words:
+                    yield block()
+                    number += 1
+                    vocabulary, ids, docs, size = Vocabulary(), [], [], 0
+                own = np.fromiter(map(vocabulary.__getitem__, words), dtype=np.uint32, count=len(words))
+                ids.append(own)
+                docs.append({"doc_id": doc, "group": group, **dict(zip(COUNTS, count(text, own)))})
+                size += len(words)
+        if docs:
+            yield block()
+
+    return cut_batches
+
+
+def write_blocks(docs: DataFrame, cutter=None) -> DataFrame:
     """Token blocks of ``docs`` (doc_id, group, text without nulls), bucketed by block."""
     spark = docs.sparkSession
-    path = working_folder(spark, "blocks")
-    name = f"newsflow_blocks_{uuid.uuid4().hex}"
-    (
-        docs.select("doc_id", "group", "text")
-        .mapInArrow(_cut, BLOCK_DDL)
-        .write.format("parquet")
-        .option("path", path)
-        .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
-        .saveAsTable(name)
-    )
+    rows = docs.select("doc_id", "group", "text").mapInArrow(cutter or cut(), BLOCK_DDL)
+    return bucketed(rows, "block")
+
+
+def bucketed(rows: DataFrame, key: str) -> DataFrame:
+    """Rows written below the shared folder as a table bucketed by a column."""
+    spark = rows.sparkSession
+    name = f"newsflow_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = rows.write.format("parquet").option("path", working_folder(spark, "buckets"))
+    writer.bucketBy(buckets, key).saveAsTable(name)
     return spark.table(name)
 
 
-def _dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time: a block is large, a batch of them too large for lists."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _dictionary(order: int):
+    def dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
             block = Block(row)
-            grams = block.grams()
+            grams = block.grams(order)
             groups = np.array([g or "" for g in block.groups], dtype=object)
             for group in sorted(set(groups)):
                 counts = grams.counts(block.word_counts(groups == group))
@@ -226,11 +245,13 @@ def _dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     names=["block", "group", "grams", "counts"],
                 )
 
+    return dictionary
 
-def dictionaries(blocks: DataFrame) -> DataFrame:
+
+def dictionaries(blocks: DataFrame, order: int) -> DataFrame:
     """The n-grams of each block and group of documents: block, group, grams, counts."""
     found = blocks.mapInArrow(
-        _dictionary, "block long, group string, grams array<string>, counts array<long>"
+        _dictionary(order), "block long, group string, grams array<string>, counts array<long>"
     )
     return stored(found, "dictionaries")
 
@@ -247,25 +268,14 @@ KEYS_PER_SHARD = 250_000
 
 def _ask(shards: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys = np.array([gram_key(row["group"], g) for g in row["grams"]], dtype=np.int64)
-                for shard in range(shards):
-                    own = keys[keys % shards == shard]
-                    if len(own):
-                        yield pa.RecordBatch.from_pylist(
-                            [
-                                {
-                                    "shard": shard,
-                                    "kind": 1,
-                                    "block": row["block"],
-                                    "group": row["group"],
-                                    "keys": own.tobytes(),
-                                    "values": None,
-                                }
-                            ],
-                            schema=_ASK_SCHEMA,
-                        )
+        for row in rows_of(batches):
+            keys = np.array([gram_key(row["group"], g) for g in row["grams"]], dtype=np.int64)
+            for shard in range(shards):
+                own = keys[keys % shards == shard]
+                if len(own):
+                    asked = {"shard": shard, "kind": 1, "keys": own.tobytes(), "values": None}
+                    asked |= {"block": row["block"], "group": row["group"]}
+                    yield pa.RecordBatch.from_pylist([asked], schema=_ASK_SCHEMA)
 
     return ask
 
@@ -285,13 +295,15 @@ _ASK_DDL = "shard int, kind int, block long, group string, keys binary, values b
 
 def _sorted_arrays(rows: pa.Table) -> pa.Table:
     """A shard of the model: its keys, sorted, and their values in that order."""
-    keys, values = rows["key"].to_numpy(), rows["value"].to_numpy()
+    keys = rows["key"].to_numpy()
     order = np.argsort(keys)
+    columns = [n for n in rows.column_names if n not in ("key", "shard")]
+    values = np.stack([rows[n].to_numpy()[order].astype(np.float32) for n in columns])
     return pa.table(
         {
             "shard": pa.array([rows["shard"][0].as_py()], pa.int32()),
             "keys": [keys[order].tobytes()],
-            "values": [values[order].astype(np.float32).tobytes()],
+            "values": [values.tobytes()],
         }
     )
 
@@ -299,19 +311,19 @@ def _sorted_arrays(rows: pa.Table) -> pa.Table:
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Values for the blocks' keys, from rows sorted so that each shard's arrays come first."""
     keys = values = None
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["kind"] == 0:
-                keys = np.frombuffer(row["keys"], dtype=np.int64)
-                values = np.frombuffer(row["values"], dtype=np.float32)
-                continue
-            asked = np.frombuffer(row["keys"], dtype=np.int64)
-            place = np.searchsorted(keys, asked)
-            assert (keys[np.minimum(place, len(keys) - 1)] == asked).all()
-            yield pa.RecordBatch.from_pylist(
-                [{**{n: row[n] for n in ("block", "group", "shard")}, "values": values[place].tobytes()}],
-                schema=_ANSWER_SCHEMA,
-            )
+    for row in rows_of(batches):
+        if row["kind"] == 0:
+            keys = np.frombuffer(row["keys"], dtype=np.int64)
+            values = np.frombuffer(row["values"], dtype=np.float32).reshape(-1, len(keys))
+            continue
+        asked = np.frombuffer(row["keys"], dtype=np.int64)
+        place = np.searchsorted(keys, asked)
+        if not (keys[np.minimum(place, len(keys) - 1)] == asked).all():
+            raise ValueError("a block asks for an n-gram that the model lacks")
+        found = {n: row[n] for n in ("block", "group", "shard")}
+        yield pa.RecordBatch.from_pylist(
+            [found | {"values": values[:, place].tobytes()}], schema=_ANSWER_SCHEMA
+        )
 
 
 _ANSWER_SCHEMA = pa.schema(
@@ -320,12 +332,13 @@ _ANSWER_SCHEMA = pa.schema(
 
 
 def answers(dictionary: DataFrame, model: DataFrame) -> tuple[DataFrame, int]:
-    """Per block: answers (group, shard, values) from ``model`` (group, gram, value).
+    """Per block: answers (group, shard, values) from ``model`` (group, gram, and values).
 
-    The model is held as sorted arrays of key hashes, one pair of arrays per shard. Also
+    The model is held as sorted arrays of key hashes with their values, by shard. Also
     gives the number of shards.
     """
-    model = stored(model.select(F.xxhash64("group", "gram").alias("key"), "value"), "model")
+    values = [name for name in model.columns if name not in ("group", "gram")]
+    model = stored(model.select(F.xxhash64("group", "gram").alias("key"), *values), "model")
     shards = int(1 + model.count() // KEYS_PER_SHARD)
     arrays = (
         model.withColumn("shard", F.pmod("key", F.lit(shards)).cast("int"))
@@ -354,22 +367,14 @@ def answers(dictionary: DataFrame, model: DataFrame) -> tuple[DataFrame, int]:
 
 
 def answered(row: dict, group: str, grams: Grams, used: np.ndarray, shards: int) -> np.ndarray:
-    """The model's values for a group, in the order of the block's n-grams (0 if unused)."""
+    """The model's values for a group, one row of values per column (0 if unused)."""
     keys = np.array([gram_key(group, g) for g in grams.strings(used)], dtype=np.int64)
-    values = np.zeros(len(grams.first), dtype=np.float64)
+    values = np.zeros((1, len(grams.first)))
     for answer in row["answers"] or []:
         if answer["group"] == group:
             here = used[keys % shards == answer["shard"]]
-            values[here] = np.frombuffer(answer["values"], dtype=np.float32)
+            found = np.frombuffer(answer["values"], dtype=np.float32).reshape(-1, len(here))
+            if len(values) < len(found):
+                values = np.zeros((len(found), len(grams.first)))
+            values[:, here] = found
     return values
-
-
-def block_values(row: dict, block: Block, grams: Grams, shards: int) -> dict[str, np.ndarray]:
-    """For each group of the block's documents, the model's value of each n-gram."""
-    groups = np.array([g or "" for g in block.groups], dtype=object)
-    return {
-        group: answered(
-            row, group, grams, np.flatnonzero(grams.counts(block.word_counts(groups == group))), shards
-        )
-        for group in sorted(set(groups))
-    }

@@ -18,10 +18,12 @@ from newsflow.llm import blocks as B
 from newsflow.llm.common import session_of, stored, whole_text
 from newsflow.llm.kneser_ney import class_probabilities, probabilities
 
+ORDER = 5
 FOLDS = 5
 # Training documents fall into two halves with a model each. A training document gets its
 # feature from the half it is not in, so that no model has seen it; others get the mean.
 HALVES = ("a", "b")
+_CLASSES = [f"{label}_{half}" for half in HALVES for label in ("toxic", "ordinary")]
 # Standard errors by which an n-gram's shares in the two classes must differ to tell
 # anything: otherwise texts of unusual make look like the class that was counted less.
 LEAST_SURPRISE = 5.0
@@ -30,50 +32,45 @@ _ROUNDS = 12
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of a block's n-grams in the toxic and ordinary training texts of each half."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            block = B.Block(row)
-            grams = block.grams()
-            for half in HALVES:
-                counts = []
-                for label in (1, 0):
-                    chosen = np.zeros(len(block.docs), dtype=bool)
-                    own = (d for d in row["labelled"] if d["toxic"] == label and d["half"] == half)
-                    chosen[[d["place"] for d in own]] = True
-                    counts.append(grams.counts(block.word_counts(chosen)))
-                used = np.flatnonzero(counts[0] + counts[1])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([half] * len(used), pa.string()),
-                        pa.array(grams.strings(used), pa.string()),
-                        *(pa.array(c[used]) for c in counts),
-                    ],
-                    names=["half", "gram", "toxic", "ordinary"],
-                )
+    for row in B.rows_of(batches):
+        block = B.Block(row)
+        grams = block.grams(ORDER)
+        counts = []
+        for half in HALVES:
+            for label in (1, 0):
+                chosen = np.zeros(len(block.docs), dtype=bool)
+                own = (d for d in row["labelled"] if d["toxic"] == label and d["half"] == half)
+                chosen[[d["place"] for d in own]] = True
+                counts.append(grams.counts(block.word_counts(chosen)))
+        used = np.flatnonzero(sum(counts))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(grams.strings(used), pa.string()), *(pa.array(c[used]) for c in counts)],
+            names=["gram", *_CLASSES],
+        )
 
 
 def _features(shards: int):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = B.Block(row)
-                grams = block.grams()
-                every = np.arange(len(grams.first))
-                size = block.by_doc(grams.symbols.astype(np.float64))
-                ratios = []
-                for half in HALVES:
-                    total = block.by_doc(grams.by_word(B.answered(row, half, grams, every, shards)))
-                    ratios.append(np.round(total / np.maximum(size, 1), 6))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([d["doc_id"] for d in block.docs], pa.int64()),
-                        pa.array([row["block"]] * len(block.docs), pa.int64()),
-                        pa.array(np.arange(len(block.docs), dtype=np.int32)),
-                        *(pa.array(r) for r in ratios),
-                        pa.array(size),
-                    ],
-                    names=["doc_id", "block", "place", "ratio_a", "ratio_b", "size"],
-                )
+        for row in B.rows_of(batches):
+            block = B.Block(row)
+            grams = block.grams(ORDER)
+            size = block.by_doc(grams.symbols.astype(np.float64))
+            values = B.answered(row, "", grams, np.arange(len(grams.first)), shards)
+            if len(values) < 2:  # no words at all
+                values = np.zeros((2, len(grams.first)))
+            ratios = [
+                np.round(block.by_doc(grams.by_word(v)) / np.maximum(size, 1), 6) for v in values
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([d["doc_id"] for d in block.docs], pa.int64()),
+                    pa.array([row["block"]] * len(block.docs), pa.int64()),
+                    pa.array(np.arange(len(block.docs), dtype=np.int32)),
+                    *map(pa.array, ratios),
+                    pa.array(size),
+                ],
+                names=["doc_id", "block", "place", "ratio_a", "ratio_b", "size"],
+            )
 
     return features
 
@@ -86,11 +83,12 @@ def held_out() -> Column:
     return _crc() % FOLDS == 0
 
 
-def _surprise() -> Column:
+def _surprise(half: str) -> Column:
     """How many standard errors the shares of an n-gram after its context lie apart."""
-    one, other = F.col("total_toxic"), F.col("total_ordinary")
-    pooled = F.try_divide(F.col("toxic") + F.col("ordinary"), one + other)
-    apart = F.try_divide(F.col("toxic"), one) - F.try_divide(F.col("ordinary"), other)
+    one, other = F.col(f"total_toxic_{half}"), F.col(f"total_ordinary_{half}")
+    toxic, ordinary = F.col(f"toxic_{half}"), F.col(f"ordinary_{half}")
+    pooled = F.try_divide(toxic + ordinary, one + other)
+    apart = F.try_divide(toxic, one) - F.try_divide(ordinary, other)
     error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), one) + F.try_divide(F.lit(1.0), other)))
     return F.coalesce(F.try_divide(F.abs(apart), error), F.lit(0.0))
 
@@ -130,7 +128,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     letters = F.lower(F.regexp_replace(whole_text(), r"[^\p{L}\p{M}]+", " "))
     texts = docs.select("doc_id", F.lit("").alias("group"), letters.alias("text"))
     blocks = B.write_blocks(texts)
-    dictionary = B.dictionaries(blocks)
+    dictionary = B.dictionaries(blocks, ORDER)
     pooled = (
         dictionary.select("group", F.explode(F.arrays_zip("grams", "counts")).alias("g"))
         .groupBy("group", F.col("g.grams").alias("gram"))
@@ -150,23 +148,22 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     classes = stored(
         blocks.join(by_block, "block")
-        .mapInArrow(_class_counts, "half string, gram string, toxic long, ordinary long")
-        .groupBy("half", "gram")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")),
+        .mapInArrow(_class_counts, "gram string, " + ", ".join(f"{name} long" for name in _CLASSES))
+        .groupBy("gram")
+        .agg(*(F.sum(name).alias(name) for name in _CLASSES)),
         "class-counts",
     )
-    shared = probabilities(stored(pooled, "gram-counts"), B.ORDER)
-    told = ~F.col("gram").startswith(B.START * 3) & (_surprise() >= LEAST_SURPRISE)
-    models = [
-        class_probabilities(shared, classes.where(F.col("half") == half), B.ORDER, ["toxic", "ordinary"]).select(
-            F.lit(half).alias("group"),
-            "gram",
-            F.when(told, F.log(F.col("p_toxic") / F.col("p_ordinary"))).otherwise(F.lit(0.0)).alias("value"),
-        )
-        for half in HALVES
-    ]
-    asked = dictionary.select("block", F.explode(F.array(*map(F.lit, HALVES))).alias("group"), "grams")
-    answers, shards = B.answers(asked, models[0].unionByName(models[1]))
+    shared = probabilities(stored(pooled, "gram-counts"), ORDER)
+    model = class_probabilities(shared, classes, ORDER, _CLASSES)
+    told = ~F.col("gram").startswith(B.START * 3)
+
+    def ratio(half: str) -> Column:
+        likelier = F.log(F.col(f"p_toxic_{half}") / F.col(f"p_ordinary_{half}"))
+        return F.when(told & (_surprise(half) >= LEAST_SURPRISE), likelier).otherwise(F.lit(0.0))
+
+    answers, shards = B.answers(
+        dictionary, model.select(F.lit("").alias("group"), "gram", ratio("a").alias("a"), ratio("b").alias("b"))
+    )
     found = blocks.join(answers, "block", "left").mapInArrow(
         _features(shards),
         "doc_id long, block long, place int, ratio_a double, ratio_b double, size double",
