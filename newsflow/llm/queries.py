@@ -5,7 +5,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsflow.llm import chat, exact_dedup, line_dedup, mixing, near_dedup, quality, toxicity
+from newsflow.llm import chat, exact_dedup, line_dedup, mixing, near_dedup, pieces, quality, toxicity
 from newsflow.llm.common import session_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,16 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        "ids",
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
