@@ -5,7 +5,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsflow.llm import chat, exact_dedup, line_dedup, mixing, near_dedup, pieces, quality, toxicity
+from newsflow.llm import chat, exact_dedup, licenses, line_dedup, main_text, mixing, near_dedup, pieces, quality, toxicity
 from newsflow.llm.common import session_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return frame
 
 
+@query()
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
@@ -119,6 +124,13 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
