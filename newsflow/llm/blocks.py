@@ -104,7 +104,7 @@ class Grams:
 
     def by_word(self, values: np.ndarray) -> np.ndarray:
         """Sum of n-gram values over each word."""
-        return np.bincount(self.word, values[self.gram], len(self.symbols))
+        return np.bincount(self.word, values[self.gram], len(self.symbols)).astype(np.float64)
 
 
 # Between packed words: a byte that UTF-8 does not use.
@@ -113,14 +113,14 @@ _BETWEEN = b"\xff"
 
 def packed(array: np.ndarray) -> bytes:
     """Deflated, byte plane by byte plane."""
-    planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), -1).T
+    planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), array.itemsize).T
     return zlib.compress(planes.tobytes(), 3)
 
 
 def unpacked(data: bytes, dtype: type) -> np.ndarray:
     raw = np.frombuffer(zlib.decompress(data), dtype=np.uint8)
     width = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(raw.reshape(width, -1).T).view(dtype).reshape(-1)
+    return np.ascontiguousarray(raw.reshape(width, len(raw) // width).T).view(dtype).reshape(-1)
 
 
 class Block:
@@ -143,7 +143,7 @@ class Block:
 
     def by_doc(self, values: np.ndarray) -> np.ndarray:
         """Sum of word values over each document."""
-        return np.bincount(self.doc_of_word, values[self.ids], len(self.docs))
+        return np.bincount(self.doc_of_word, values[self.ids], len(self.docs)).astype(np.float64)
 
 
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()

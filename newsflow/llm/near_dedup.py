@@ -30,7 +30,7 @@ BLOCK_SHINGLES = 1_500_000
 # Members that are compared first, as they have the most common shingles.
 _PIVOTS = 8
 _CHUNK = 4096
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 100_000
 _U = np.uint64
 
 
@@ -221,8 +221,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> Da
     keys = stored(_table_keys(reps), "table-keys")
 
     firsts = keys.groupBy("key").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1")
-    shared = keys.join(firsts, "key").where("rep <> first")
-    families = components(shared.select(F.col("rep").alias("u"), F.col("first").alias("v")).distinct())
+    families = _families(keys.join(firsts, "key").select("rep", "first"))
     texts = rows.join(families, F.col("doc_id") == F.col("node"), "left_semi")
     sets = stored(texts.mapInArrow(_sets(words), "rep long, shingles binary").dropDuplicates(["rep"]), "sets")
     labels = components(_family_links(sets, families, similarity))
@@ -261,6 +260,25 @@ def _table_keys(reps: DataFrame) -> DataFrame:
     return pairs.select(F.xxhash64("a", "b").alias("key"), "rep")
 
 
+def _families(shared: DataFrame) -> DataFrame:
+    """node, component for documents that share keys with the first of a bucket.
+
+    A document stands with the least of its firsts; only the firsts of one document are
+    linked with one another, so a hot bucket adds a row per member and few links.
+    """
+    least = stored(shared.groupBy("rep").agg(F.min("first").alias("least")), "least-firsts")
+    links = (
+        shared.join(least, "rep")
+        .where("first <> least")
+        .select(F.col("least").alias("u"), F.col("first").alias("v"))
+        .distinct()
+    )
+    named = components(links).select(F.col("node").alias("least"), "component")
+    return least.join(named, "least", "left").select(
+        F.col("rep").alias("node"), F.coalesce("component", "least").alias("component")
+    )
+
+
 def _family_links(sets: DataFrame, families: DataFrame, similarity: int) -> DataFrame:
     """Links (u, v) that connect what is connected inside each family."""
     members = sets.join(families.withColumnRenamed("component", "family"), sets.rep == families.node)
