@@ -20,12 +20,12 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from newsflow.llm.common import stored
+from newsflow.llm.common import each, stored
 from newsflow.plans.session import working_folder
 
 START, END = "\x02", "\x03"
 # Words in one block, about: bounds what a task holds of text and vocabulary at once.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_500_000
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 WINDOW = 8
@@ -185,8 +185,7 @@ def cut(split=split_words, count=base_counts, block_words: int = BLOCK_WORDS):
             return pa.RecordBatch.from_pylist([row], schema=_BLOCK_SCHEMA)
 
         for batch in batches:
-            columns = (batch[name].to_pylist() for name in ("doc_id", "group", "text"))
-            for doc, group, text in zip(*columns):
+            for doc, group, text in each(batch, "doc_id", "group", "text"):
                 words = split(text)
                 if docs and size + len(words) > block_words:
                     yield block()

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from newsflow.llm.common import session_of, whole_text
+from newsflow.llm.common import each, session_of, whole_text
 
 COVERAGE = 0.8
 # How many of a template's words, the rarest in the text first, stretches are taken around.
@@ -198,7 +198,7 @@ def _scan(templates: list[tuple[str, str]], coverage: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, coverage)
         for batch in batches:
-            found = [scanner.scan(text) for text in batch["text"].to_pylist()]
+            found = [scanner.scan(text) for (text,) in each(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(found, pa.list_(_SPAN))], names=["doc_id", "licenses"]
             )

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from newsflow.llm.common import session_of, stored, whole_text
+from newsflow.llm.common import each, session_of, stored, whole_text
 
 SALTS = 16
 KEYS_PER_SHARD = 100_000
@@ -42,7 +42,7 @@ def _count_lines(min_chars: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[bytes, list] = {}
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+            for doc, text in each(batch, "doc_id", "text"):
                 doc = _LEAST if doc is None else doc
                 for digest in {digest for _, digest in long_lines(text, min_chars)}:
                     seen = found.get(digest)
@@ -65,8 +65,7 @@ def _probes(min_chars: int, shards: int):
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, rows, numbers, digests = [], [], [], []
-            columns = (batch[name].to_pylist() for name in ("doc_id", "text_hash", "text"))
-            for doc, text_hash, text in zip(*columns):
+            for doc, text_hash, text in each(batch, "doc_id", "text_hash", "text"):
                 for number, digest in long_lines(text, min_chars):
                     docs.append(doc)
                     rows.append(text_hash)

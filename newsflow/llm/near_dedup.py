@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from newsflow.llm.common import session_of, stored, whole_text
+from newsflow.llm.common import each, session_of, stored, whole_text
 from newsflow.llm.components import components
 
 TABLES, ROWS = 16, 3
@@ -87,7 +87,7 @@ def _sketch(words: int):
         hashes = _WordHashes()
         for batch in batches:
             counts, low, high, groups = [], [], [], []
-            for text in batch["text"].to_pylist():
+            for (text,) in each(batch, "text"):
                 shingles = shingle_set(text, words, hashes)
                 counts.append(len(shingles))
                 digest = xxhash.xxh3_128_digest(shingles.tobytes())
@@ -112,7 +112,7 @@ def _sets(words: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            found = [shingle_set(t, words, hashes).tobytes() for t in batch["text"].to_pylist()]
+            found = [shingle_set(t, words, hashes).tobytes() for (t,) in each(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(found, pa.binary())], names=["rep", "shingles"]
             )

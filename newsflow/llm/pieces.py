@@ -1,35 +1,35 @@
-"""SentencePiece encoding and decoding over a relational lattice.
+"""SentencePiece encoding and decoding over a lattice of pieces.
 
 A text is cut into units that no piece crosses: runs of space marks with what follows, and
-line ends. The distinct units of the corpus are exploded into their substrings of bounded
-length and joined with the piece table (of fixed size); the matches, grouped by unit, are
-its lattice. A lattice is folded into one path: by Viterbi for unigram models, by merging
-in the order of the scores for BPE models, whose scores are ranks that a best sum over a
-path does not respect. What no piece covers becomes byte pieces.
-
-Documents hold unit numbers in blocks (see ``blocks``), each distinct unit of a block asks
-for its path once, and the answers come back packed by block.
+line ends. A unit's substrings of bounded length are joined with the piece table (of fixed
+size); the matches are its lattice, which is folded into one path: by Viterbi for unigram
+models, by merging in the order of the scores for BPE models, whose scores are ranks that
+a best sum over a path does not respect. What no piece covers becomes byte pieces.
+
+``lattice`` and ``viterbi`` are the relational form, for tables of units. ``encode`` does the
+same inside the tasks that read the documents, once per distinct unit of a task, so that
+documents are not shuffled: as global joins (unit tables, grouping, answers to documents)
+the same work took more disk and time than the limits allow, see the README.
 """
 
 import heapq
 import re
-import struct
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from newsflow.llm import blocks as B
-from newsflow.llm.common import session_of, stored, whole_text
+from newsflow.llm.common import each, session_of, whole_text
 
 MARK = "▁"  # stands for a space
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Substrings are cut from windows of this many characters, so long units stay linear.
 WINDOW = 256
-BLOCK_UNITS = 4_000_000
+# Paths of distinct units that a task keeps at a time.
+KEPT_PATHS = 300_000
+# Documents in one result batch, which holds ids and texts.
+_RESULT_DOCS = 500
 _UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 
@@ -57,6 +57,7 @@ class Pieces:
     def __init__(self, table: DataFrame) -> None:
         rows = sorted(table.collect(), key=lambda r: r["id"])
         self.scores = {r["id"]: r["score"] for r in rows}
+        self.ids = {r["piece"]: r["id"] for r in rows if r["kind"] == "normal"}
         self.bytes = {int(r["piece"][3:5], 16): r["id"] for r in rows if r["kind"] == "byte"}
         self.unknown = next((r["id"] for r in rows if r["piece"] == "<unk>"), 0)
         self.text = {r["id"]: r["piece"].encode() for r in rows if r["kind"] == "normal"}
@@ -103,11 +104,53 @@ class Pieces:
             place = ends[place]
         return found
 
+    def edges(self, unit: str) -> dict[tuple[int, int], int]:
+        """The lattice of a unit: (start, length) of its substrings that are pieces."""
+        return {
+            (start, end - start): piece
+            for start in range(len(unit))
+            for end in range(start + 1, min(start + self.longest, len(unit)) + 1)
+            if (piece := self.ids.get(unit[start:end])) is not None
+        }
+
     def decoded(self, ids: list[int]) -> str:
         raw = b"".join([self.text.get(i, b"") for i in ids]).decode(errors="replace")
         return raw.replace(MARK, " ").removeprefix(" ")
 
 
+class Encoder(dict):
+    """Paths by the words between spaces, as packed ids; made once while they are kept."""
+
+    def __init__(self, pieces: Pieces) -> None:
+        super().__init__()
+        self.pieces = pieces
+
+    def __missing__(self, word: str) -> bytes:
+        ids = [
+            i for unit in _UNIT.findall(MARK + word) for i in self.pieces.merged(unit, self.pieces.edges(unit))
+        ]
+        if len(self) >= KEPT_PATHS:
+            self.clear()
+        self[word] = path = np.array(ids, dtype=np.int32).tobytes()
+        return path
+
+    def encode(self, text: str) -> np.ndarray:
+        if not text:
+            return np.empty(0, dtype=np.int32)
+        text = text.replace(MARK, " ")
+        words = text.split(" ")
+        if "" in words:  # several spaces in a row belong to the word behind them
+            words = _spaced(text)
+        return np.frombuffer(b"".join([self[word] for word in words]), dtype=np.int32)
+
+
+def _spaced(text: str) -> list[str]:
+    """Words with all but one of the spaces before them, as marks; what stands at the end
+    without a word is a word of marks."""
+    found = re.findall(" +[^ ]*", " " + text)
+    return [MARK * (len(run) - len(run.lstrip(" ")) - 1) + run.lstrip(" ") for run in found]
+
+
 def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """unit and its edges: array of (start << 40 | length << 32 | piece id), sorted.
 
@@ -189,92 +232,19 @@ def viterbi(edges: Column, scores: Column, size: Column) -> Column:
     return F.get(folded, size)["ids"]
 
 
-def _merge(pieces: Pieces):
-    """Pandas UDF: BPE paths of units, given their lattices."""
-
-    def merge(units: pd.Series, edges: pd.Series) -> pd.Series:
-        paths = []
-        for unit, codes in zip(units, edges):
-            codes = np.empty(0, dtype=np.int64) if codes is None else np.asarray(codes)
-            starts, sizes = (codes >> 40).tolist(), ((codes >> 32) & 255).tolist()
-            table = dict(zip(zip(starts, sizes), (codes & 0xFFFFFFFF).tolist()))
-            paths.append(pieces.merged(unit, table))
-        return pd.Series(paths)
-
-    return F.pandas_udf(merge, "array<int>")
-
-
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for row in B.rows_of(batches):
-        units = B.Block(row).words
-        for start in range(0, len(units), 20_000):
-            part = units[start : start + 20_000]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(part),
-                    pa.array([row["block"]] * len(part), pa.int64()),
-                    pa.array(np.arange(start, start + len(part), dtype=np.int32)),
-                ],
-                names=["unit", "block", "place"],
-            )
-
-
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Paths packed by block: places, path lengths, and ids, deflated."""
-    for batch in batches:
-        names = batch["block"].to_numpy()
-        order = np.argsort(names, kind="stable")
-        bounds = [0, *(np.flatnonzero(np.diff(names[order])) + 1).tolist(), len(order)]
-        for start, end in pairwise(bounds):
-            if start == end:
-                continue
-            part = batch.take(pa.array(order[start:end]))
-            ids = part["ids"]
-            sizes = np.diff(ids.offsets.to_numpy())
-            places = part["place"].to_numpy()
-            data = [
-                B.packed(a.astype(np.uint32)) for a in (places, sizes, ids.flatten().to_numpy(zero_copy_only=False))
-            ]
-            head = struct.pack("<3I", *map(len, data))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(names[order[start]])], pa.int64()), pa.array([head + b"".join(data)], pa.binary())],
-                names=["block", "paths"],
-            )
-
-
 def _encoded(pieces: Pieces):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in B.rows_of(batches):
-            block = B.Block(row)
-            starts = np.zeros(len(block.words), dtype=np.int64)
-            sizes = np.zeros(len(block.words), dtype=np.int64)
-            parts, base = [], 0
-            for data in row["paths"] or []:
-                lengths = struct.unpack("<3I", data[:12])
-                cuts = np.cumsum([12, *lengths]).tolist()
-                places, own, ids = (B.unpacked(data[a:b], np.uint32) for a, b in pairwise(cuts))
-                sizes[places] = own
-                starts[places] = base + np.cumsum(own) - own
-                parts.append(ids)
-                base += len(ids)
-            flat = np.concatenate(parts).astype(np.int32) if parts else np.empty(0, np.int32)
-            at = 0
-            for first in range(0, len(block.docs), 500):
-                found = {name: [] for name in ("doc_id", "ids", "text")}
-                for doc in block.docs[first : first + 500]:
-                    own = block.ids[at : at + doc["n_words"]]
-                    at += doc["n_words"]
-                    n = sizes[own]
-                    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    ids = flat[np.repeat(starts[own], n) + inside]
-                    found["doc_id"].append(doc["doc_id"])
-                    found["ids"].append(ids)
-                    found["text"].append(pieces.decoded(ids.tolist()))
+        encoder = Encoder(pieces)
+        for batch in batches:
+            for start in range(0, batch.num_rows, _RESULT_DOCS):
+                part = batch.slice(start, _RESULT_DOCS)
+                ids = [encoder.encode(text) for (text,) in each(part, "text")]
+                texts = [pieces.decoded(found.tolist()) for found in ids]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(found["doc_id"], pa.int64()),
-                        pa.array(found["ids"], pa.list_(pa.int32())),
-                        pa.array(found["text"], pa.string()),
+                        part["doc_id"],
+                        pa.array(ids, pa.list_(pa.int32())),
+                        pa.array(texts, pa.string()),
                     ],
                     names=["doc_id", "ids", "text"],
                 )
@@ -282,10 +252,6 @@ def _encoded(pieces: Pieces):
     return encoded
 
 
-def _unit_counts(text: str, ids: np.ndarray) -> tuple[int, int, int, int, int]:
-    return len(ids), 0, 0, 0, 0
-
-
 def encode(docs: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, ids, text (decoded from the ids).
 
@@ -295,21 +261,9 @@ def encode(docs: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
     no rows.
     """
     spark = session_of(docs)
-    pieces = piece_table(spark) if pieces is None else pieces
-    table = Pieces(pieces)
-    texts = docs.select("doc_id", F.lit("").alias("group"), whole_text().alias("text"))
-    cutter = B.cut(lambda text: [u.encode() for u in units_of(text)], _unit_counts, BLOCK_UNITS)
-    blocks = B.write_blocks(texts, cutter)
-    uses = blocks.mapInArrow(_units, "unit string, block long, place int")
-    uses = B.bucketed(uses.repartition("unit"), "unit")
-    units = uses.select("unit").distinct()
-    edges = units.join(lattice(units, pieces, table.longest), "unit", "left")
-    paths = edges.select("unit", _merge(table)("unit", "edges").alias("ids"))
-    asked = uses.join(paths, "unit").select("block", "place", "ids").mapInArrow(_pack, "block long, paths binary")
-    answers = asked.groupBy("block").agg(F.collect_list("paths").alias("paths"))
-    return blocks.join(answers, "block", "left").mapInArrow(
-        _encoded(table), "doc_id long, ids array<int>, text string"
-    )
+    table = Pieces(piece_table(spark) if pieces is None else pieces)
+    texts = docs.select("doc_id", whole_text().alias("text"))
+    return texts.mapInArrow(_encoded(table), "doc_id long, ids array<int>, text string")
 
 
 def decode(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
