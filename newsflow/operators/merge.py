@@ -23,40 +23,46 @@ def entity_order(batch: Column, record_id: Column) -> Column:
     return F.struct(batch, translated, F.coalesce(number, F.lit(-1)), record_id)
 
 
-def latest_per_url(pairs: DataFrame, order: Column, alias: str, *extra: Column) -> DataFrame:
-    """Last id of each URL. Partial aggregation runs before the shuffle, so a hot URL is cheap.
+def latest_per_url(
+    pairs: DataFrame, order: Column, alias: str, *extra: Column, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Last id of each URL (and group of ``by``). Partial aggregation runs before the shuffle, so a hot URL is cheap.
 
     Records without a URL name no article and are left out.
     """
     return (
         pairs.where(F.col("url").isNotNull() & (F.col("url") != ""))
-        .groupBy("url")
+        .groupBy("url", *by)
         .agg(F.max_by("id", order).alias(alias), *extra)
     )
 
 
 def merge_url_ids(
-    events: DataFrame, entities: DataFrame, how: str = "left", keep_batch: bool = False
+    events: DataFrame,
+    entities: DataFrame,
+    how: str = "left",
+    keep_batch: bool = False,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
     """``(url, eventid, gkgid)`` from two ``(id, url, batch)`` sets.
 
     ``left`` keeps event URLs only, as the feed job does; ``outer`` also keeps URLs that
     only the entity feed has. A missing entity id is ''. ``keep_batch`` adds the last
-    batch of each URL.
+    batch of each URL. ``by`` merges within groups, such as days.
     """
     batch, record_id = F.col("batch"), F.col("id")
     last_batch = [F.max(batch.try_cast("bigint")).alias("_batch")] if keep_batch else []
-    last_events = latest_per_url(events, event_order(batch, record_id), "eventid", *last_batch)
+    last_events = latest_per_url(events, event_order(batch, record_id), "eventid", *last_batch, by=by)
     last_entities = latest_per_url(
-        entities, entity_order(batch, record_id), "gkgid", *[c.alias("_other") for c in last_batch]
+        entities, entity_order(batch, record_id), "gkgid", *[c.alias("_other") for c in last_batch], by=by
     )
-    merged = last_events.join(last_entities, "url", how)
+    merged = last_events.join(last_entities, ["url", *by], how)
     batches = (
         [F.lpad(F.greatest("_batch", "_other").cast("string"), 14, "0").alias("batch")]
         if keep_batch
         else []
     )
-    return merged.select("url", "eventid", F.coalesce("gkgid", F.lit("")).alias("gkgid"), *batches)
+    return merged.select("url", *by, "eventid", F.coalesce("gkgid", F.lit("")).alias("gkgid"), *batches)
 
 
 def duplicate_counts(

@@ -30,12 +30,20 @@ def write_observed(
     kind: str,
     **metrics: Column,
 ) -> dict:
-    """Run a write once, collect metrics from the rows that pass through it, log the run."""
+    """Run a write once, collect metrics from the rows that pass through it, log the run.
+
+    Where adaptive execution finds out that there is nothing to write it drops the observed
+    plan, and no metrics come: all counts are then zero.
+    """
     started = datetime.now(timezone.utc)
     seen = Observation(kind)
     counted = [column.alias(name) for name, column in metrics.items()]
     write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counted))
-    found = dict(seen.get)
+    try:
+        found = dict(seen.get)
+    except AssertionError:
+        found = dict.fromkeys(["rows", *metrics], 0)
+    found = {name: 0 if value is None else value for name, value in found.items()}
     message = "; ".join(f"{name}: {value}" for name, value in found.items())
     log_run(df.sparkSession, runs_path, kind, started, message)
     return found

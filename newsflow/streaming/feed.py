@@ -16,11 +16,12 @@ from newsflow.functions.urls import article_key
 from newsflow.operators.docs import unseen
 from newsflow.operators.merge import duplicate_counts, merge_url_ids
 from newsflow.operators.pages import PAGE_KEYS, one_per_article, with_article_id
-from newsflow.operators.skew import broadcast_checked
 from newsflow.plans.jobs import BY_RUN, process_pages
 from newsflow.sinks.runlog import log_run, write_observed
-from newsflow.sinks.tables import write_dated
+from newsflow.sinks.tables import clear, read_days, write_dated
+from newsflow.sources.archives import unzip_lines
 from newsflow.sources.extracts import parse_lines
+from newsflow.sources.layout import day_folders
 
 SLOT = "15 minutes"
 
@@ -34,13 +35,17 @@ def read_extract_stream(
     return stream.select("*", batch_digits(F.col("_metadata.file_name")).alias("batch"))
 
 
-def read_feed_lines(spark: SparkSession, path: str, files_per_trigger: int = 192) -> DataFrame:
+def read_feed_lines(
+    spark: SparkSession, path: str, files_per_trigger: int = 192, encoding: str = "UTF-8"
+) -> DataFrame:
     """Lines of newly landed extract files of all kinds: ``(kind, batch, line)``.
 
-    Both feeds in one stream, so the files of a batch that land together are merged in
-    the same micro-batch.
+    Zip archives are read with ``read_zip_stream``.
     """
-    lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+    # the text source knows UTF-8 only; the line separator keeps CSV from splitting fields
+    whole = {"sep": "\x01", "quote": "", "escape": "", "encoding": encoding}
+    lines = reader.schema("value string").options(**whole).csv(path) if encoding != "UTF-8" else reader.text(path)
     name = F.col("_metadata.file_name")
     return lines.select(
         F.get(F.split(name, r"\."), F.lit(1)).alias("kind"),
@@ -49,6 +54,22 @@ def read_feed_lines(spark: SparkSession, path: str, files_per_trigger: int = 192
     )
 
 
+def read_zip_stream(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", files_per_trigger: int = 192
+) -> DataFrame:
+    """The same from zip archives. A broken archive gives one line of kind ``error``."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    archives = spark.readStream.format("binaryFile").schema(schema)
+    archives = archives.option("maxFilesPerTrigger", files_per_trigger).option("pathGlobFilter", "*.zip")
+    lines = unzip_lines(archives.load(path), encoding)
+    name = F.col("file_name")
+    return lines.select(
+        F.when(F.col("error").isNull(), F.get(F.split(name, r"\."), F.lit(1))).otherwise("error").alias("kind"),
+        batch_digits(name).alias("batch"),
+        F.coalesce("line", "error").alias("line"),
+    )
+
+
 def slot_counts(rows: DataFrame, ts: str, *by: str, delay: str | None = "1 day") -> DataFrame:
     """Rows per 15-minute slot and group, for streams and for batch tables alike."""
     if rows.isStreaming and delay:
@@ -81,8 +102,7 @@ def landed_before(
     spark: SparkSession, path: str, schema: T.StructType, run: str, days: list[str]
 ) -> DataFrame:
     """Rows that other runs have landed for some days; only those partitions are read."""
-    landed = spark.read.schema(schema).parquet(path)
-    return landed.where(F.col("ymd").isin(days) & (F.col("run") != run))
+    return read_days(spark, path, schema, days).where(F.col("run") != run)
 
 
 def batch_days(batch: DataFrame, ymd: Column) -> list[str]:
@@ -122,6 +142,10 @@ def land_once(
     )
 
 
+_PAIRS = "kind string, id string, url string, batch string, ymd string"
+_URLS = "url string, eventid bigint, gkgid string, batch string, article_id string, ymd string"
+
+
 def ingest_urls(
     lines: DataFrame,
     path: str,
@@ -130,61 +154,70 @@ def ingest_urls(
     every: str | None = None,
     count_duplicates: bool = True,
 ) -> StreamingQuery:
-    """Merge each micro-batch of feed lines on URL and land articles not seen before.
+    """Merge feed lines on URL, one row per URL and day, whatever the micro-batches are.
 
-    ``lines`` is ``(kind, batch, line)``. Each micro-batch logs its counts.
+    ``lines`` is ``(kind, batch, line)``. A micro-batch first lands its ids as rows of
+    ``path/pairs``, by day and run. Then the days it has rows for are merged anew from all
+    that has landed for them and replace their partition of ``path/urls``. The result
+    follows from the files alone: a batch's files may come in any order and in different
+    micro-batches. Each micro-batch logs what it read, corrupt lines too, and what the days
+    hold now.
 
-    The landed table is ``(url, eventid, gkgid, batch, article_id, ymd, run)``.
+    ``path/urls`` is ``(url, eventid, gkgid, batch, article_id, ymd)``.
     """
     spark = lines.sparkSession
-    schema = T.StructType.fromDDL(
-        "url string, eventid bigint, gkgid string, batch string, article_id string, ymd string"
-    )
-    _ensure_table(spark, path, _with_run(schema), BY_RUN)
+    pair_schema, url_schema = _with_run(T.StructType.fromDDL(_PAIRS)), T.StructType.fromDDL(_URLS)
+    _ensure_table(spark, f"{path}/pairs", pair_schema, BY_RUN)
+    _ensure_table(spark, f"{path}/urls", url_schema, ("ymd",))
 
     def pairs(
         batch: DataFrame, kind: str, schema: T.StructType, record_id: str, url: str
     ) -> DataFrame:
         parsed = parse_lines(batch.where(F.col("kind") == kind), "line", schema, "batch")
-        return parsed.select(F.col(record_id).alias("id"), F.col(url).alias("url"), "batch")
+        return parsed.select(
+            F.lit(kind).alias("kind"),
+            F.col(record_id).cast("string").alias("id"),
+            F.col(url).alias("url"),
+            "batch",
+            F.substring("batch", 1, 8).alias("ymd"),
+            F.col(schemas.CORRUPT).isNotNull().alias("bad"),
+        )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # Kept for this micro-batch: three narrow columns, so lines are parsed only once.
-        events = pairs(
-            batch, "export", schemas.EVENTS, schemas.EVENT_ID, schemas.EVENT_URL
-        ).persist()
-        records = pairs(
-            batch, "gkg", schemas.ENTITIES, schemas.ENTITY_ID, schemas.ENTITY_URL
-        ).persist()
-        try:
-            land_merged(events, records, batch_id)
-            if count_duplicates:
-                log_duplicates(events, records)
-        finally:
-            events.unpersist()
-            records.unpersist()
-
-    def land_merged(events: DataFrame, records: DataFrame, batch_id: int) -> None:
-        merged = merge_url_ids(events, records, keep_batch=True).withColumns(
-            {
-                "article_id": article_key(F.col("eventid"), F.col("gkgid")),
-                "ymd": F.substring("batch", 1, 8),
-            }
+        run = _run_label(batch_id)
+        found = pairs(batch, "export", schemas.EVENTS, schemas.EVENT_ID, schemas.EVENT_URL).unionByName(
+            pairs(batch, "gkg", schemas.ENTITIES, schemas.ENTITY_ID, schemas.ENTITY_URL)
+        )
+        clear(spark, f"{path}/pairs/ymd=*/run={run}")
+        good = ~F.col("bad") & F.col("ymd").isNotNull()
+
+        def land(rows: DataFrame) -> None:
+            new = rows.where(good).drop("bad").withColumn("run", F.lit(run))
+            write_dated(new, f"{path}/pairs", BY_RUN, rebalance=False)
+
+        write_observed(found, land, runs, f"ingest {run}", bad_lines=F.sum(F.col("bad").cast("int")))
+        days = [day for day in day_folders(spark, f"{path}/pairs") if _has_run(spark, path, day, run)]
+        if days:
+            merge_days(days, run)
+
+    def merge_days(days: list[str], run: str) -> None:
+        landed = read_days(spark, f"{path}/pairs", pair_schema, days)
+        events = landed.where("kind = 'export'").withColumn("id", F.col("id").cast("bigint"))
+        records = landed.where("kind = 'gkg'")
+        merged = merge_url_ids(events, records, keep_batch=True, by=("ymd",)).withColumn(
+            "article_id", article_key(F.col("eventid"), F.col("gkgid"))
         )
-        batches = events.select("batch").unionByName(records.select("batch"))
-        days = batch_days(batches, F.substring("batch", 1, 8))
         write_observed(
-            merged,
-            lambda df: land_unseen(df, batch_id, path, list(PAGE_KEYS), days),
+            merged.select(*url_schema.names),
+            lambda rows: write_dated(rows, f"{path}/urls", ("ymd",)),
             runs,
-            f"ingest {_run_label(batch_id)}",
+            f"merged {run}",
         )
+        if count_duplicates:
+            log_duplicates(landed.where(F.col("run") == run))
 
-    def log_duplicates(events: DataFrame, records: DataFrame) -> None:
-        feeds = events.select("url", F.lit("export").alias("kind")).unionByName(
-            records.select("url", F.lit("gkg").alias("kind"))
-        )
-        for row in duplicate_counts(feeds, "url", "kind").collect():  # one row per feed
+    def log_duplicates(rows: DataFrame) -> None:
+        for row in duplicate_counts(rows, "url", "kind").collect():  # one row per feed
             counts = (row.n_rows, row.n_distinct, row.n_duplicates)
             message = "urls: %d; distinct: %d; duplicates: %d" % counts
             log_run(spark, runs, f"duplicates {row.kind}", datetime.now(timezone.utc), message)
@@ -192,14 +225,18 @@ def ingest_urls(
     return _start(lines, handle, checkpoint, "append", every)
 
 
+def _has_run(spark: SparkSession, path: str, day: str, run: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/pairs/ymd={day}/run={run}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def new_pages(batch: DataFrame, landed: DataFrame) -> DataFrame:
     """Pages of a micro-batch whose article has not landed, one per article.
 
-    The lookup runs on the keys alone; HTML is only shuffled when the micro-batch itself
-    holds an article twice, or holds more new articles than may be broadcast.
+    The lookup runs on the keys alone.
     """
     keyed, keys = with_article_id(batch), list(PAGE_KEYS)
-    new = broadcast_checked(unseen(keyed.select(*keys).distinct(), landed, keys))
+    new = unseen(keyed.select(*keys).distinct(), landed, keys)
     return one_per_article(keyed.join(new, keys, "left_semi").select(*batch.columns))
 
 

@@ -3,45 +3,55 @@
 from datetime import datetime
 
 import pytest
-from files import entity_line, event_line, write
+from files import entity_line, event_line, write, write_zip
 from pyspark.sql import functions as F
 
 from newsflow import schemas
 from newsflow.sinks import runlog
 from newsflow.streaming import feed
 
-URLS = "url string, eventid bigint, gkgid string, batch string, article_id string, ymd string, run string"
+URLS = "url string, eventid bigint, gkgid string, batch string, article_id string, ymd string"
 
 
-def run_ingest(spark, folder):
-    lines = feed.read_feed_lines(spark, f"{folder}/in")
+def run_ingest(spark, folder, per_trigger=192):
+    lines = feed.read_feed_lines(spark, f"{folder}/in", per_trigger)
     feed.ingest_urls(lines, f"{folder}/out", f"{folder}/checkpoint", f"{folder}/runs").awaitTermination()
-    return spark.read.schema(URLS).parquet(f"{folder}/out")
+    return spark.read.schema(URLS).parquet(f"{folder}/out/urls")
 
 
-def test_ingest_of_newly_landed_batches(spark, folder):
+@pytest.mark.parametrize("per_trigger", [1, 2, 192])
+def test_ingest_does_not_depend_on_triggers(spark, folder, per_trigger):
+    """Two days; a batch's files apart, mentions and entities alone in a micro-batch."""
     write(f"{folder}/in/20190311214500.export.CSV",
-          "\n".join([event_line(1, "http://a/"), event_line(2, "http://a/"), event_line(3, "http://b/")]) + "\n")
+          "\n".join([event_line(1, "http://a/"), event_line(2, "http://a/"), event_line(3, "http://b/"), "bad"]) + "\n")
     write(f"{folder}/in/20190311214500.gkg.csv.gz", entity_line("20190311214500-4", "http://a/") + "\n")
     write(f"{folder}/in/20190311214500.mentions.CSV", "1\tignored\n")
-    first = run_ingest(spark, folder)
-    assert sorted((r.url, r.eventid, r.gkgid, r.article_id, r.ymd) for r in first.collect()) == [
-        ("http://a/", 2, "20190311214500-4", "2", "20190311"), ("http://b/", 3, "", "3", "20190311"),
-    ]
-    # Nothing new: nothing changes. Then a batch with a known event id, a late one, and a new day.
-    assert run_ingest(spark, folder).count() == 2
-    write(f"{folder}/in/20190311220000.export.CSV",
-          "\n".join([event_line(3, "http://b/"), event_line(5, "http://c/")]) + "\n")
-    write(f"{folder}/in/20190101000000.export.CSV", event_line(6, "http://late/") + "\n")
-    write(f"{folder}/in/20190312000000.export.CSV", event_line(7, "http://d/") + "\n")
-    found = run_ingest(spark, folder)
-    assert sorted((r.ymd, r.article_id) for r in found.collect()) == [
-        ("20190101", "6"), ("20190311", "2"), ("20190311", "3"), ("20190311", "5"), ("20190312", "7"),
-    ]
-    log = {r.kind: r.message for r in spark.read.schema(runlog.RUNS_DDL).json(f"{folder}/runs").collect()}
-    assert log["ingest 000000000000"] == "rows: 2"
-    assert "urls: 3; distinct: 2; duplicates: 1" in {
-        r.message for r in spark.read.schema(runlog.RUNS_DDL).json(f"{folder}/runs").collect()}
+    first = [("http://a/", 2, "20190311214500-4", "2", "20190311"), ("http://b/", 3, "", "3", "20190311")]
+
+    def rows(found):
+        return sorted((r.url, r.eventid, r.gkgid, r.article_id, r.ymd) for r in found.collect())
+
+    assert rows(run_ingest(spark, folder, per_trigger)) == first
+    # Nothing new: nothing changes. Then late entities, a later batch and a new day.
+    assert rows(run_ingest(spark, folder, per_trigger)) == first
+    write(f"{folder}/in/20190311220000.gkg.csv.gz", entity_line("20190311220000-1", "http://b/") + "\n")
+    write(f"{folder}/in/20190311220000.export.CSV", event_line(5, "http://c/") + "\n")
+    write(f"{folder}/in/20190312000000.export.CSV", event_line(7, "http://a/") + "\n")
+    assert rows(run_ingest(spark, folder, per_trigger)) == [
+        ("http://a/", 2, "20190311214500-4", "2", "20190311"), ("http://a/", 7, "", "7", "20190312"),
+        ("http://b/", 3, "20190311220000-1", "3", "20190311"), ("http://c/", 5, "", "5", "20190311")]
+    log = spark.read.schema(runlog.RUNS_DDL).json(f"{folder}/runs").collect()
+    assert any("bad_lines: 1" in r.message for r in log)
+    assert "urls: 3; distinct: 2; duplicates: 1" in {r.message for r in log if r.kind == "duplicates export"}
+
+
+def test_ingest_of_archives(spark, folder):
+    write_zip(f"{folder}/in/20190311214500.export.CSV.zip",
+              {"20190311214500.export.CSV": [event_line(1, "http://a/")]})
+    write(f"{folder}/in/20190311220000.export.CSV.zip", b"junk")
+    lines = feed.read_zip_stream(spark, f"{folder}/in")
+    feed.ingest_urls(lines, f"{folder}/out", f"{folder}/checkpoint", f"{folder}/runs").awaitTermination()
+    assert [r.url for r in spark.read.schema(URLS).parquet(f"{folder}/out/urls").collect()] == ["http://a/"]
 
 
 def test_extract_stream(spark, folder):
