@@ -40,9 +40,18 @@ def for_date(manifest: DataFrame, ymd: str) -> DataFrame:
     return manifest.where(F.startswith(F.col("name"), F.lit(ymd)))
 
 
-def files_by_date(manifest: DataFrame) -> DataFrame:
-    """Distinct file URLs of each day, sorted. A day has 96 batches of three kinds."""
-    return manifest.groupBy("ymd").agg(F.array_sort(F.collect_set("url")).alias("urls"))
+def files_by_date(manifest: DataFrame, distinct: bool = False) -> DataFrame:
+    """File URLs of each day, sorted, each as often as it is listed unless ``distinct``.
+
+    A day has 96 batches of three kinds.
+    """
+    gathered = F.collect_set("url") if distinct else F.collect_list("url")
+    return manifest.groupBy("ymd").agg(F.array_sort(gathered).alias("urls"))
+
+
+def urls_by_kind(manifest: DataFrame) -> DataFrame:
+    """``(kind, url)``: the file URLs of each kind, as rows."""
+    return manifest.select("kind", "url")
 
 
 def files_by_kind(manifest: DataFrame) -> DataFrame:

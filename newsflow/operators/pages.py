@@ -109,15 +109,9 @@ def with_article_id(fetched: DataFrame) -> DataFrame:
 def one_per_article(fetched: DataFrame) -> DataFrame:
     """Fetched pages with at most one row per day and article; any copy may be kept.
 
-    Copies are counted on the keys alone (this runs a job), so HTML goes through an
-    aggregate only where copies exist. That aggregate combines copies before the shuffle.
+    Copies are combined before the shuffle.
     """
-    keyed = with_article_id(fetched)
-    counted = keyed.groupBy(*PAGE_KEYS).agg(F.count(F.lit(1)).alias("n"))
-    most = counted.agg(F.max("n").alias("most")).first().most
-    if most is not None and most > 1:
-        return keyed.dropDuplicates(list(PAGE_KEYS)).drop("article_id")
-    return fetched
+    return with_article_id(fetched).dropDuplicates(list(PAGE_KEYS)).drop("article_id")
 
 
 def parse_pages(

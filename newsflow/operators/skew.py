@@ -22,21 +22,14 @@ def scatter_missing(key: Column, *spread: Column) -> Column:
     return F.when(text.isNull() | (text == ""), nowhere).otherwise(text)
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is.
-
-    For narrow sides joined with very wide rows, where a shuffle would move the wide ones.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
-    """Keys with at least ``min_rows`` rows: at most rows / min_rows of them, by arithmetic.
+def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """Keys with at least ``share`` of all rows: at most 1 / share of them, by arithmetic.
 
     Only the key columns are scanned, and counts are combined before the shuffle.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.where(F.col("_n") >= min_rows).drop("_n")
+    least = df.agg((F.count(F.lit(1)) * share).alias("_least")).scalar()
+    return counted.where(F.col("_n") >= least).drop("_n")
 
 
 def salted_join(
@@ -44,7 +37,7 @@ def salted_join(
     right: DataFrame,
     keys: list[str],
     how: str = "left",
-    min_rows: int = 5_000_000,
+    share: float = 0.001,
     salts: int = 64,
     hot: DataFrame | None = None,
 ) -> DataFrame:
@@ -55,8 +48,8 @@ def salted_join(
     ``hot`` takes hot keys found elsewhere, where ``left`` is costly to compute.
     """
     if hot is None:
-        hot = hot_keys(left, keys, min_rows)
-    # Bounded by arithmetic: a trillion rows hold at most 200,000 keys of five million rows.
+        hot = hot_keys(left, keys, share)
+    # Bounded by arithmetic: keys with a share of the rows are at most one by that share.
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     salted_left = left.join(hot, keys, "left").withColumn(

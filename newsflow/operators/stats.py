@@ -8,7 +8,6 @@ from newsflow.functions.text import has_text
 
 # Fixed value: the status of a page that was fetched.
 OK_STATUS = 200
-_LINES_PER_PATTERN = 500
 
 
 def fetched(stats: DataFrame) -> DataFrame:
@@ -19,16 +18,29 @@ def fetched(stats: DataFrame) -> DataFrame:
 def whitelist_match(domain: Column, whitelist: list[str], escape: bool = False) -> Column:
     """True where any whitelist line, read as a pattern, is found in the domain.
 
-    Lines are patterns (a dot matches any character) unless ``escape``. Long lists are
-    split over several alternations, all of which are tried.
+    Lines are patterns (a dot matches any character) unless ``escape``. A flag group in a
+    line holds for that line only. For lists kept in files see ``whitelisted_by``.
     """
     lines = [line for line in whitelist if line]
     if escape:
         lines = ["\\Q" + line.replace("\\E", "\\E\\\\E\\Q") + "\\E" for line in lines]
-    matched = F.lit(False)
-    for at in range(0, len(lines), _LINES_PER_PATTERN):
-        matched = matched | domain.rlike("(" + "|".join(lines[at : at + _LINES_PER_PATTERN]) + ")")
-    return matched
+    if not lines:
+        return F.lit(False)
+    return domain.rlike("|".join(f"(?:{line})" for line in lines))
+
+
+def whitelisted_by(rows: DataFrame, lines: DataFrame, domain: str = "domain") -> DataFrame:
+    """Rows whose domain matches any line of a whitelist table (``line``), of any length.
+
+    The lines are joined into one pattern inside the plan, each distinct domain is tried
+    once, and the rows are semi-joined with the domains that match.
+    """
+    grouped = F.concat(F.lit("(?:"), F.col("line"), F.lit(")"))
+    pattern = lines.agg(F.array_join(F.collect_list(grouped), "|").alias("pattern")).scalar()
+    # no lines: a pattern that matches nothing
+    pattern = F.coalesce(F.nullif(pattern, F.lit("")), F.lit("(?!)"))
+    chosen = rows.select(domain).distinct().where(F.rlike(F.col(domain), pattern))
+    return rows.join(chosen, domain, "left_semi")
 
 
 def whitelisted_articles(stats: DataFrame, whitelist: list[str], escape: bool = False) -> DataFrame:

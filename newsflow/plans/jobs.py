@@ -11,10 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from newsflow import schemas
 from newsflow.functions.dates import batch_digits, check_ymd
 from newsflow.operators import docs, entities, manifest, merge, pages, stats
-from newsflow.operators.skew import broadcast_checked
 from newsflow.sinks import files, search
 from newsflow.sinks.runlog import write_observed
-from newsflow.sinks.tables import land_extract, write_dated
+from newsflow.sinks.tables import clear, land_extract, one_run, write_dated
 from newsflow.sources import archives, extracts, layout
 
 BY_RUN = ("ymd", "run")
@@ -55,15 +54,18 @@ def land_files(
     )
 
 
-def land_archives(spark: SparkSession, paths: str | list[str], out: str, runs: str) -> dict:
+def land_archives(
+    spark: SparkSession, paths: str | list[str], out: str, runs: str, encoding: str = "UTF-8"
+) -> dict:
     """Zip archives of both feeds -> Parquet tables ``events`` and ``gkg`` by day and batch.
 
-    Broken archives are counted in the run log and skipped.
+    Broken archives are counted in the run log and skipped whole: what they would replace
+    stays as it is.
     """
     found = {}
     for kind, (name, schema, _) in FEEDS.items():
         # Chosen by archive name, so each archive is opened for one of the two only.
-        lines = archives.read_zip_lines(spark, paths, pathGlobFilter=f"*.{kind}.*")
+        lines = archives.read_zip_lines(spark, paths, encoding, pathGlobFilter=f"*.{kind}.*")
         batch = batch_digits(F.col("file_name")).alias("batch")
         parsed = extracts.parse_lines(lines, "line", schema, batch, "error")
 
@@ -101,28 +103,40 @@ def day_is_complete(landed: DataFrame, ymd: str) -> DataFrame:
     return manifest.completeness(wanted)
 
 
+PAGE_TABLES = ("articles", "page_links", "page_domains", "html_meta", "article_stats")
+
+
 def process_pages(
-    fetched: DataFrame, out: str, run: str, runs: str, absolute_only: bool = True
+    fetched: DataFrame,
+    out: str,
+    run: str,
+    runs: str,
+    absolute_only: bool = True,
+    replace_day: str | None = None,
 ) -> dict:
     """Parse pages once and write the five page tables of a run.
 
+    What the run has written before is removed first, or with ``replace_day`` what any run
+    has written for that day, so nothing stale stays where there are fewer pages now.
+
     ``fetched`` holds one row per article (see ``pages.one_per_article``).
     The parsed rows are written first and read back: the tables are then column
     projections of a Parquet table, HTML is not parsed again for each of them, and a
     lost executor costs a read instead of a parse.
     """
     spark = fetched.sparkSession
-    parsed = pages.parse_pages(fetched, absolute_only).withColumn("run", F.lit(run))
+    staged = f"{out}/_parsed/{run}"
+    parsed = pages.parse_pages(fetched, absolute_only)
     ok = F.col("status") == stats.OK_STATUS
     found = write_observed(
         parsed,
-        lambda df: write_dated(df, f"{out}/parsed", BY_RUN, rebalance=False),
+        lambda df: df.write.mode("overwrite").parquet(staged),
         runs,
         f"pages {run}",
         n_fetched=F.sum(ok.cast("int")),
         n_chars=F.sum("nbytes"),
     )
-    stored = spark.read.schema(parsed.schema).parquet(f"{out}/parsed").where(F.col("run") == run)
+    stored = spark.read.schema(parsed.schema).parquet(staged)
     tables = {
         "articles": pages.articles(stored),
         "page_links": pages.links(stored),
@@ -131,7 +145,9 @@ def process_pages(
         "article_stats": pages.article_stats(stored).withColumn("ymd", F.col("accessdate")),
     }
     for name, table in tables.items():
+        clear(spark, f"{out}/{name}/ymd={replace_day}/run=*" if replace_day else f"{out}/{name}/ymd=*/run={run}")
         write_dated(table.withColumn("run", F.lit(run)), f"{out}/{name}", BY_RUN, rebalance=False)
+    clear(spark, staged)
     return found
 
 
@@ -160,6 +176,12 @@ def backfill_domains(
     rebuilt = pages.rebuild_domains(
         layout.in_range(article_stats, first, last), layout.in_range(links, first, last)
     )
+    spark = article_stats.sparkSession
+    last_day = check_ymd(last) if last else None
+    days = layout.day_folders(spark, out)
+    for day in days:
+        if day >= f"{check_ymd(first):%Y%m%d}" and (last_day is None or day <= f"{last_day:%Y%m%d}"):
+            clear(spark, f"{out}/ymd={day}")
     write_dated(rebuilt, out, ("ymd",))
 
 
@@ -167,9 +189,10 @@ def index_documents(
     article_stats: DataFrame, articles: DataFrame, out: str, index: str, ymd: str
 ) -> None:
     """Bulk search documents of one day."""
-    day_docs = docs.search_docs(
-        layout.in_range(article_stats, ymd, ymd), layout.in_range(articles, ymd, ymd)
-    )
+    day_stats, day_texts = (layout.in_range(rows, ymd, ymd) for rows in (article_stats, articles))
+    if "run" in day_texts.columns:
+        day_texts = one_run(day_texts, ["ymd", "article_id"])
+    day_docs = docs.search_docs(day_stats, day_texts)
     search.write_bulk(day_docs, out, index)
 
 
@@ -178,10 +201,9 @@ def backfill_day(
 ) -> dict:
     """Re-run one day: merge its records, take the day's pages, replace its page tables.
 
-    ``fetched`` holds ``(url, ymd, status, html)``. All earlier runs of the day stay
-    untouched; this run replaces its own earlier result. The merged ids of a day are few
-    and narrow: behind a row check they are broadcast, so the HTML is not shuffled.
+    ``fetched`` holds ``(url, ymd, status, html)``. The day's rows of all earlier runs are
+    replaced, so each article of the day is there once.
     """
-    wanted = broadcast_checked(merge_day(events, records, ymd))
-    day_pages = layout.in_range(fetched, ymd, ymd).join(wanted, "url")
-    return process_pages(pages.one_per_article(day_pages), out, f"backfill-{ymd}", runs)
+    day_pages = layout.in_range(fetched, ymd, ymd).join(merge_day(events, records, ymd), "url")
+    once = pages.one_per_article(day_pages)
+    return process_pages(once, out, f"backfill-{ymd}", runs, replace_day=ymd)

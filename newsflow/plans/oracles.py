@@ -314,6 +314,13 @@ FROM manifest GROUP BY ymd, kind
 WITH {_MANIFEST}
 SELECT kind, count(*) AS n_files, min(batch) AS first_batch, max(batch) AS last_batch
 FROM manifest GROUP BY kind
+""",
+    "manifest_urls_by_kind": f"WITH {_MANIFEST} SELECT kind, url FROM manifest",
+    "whitelist_from_file": f"""
+WITH {_EVENT_STATS}
+SELECT url, domain, eventid FROM event_stats
+WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT substr(event_type, 1, 4) AS line FROM events
+  WHERE event_type <> 'view') w WHERE regexp_matches(domain, line))
 """,
     "manifest_by_date": f"""
 WITH {_MANIFEST}
@@ -397,7 +404,7 @@ WITH e AS (
   SELECT *, 'http://' || event_type || '.example/' || user_id AS url, strftime(ts, '%Y%m%d') AS ymd,
          strftime(ts, '%Y%m%d') || '000000' AS batch FROM events),
 last_event AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY batch DESC, event_id DESC) AS rn
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url, ymd ORDER BY batch DESC, event_id DESC) AS rn
                  FROM e) x WHERE rn = 1)
 SELECT url, event_id AS eventid,
        CASE WHEN event_type IN ('view', 'click') THEN batch || '-' || event_id ELSE '' END AS gkgid, batch,

@@ -62,6 +62,16 @@ def domain_whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.where(stats.whitelist_match(F.col("domain"), WHITELIST))
 
 
+@query
+def whitelist_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitelist is a file: one line per event type, read back as a table."""
+    path = working_folder(spark, "whitelist_from_file")
+    kinds = table(spark, sf_dir, "events").where("event_type <> 'view'").select("event_type").distinct()
+    kinds.select(text(" ", F.substring("event_type", 1, 4), "  ").alias("value")).write.text(path)
+    found = stats.whitelisted_by(inputs.event_stats(spark, sf_dir), lists.read_whitelist(spark, path))
+    return found.select("url", "domain", "eventid")
+
+
 @query
 def whitelisted_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.whitelisted_articles(inputs.event_stats(spark, sf_dir), EVENT_WHITELIST)
@@ -240,7 +250,7 @@ def article_gkg_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def article_gkg_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = entities.process_entities(inputs.customer_records(spark, sf_dir))
-    return entities.article_entities(_flagged_events(spark, sf_dir), records, hot_rows=50)
+    return entities.article_entities(_flagged_events(spark, sf_dir), records, hot_share=0.001)
 
 
 @query
@@ -312,6 +322,11 @@ def manifest_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_date.select("ymd", F.array_join("urls", " ").alias("urls"))
 
 
+@query
+def manifest_urls_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.urls_by_kind(manifest.parse_manifest(inputs.event_manifest(spark, sf_dir)))
+
+
 @query
 def manifest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = manifest.parse_manifest(inputs.event_manifest(spark, sf_dir))
@@ -655,11 +670,12 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     both = events.unionByName(lines).withColumnRenamed("line", "value")
     both.write.partitionBy("kind", "batch").text(f"{path}/in")
-    stream = spark.readStream.schema("value string, kind string, batch string").text(f"{path}/in")
+    # Few files per trigger: the two files of a batch fall into different micro-batches.
+    reader = spark.readStream.schema("value string, kind string, batch string")
+    stream = reader.option("maxFilesPerTrigger", 25).text(f"{path}/in")
     feed.ingest_urls(
         stream.select("kind", "batch", F.col("value").alias("line")),
         f"{path}/out", f"{path}/checkpoint", f"{path}/runs",
     ).awaitTermination()
-    columns = "url string, eventid bigint, gkgid string, batch string, article_id string"
-    schema = f"{columns}, ymd string, run string"
-    return spark.read.schema(schema).parquet(f"{path}/out").drop("run")
+    columns = "url string, eventid bigint, gkgid string, batch string, article_id string, ymd string"
+    return spark.read.schema(columns).parquet(f"{path}/out/urls")

@@ -1,6 +1,6 @@
 """Date-partitioned Parquet tables and the Parquet copy of landed extracts."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from newsflow.functions.dates import partition_columns, strict_date
 
@@ -33,6 +33,39 @@ def write_dated(
     )
 
 
+def _matching(spark: SparkSession, pattern: str) -> tuple:
+    """The file system of a path pattern and the folders that match it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system, [status.getPath() for status in system.globStatus(path) or []]
+
+
+def clear(spark: SparkSession, pattern: str) -> None:
+    """Remove the partition folders that a path pattern names.
+
+    A job clears what it is about to write: an overwrite by the rows at hand leaves the
+    partitions for which a second run has no rows.
+    """
+    system, folders = _matching(spark, pattern)
+    for folder in folders:
+        system.delete(folder, True)
+
+
+def read_days(spark: SparkSession, path: str, schema: T.StructType, days: list[str]) -> DataFrame:
+    """Some days of a table laid out by ``ymd`` first. No other folder is listed."""
+    found = [f for day in days for f in _matching(spark, f"{path.rstrip('/')}/ymd={day}")[1]]
+    if not found:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*[folder.toString() for folder in found])
+
+
+def one_run(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows that several runs have landed for a key, those of the greatest run."""
+    newest = rows.groupBy(*keys).agg(F.max("run").alias("run"))
+    return rows.join(newest, [*keys, "run"], "left_semi")
+
+
 def land_extract(df: DataFrame, path: str, batch: str = "batch") -> None:
     """Keep a landed extract as Parquet laid out by the day and label of its batch.
 
@@ -41,4 +74,5 @@ def land_extract(df: DataFrame, path: str, batch: str = "batch") -> None:
     and leaves the other batches of its day alone.
     """
     dated = df.withColumn("ymd", F.substring(F.col(batch), 1, 8))
-    write_dated(add_partitions(dated), path, ("year", "month", "ymd", batch))
+    # A file holds one batch already: no shuffle.
+    write_dated(add_partitions(dated), path, ("year", "month", "ymd", batch), rebalance=False)

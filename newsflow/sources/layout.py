@@ -10,7 +10,6 @@ from newsflow.functions.dates import check_ymd
 KINDS = (
     "article_stats", "articles", "events", "gkg", "html_meta", "page_domains", "page_links",
 )
-RAW_ARTICLES = "articles_raw"
 
 
 def date_path(base: str, kind: str, ymd: str) -> str:
@@ -26,6 +25,13 @@ def date_paths(base: str, kind: str, first: str, last: str) -> list[str]:
     return [date_path(base, kind, f"{day:%Y%m%d}") for day in days]
 
 
+def day_folders(spark: SparkSession, table: str) -> list[str]:
+    """The days for which a table laid out by ``ymd`` has a folder. No file is listed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/ymd=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted(status.getPath().getName().removeprefix("ymd=") for status in found)
+
+
 def list_files(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
     """``(path, name, kind, ymd, bytes)`` of all files below a directory.
 

@@ -2,8 +2,6 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-MAX_WHITELIST_LINES = 100_000
-
 
 def _strip(text: Column | str) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
@@ -28,14 +26,6 @@ def read_id_list(spark: SparkSession, paths: str | list[str], column: str = "gkg
     return ids.select(_strip(column).alias(column)).where(F.col(column) != "").distinct()
 
 
-def read_whitelist(spark: SparkSession, path: str, limit: int = MAX_WHITELIST_LINES) -> list[str]:
-    """Lines of a hand-kept whitelist file, blanks stripped, empty lines left out.
-
-    The list is turned into a pattern, so it goes through the driver. Its size is
-    checked; a longer file is an error, never a shortened list.
-    """
-    lines = spark.read.text(path).select(_strip("value").alias("line")).where("line <> ''")
-    found = [row.line for row in lines.limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"whitelist {path} has more than {limit} lines")
-    return found
+def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
+    """``(line)`` of a whitelist file, blanks stripped, empty lines left out."""
+    return spark.read.text(path).select(_strip("value").alias("line")).where("line <> ''")

@@ -1,15 +1,18 @@
 """Whole jobs over small hand-written inputs."""
 
+from pathlib import Path
+
 import pytest
 from files import entity_line, event_line, write, write_zip
 from pyspark.sql import functions as F
 
 from newsflow import schemas
 from newsflow.functions.dates import batch_digits
-from newsflow.operators import docs, stats
+from newsflow.operators import docs, pages, stats
 from newsflow.plans import jobs
 from newsflow.plans.session import working_folder
 from newsflow.sinks import files as out, runlog
+from newsflow.sinks.tables import one_run
 from newsflow.sources import extracts, layout
 
 DAY = "20190311"
@@ -103,8 +106,9 @@ def test_page_job(spark, folder):
 
     stored = spark.read.parquet(f"{folder}/articles").select("article_id", F.col("ymd").cast("string").alias("ymd"), "text")
     joined = docs.search_docs(article_stats, stored)
-    parsed = spark.read.parquet(f"{folder}/parsed").withColumn("ymd", F.col("ymd").cast("string"))
+    parsed = pages.parse_pages(spark.createDataFrame(PAGES, FETCHED))
     assert sorted(map(str, joined.collect())) == sorted(map(str, docs.page_docs(parsed).collect()))
+    assert not list(Path(folder).glob("_parsed/*"))
     jobs.index_documents(article_stats, stored, f"{folder}/bulk", "news", DAY)
     assert spark.read.text(f"{folder}/bulk").count() == 4
 
@@ -116,10 +120,38 @@ def test_backfill_day(spark, folder):
     jobs.process_pages(spark.createDataFrame(PAGES[:1], FETCHED), f"{folder}/out", "r1", f"{folder}/runs")
     for _ in range(2):
         jobs.backfill_day(events, records, fetched, f"{folder}/out", f"{folder}/runs", DAY)
-    runs = read(spark, f"{folder}/out/articles", "article_id string").groupBy("run").count()
-    assert {r.run: r["count"] for r in runs.collect()} == {"r1": 1, f"backfill-{DAY}": 2}
-    ids = read(spark, f"{folder}/out/articles", "article_id string").where(F.col("run") != "r1")
-    assert sorted(r.article_id for r in ids.collect()) == ["2", "3"]
+    found = read(spark, f"{folder}/out/articles", "article_id string").collect()
+    assert sorted((r.run, r.article_id) for r in found) == [(f"backfill-{DAY}", "2"), (f"backfill-{DAY}", "3")]
+    # a re-run that yields nothing leaves nothing of the day
+    jobs.backfill_day(events, records, fetched.limit(0), f"{folder}/out", f"{folder}/runs", DAY)
+    assert read(spark, f"{folder}/out/articles", "article_id string").count() == 0
+
+
+def test_jobs_on_nothing(spark, folder):
+    """Empty input: a log row with zero counts, and no crash."""
+    empty = spark.createDataFrame([], FETCHED)
+    assert jobs.process_pages(empty, f"{folder}/out", "r1", f"{folder}/runs")["rows"] == 0
+    write_zip(f"{folder}/in/{DAY}000000.export.CSV.zip", {f"{DAY}000000.export.CSV": [event_line(1, "http://a/1")]})
+    found = jobs.land_archives(spark, f"{folder}/in", f"{folder}/bronze", f"{folder}/runs")
+    assert found["events"]["rows"] == 1
+    assert found["gkg"] == {"rows": 0, "bad_lines": 0, "bad_archives": 0}
+    log = spark.read.schema(runlog.RUNS_DDL).json(f"{folder}/runs").collect()
+    assert sorted(r.kind for r in log) == ["land events", "land gkg", "pages r1"]
+
+
+def test_a_run_label_used_again_with_fewer_days(spark, folder):
+    later = [(u, e, g, "20190312", s, h) for u, e, g, _, s, h in PAGES]
+    jobs.process_pages(spark.createDataFrame(PAGES + later, FETCHED), f"{folder}/out", "r1", f"{folder}/runs")
+    jobs.process_pages(spark.createDataFrame(PAGES, FETCHED), f"{folder}/out", "r1", f"{folder}/runs")
+    found = read(spark, f"{folder}/out/articles", "article_id string, ymd string")
+    assert {r.ymd for r in found.collect()} == {DAY}
+
+
+def test_one_run_per_article(spark):
+    rows = spark.createDataFrame(
+        [("d", "1", "a", "old"), ("d", "1", "b", "new"), ("d", "2", "a", "only")],
+        "ymd string, article_id string, run string, text string")
+    assert sorted(r.text for r in one_run(rows, ["ymd", "article_id"]).collect()) == ["new", "only"]
 
 
 def stats_tree(spark, folder):

@@ -144,9 +144,9 @@ def article_and_entity_rows(spark):
     return articles, records, spark.createDataFrame(articles, flags), spark.createDataFrame(records, processed)
 
 
-@pytest.mark.parametrize("hot_rows", [None, 50])
+@pytest.mark.parametrize("hot_share", [None, 0.05])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_article_entities(spark, how, hot_rows):
+def test_article_entities(spark, how, hot_share):
     articles, records, left, right = article_and_entity_rows(spark)
     expected = []
     for a in articles:
@@ -154,7 +154,7 @@ def test_article_entities(spark, how, hot_rows):
         expected += [(a[1], a[2], r[1], r[5]) for r in found]
         if not found and how == "left":
             expected.append((a[1], a[2], None, None))
-    joined = entities.article_entities(left, right, how, hot_rows)
+    joined = entities.article_entities(left, right, how, hot_share)
     assert {"gkg_year", "gkg_month", "gkg_day", "year"} <= set(joined.columns)
     assert rows(joined.select("eventid", "gkgid", "Themes", "gkg_year")) == sorted(expected, key=str)
 
@@ -179,9 +179,9 @@ def test_salted_join(spark, how):
         matched[k] += 1
     joined = skew.salted_join(
         spark.createDataFrame(left, "k int, n int"), spark.createDataFrame(right, "k int, v int"),
-        ["k"], how, min_rows=150, salts=7)
+        ["k"], how, share=0.25, salts=7)
     assert rows(joined) == sorted(expected, key=str)
-    assert rows(skew.hot_keys(spark.createDataFrame(left, "k int, n int"), ["k"], 150)) == [(1,)]
+    assert rows(skew.hot_keys(spark.createDataFrame(left, "k int, n int"), ["k"], 0.25)) == [(1,)]
 
 
 def test_search_docs(spark):
@@ -194,17 +194,21 @@ def test_search_docs(spark):
     assert rows(found.select("eventid", "article", "author")) == [(1, "one", ""), (3, "", ""), (None, "two", "")]
 
 
-def test_broadcast_is_checked(spark):
-    left, small = spark.range(1000), spark.range(10)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plans = [
-            left.join(skew.broadcast_checked(small, n), "id")._jdf.queryExecution().executedPlan().toString()
-            for n in (10, 9)
-        ]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
+def test_whitelist_table(spark):
+    kept = [f"http://site{n}.example/" for n in range(700)]
+    frame = spark.createDataFrame([(d, i) for i, d in enumerate(kept + ["http://OTHER/", None])], "domain string, n int")
+    lines = [(f"site{n}[.]example",) for n in range(0, 700, 2)] + [("(?i)other",)]
+    found = stats.whitelisted_by(frame, spark.createDataFrame(lines, "line string"))
+    assert sorted(r.n for r in found.collect()) == [*range(0, 700, 2), 700]
+    assert stats.whitelisted_by(frame, spark.createDataFrame([], "line string")).count() == 0
+    flagged = frame.where(stats.whitelist_match(F.col("domain"), ["(?i)nothing", "other"]))
+    assert flagged.count() == 0
+
+
+def test_missing_ids_are_not_shuffled_for_an_inner_join(spark):
+    _, _, left, right = article_and_entity_rows(spark)
+    plan = entities.article_entities(left, right, "inner")._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" not in plan or "NOT (gkgid" in plan
 
 
 def test_unseen(spark):
