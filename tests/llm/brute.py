@@ -1,5 +1,7 @@
 """Plain versions of the operators, for small tables."""
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def near_components(rows: dict[int, str | None], words: int, similarity: int) -> dict[int, tuple[int, int]]:
     """doc_id -> (n_shingles, component_id), by comparing all pairs that share a shingle."""
@@ -83,7 +85,7 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
     return len(words), sum(map(len, words)), symbols, dup, len(covered)
 
 
-def quality(rows: list[tuple], order: int, below: float, above: float) -> dict:
+def quality(rows: list[tuple], order: int, below: float, above: float, least_spread: float) -> dict:
     """doc_id -> (base counts, base_failed, log perplexity, kept) for (doc_id, lang, text)."""
     import math
     import re
@@ -113,7 +115,7 @@ def quality(rows: list[tuple], order: int, below: float, above: float) -> dict:
         values = [f[3] for f in found.values() if f[0] == lang and not f[2]]
         if values:
             middle = median_low([round(v, 3) for v in values])
-            spread = median_low([round(abs(v - middle), 3) for v in values])
+            spread = max(least_spread, median_low([round(abs(v - middle), 3) for v in values]))
             bands[lang] = middle - below * spread, middle + above * spread
     return {
         doc: (base, failed, value, not failed and bands[lang][0] <= value <= bands[lang][1])

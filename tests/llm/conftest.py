@@ -5,7 +5,6 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 
-SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")

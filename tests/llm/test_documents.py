@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import pytest
 import sentencepiece
-from conftest import SMALL
+from brute import SMALL
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -94,7 +94,7 @@ def test_kneser_ney(spark):
 
 def test_quality(spark, tricky, nothing):
     rows = [(r.doc_id, r.lang, r.text) for r in documents(spark).collect()]
-    want = brute.quality(rows, quality.ORDER, quality.BELOW, quality.ABOVE)
+    want = brute.quality(rows, quality.ORDER, quality.BELOW, quality.ABOVE, quality.LEAST_SPREAD)
     found = quality.quality(documents(spark)).collect()
     assert len(found) == len(rows)
     for r in found:
@@ -223,7 +223,7 @@ def test_viterbi(spark):
 def test_pipeline(spark):
     """Each stage does on all that its predecessor kept what its brute-force version does."""
     rows = {r.doc_id: r for r in documents(spark).collect()}
-    verdict = brute.quality([(r.doc_id, r.lang, r.text) for r in rows.values()], quality.ORDER, quality.BELOW, quality.ABOVE)
+    verdict = brute.quality([(r.doc_id, r.lang, r.text) for r in rows.values()], quality.ORDER, quality.BELOW, quality.ABOVE, quality.LEAST_SPREAD)
     kept = [d for d in rows if verdict[d][3]]
     largest = {rows[d].text: max(e for e in kept if rows[e].text == rows[d].text) for d in kept}
     kept = sorted(set(largest.values()))

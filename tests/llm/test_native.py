@@ -6,7 +6,7 @@ from fractions import Fraction
 
 import pytest
 from compare import connect, differences
-from conftest import SMALL
+from brute import SMALL
 from pyspark.sql import functions as F
 
 from newsflow.llm import chat, exact_dedup, mixing
