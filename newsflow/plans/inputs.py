@@ -142,10 +142,9 @@ def document_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labelled_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Body texts of the labelled documents only."""
-    labels = table(spark, sf_dir, "labels").select("doc_id")
-    kept = table(spark, sf_dir, "documents").join(labels, "doc_id", "left_semi")
+def document_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Body texts of all documents."""
+    kept = table(spark, sf_dir, "documents")
     key = F.when(F.col("doc_id") > 0, F.col("doc_id").cast("string")).otherwise("g_d-0")
     day = F.substring("source", 4, 9).cast("int") + 1
     return kept.select(

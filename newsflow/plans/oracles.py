@@ -155,11 +155,10 @@ _SEARCH_DOCS = (
     "WITH "
     + _DOCUMENT_STATS
     + """
-SELECT title, accessdate, coalesce(CASE WHEN l.doc_id IS NOT NULL THEN text END, '') AS article,
+SELECT title, accessdate, coalesce(text, '') AS article,
        '' AS author, coalesce(keywords, '') AS keywords, coalesce(description, '') AS description,
        eventid, gkgid
 FROM document_stats s JOIN documents d ON s.gkgid = 'd-' || d.doc_id
-LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
 )
 
@@ -314,6 +313,28 @@ FROM manifest GROUP BY ymd, kind
 WITH {_MANIFEST}
 SELECT kind, count(*) AS n_files, min(batch) AS first_batch, max(batch) AS last_batch
 FROM manifest GROUP BY kind
+""",
+    "first_files": f"WITH {_MANIFEST} SELECT kind, ymd, min(name) AS first_name FROM manifest GROUP BY kind, ymd",
+    "complete_days": f"""
+WITH {_GRID}, {_MANIFEST},
+u AS (SELECT ymd, kind, batch FROM manifest UNION ALL SELECT ymd, kind, batch FROM grid WHERE kind = 'gkg')
+SELECT ymd, kind, count(DISTINCT batch) AS n_batches,
+       CASE WHEN count(DISTINCT batch) > 90 THEN 1 ELSE 0 END AS is_complete
+FROM u GROUP BY ymd, kind
+""",
+    "extract_pairs": """
+SELECT event_id AS eventid, 'http://' || event_type || '.example/' || user_id AS url FROM events
+""",
+    "run_log": """
+SELECT 'pages r1' AS kind, 'rows: ' || count(*) || '; n_fetched: '
+       || count(*) FILTER (WHERE url NOT LIKE '%cheap-pills%') || '; n_chars: '
+       || CAST(sum(CASE WHEN url NOT LIKE '%cheap-pills%' THEN length(html) END) AS BIGINT) AS message
+FROM pages
+""",
+    "article_texts": """
+SELECT CAST(doc_id AS VARCHAR) AS article_id, text,
+       '202401' || lpad(CAST(CAST(substr(source, 4, 9) AS INTEGER) + 1 AS VARCHAR), 2, '0') AS ymd
+FROM documents
 """,
     "manifest_urls_by_kind": f"WITH {_MANIFEST} SELECT kind, url FROM manifest",
     "whitelist_from_file": f"""
@@ -335,6 +356,12 @@ SELECT url, name, batch, ymd, kind FROM manifest WHERE kind <> 'mentions' AND ym
     "page_links": f"""
 WITH {_LINKS}
 SELECT CAST(page_id AS VARCHAR) AS article_id, '20240101' AS ymd, CAST(pos AS INTEGER) AS pos, link FROM links
+""",
+    "absolute_links": f"""
+WITH {_LINKS}
+SELECT CAST(page_id AS VARCHAR) AS article_id, '20240101' AS ymd, CAST(pos AS INTEGER) AS pos,
+       regexp_extract(url, '^(https?://[^/?#]*)', 1) || link AS link
+FROM links
 """,
     "page_domain_counts": f"""
 WITH {_LINKS}, {_DOMAIN_COUNTS}

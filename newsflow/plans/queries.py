@@ -17,7 +17,7 @@ from newsflow.operators import docs, entities, manifest, merge, pages, stats
 from newsflow.plans import inputs, jobs
 from newsflow.plans.inputs import table, text
 from newsflow.plans.session import ship_package, working_folder
-from newsflow.sinks import files, search
+from newsflow.sinks import files, runlog, search
 from newsflow.sinks.tables import add_partitions, write_dated
 from newsflow.sources import archives, extracts, layout, lists
 from newsflow.streaming import feed
@@ -281,7 +281,7 @@ def unseen_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def search_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.search_docs(
-        inputs.document_stats(spark, sf_dir), inputs.labelled_articles(spark, sf_dir)
+        inputs.document_stats(spark, sf_dir), inputs.document_articles(spark, sf_dir)
     )
 
 
@@ -327,6 +327,20 @@ def manifest_urls_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.urls_by_kind(manifest.parse_manifest(inputs.event_manifest(spark, sf_dir)))
 
 
+@query
+def first_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = manifest.parse_manifest(inputs.event_manifest(spark, sf_dir))
+    return layout.first_files(landed.select("kind", "ymd", "name"))
+
+
+@query
+def complete_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completeness with the threshold of the feed job, over the whole grid and what landed."""
+    landed = manifest.parse_manifest(inputs.event_manifest(spark, sf_dir)).select("ymd", "kind", "batch")
+    grid = manifest.expected_slots(_days(spark, sf_dir), inputs.FEED_BASE).where("kind = 'gkg'")
+    return manifest.completeness(landed.unionByName(grid.select("ymd", "kind", "batch")))
+
+
 @query
 def manifest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = manifest.parse_manifest(inputs.event_manifest(spark, sf_dir))
@@ -366,6 +380,14 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.link_rows(kept)
 
 
+@query
+def absolute_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Root-relative links resolved against their page's site; then all are absolute."""
+    resolved = pages.with_site_links(_link_lists(spark, sf_dir))
+    kept = resolved.withColumn("links", pages.page_links(F.col("links"), absolute_only=True))
+    return pages.link_rows(kept)
+
+
 @query
 def page_domain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.domain_count_rows(pages.with_site_links(_link_lists(spark, sf_dir)))
@@ -508,6 +530,39 @@ def roundtrip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("GLOBALEVENTID", "SQLDATE", "EventCode", "AvgTone", "SOURCEURL")
 
 
+@query
+def extract_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id and URL pairs of many event files, one per batch, merged without entity records."""
+    path = working_folder(spark, "extract_pairs")
+    lines = _event_lines(spark, sf_dir)
+    lines.select("line", text(F.col("ymd"), "000000").alias("batch")).write.partitionBy("batch").text(path)
+    events = extracts.read_events(spark, path, recursiveFileLookup="true")
+    ids = extracts.event_pairs(events).select("id", "url")
+    return ids.where(F.col("url").isNotNull()).select(F.col("id").alias("eventid"), "url")
+
+
+@query
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the page job logs of its run."""
+    path = working_folder(spark, "run_log")
+    jobs.process_pages(inputs.fetched_pages(spark, sf_dir), f"{path}/out", "r1", f"{path}/runs")
+    return spark.read.schema(runlog.RUNS_DDL).json(f"{path}/runs").select("kind", "message")
+
+
+@query
+def article_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts written as one table by day and read back."""
+    path = working_folder(spark, "article_texts")
+    day = F.substring("source", 4, 9).cast("int") + 1
+    rows = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("article_id"),
+        text("202401", F.lpad(day.cast("string"), 2, "0")).alias("ymd"),
+        "text",
+    )
+    files.write_articles(rows, path)
+    return spark.read.schema("article_id string, text string, ymd string").parquet(path)
+
+
 @query
 def roundtrip_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event lines packed into zip archives inside tasks, unpacked and parsed again."""
