@@ -24,8 +24,8 @@ from newsflow.llm.common import each, stored
 from newsflow.plans.session import working_folder
 
 START, END = "\x02", "\x03"
-# Words in one block, about: bounds what a task holds of text and vocabulary at once.
-BLOCK_WORDS = 1_500_000
+# Words and documents in one block, about: bounds what a task holds of text and vocabulary at once.
+BLOCK_WORDS, BLOCK_DOCS = 1_500_000, 50_000
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 WINDOW = 8
@@ -162,49 +162,41 @@ _DOC_DDL = ", ".join(f"{n}: bigint" for n in COUNTS)
 BLOCK_DDL = f"block long, words binary, ids binary, docs array<struct<doc_id: bigint, group: string, {_DOC_DDL}>>"
 
 
-def split_words(text: str) -> list[bytes]:
-    return text.encode().split()
+def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of up to BLOCK_WORDS words and BLOCK_DOCS documents; a longer text has a block of its own."""
+    number = TaskContext.get().partitionId() << 32
+    vocabulary, ids, docs, size = Vocabulary(), [], [], 0
 
+    def block() -> pa.RecordBatch:
+        all_ids = np.concatenate(ids)
+        # frequent words first: small numbers pack well
+        order = np.argsort(-np.bincount(all_ids, minlength=len(vocabulary)), kind="stable")
+        rank = np.empty(len(order), dtype=np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        words = list(vocabulary)
+        spelled = zlib.compress(_BETWEEN.join([words[i] for i in order.tolist()]), 3) if words else b""
+        row = {"block": number, "words": spelled, "ids": packed(rank[all_ids]), "docs": docs}
+        return pa.RecordBatch.from_pylist([row], schema=_BLOCK_SCHEMA)
 
-def cut(split=split_words, count=base_counts, block_words: int = BLOCK_WORDS):
-    """Blocks of about ``block_words`` words; a longer text has a block of its own."""
-
-    def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        vocabulary, ids, docs, size = Vocabulary(), [], [], 0
-
-        def block() -> pa.RecordBatch:
-            all_ids = np.concatenate(ids)
-            # frequent words first: small numbers pack well
-            order = np.argsort(-np.bincount(all_ids, minlength=len(vocabulary)), kind="stable")
-            rank = np.empty(len(order), dtype=np.uint32)
-            rank[order] = np.arange(len(order), dtype=np.uint32)
-            words = list(vocabulary)
-            spelled = zlib.compress(_BETWEEN.join([words[i] for i in order.tolist()]), 3) if words else b""
-            row = {"block": number, "words": spelled, "ids": packed(rank[all_ids]), "docs": docs}
-            return pa.RecordBatch.from_pylist([row], schema=_BLOCK_SCHEMA)
-
-        for batch in batches:
-            for doc, group, text in each(batch, "doc_id", "group", "text"):
-                words = split(text)
-                if docs and size + len(words) > block_words:
-                    yield block()
-                    number += 1
-                    vocabulary, ids, docs, size = Vocabulary(), [], [], 0
-                own = np.fromiter(map(vocabulary.__getitem__, words), dtype=np.uint32, count=len(words))
-                ids.append(own)
-                docs.append({"doc_id": doc, "group": group, **dict(zip(COUNTS, count(text, own)))})
-                size += len(words)
-        if docs:
-            yield block()
-
-    return cut_batches
-
-
-def write_blocks(docs: DataFrame, cutter=None) -> DataFrame:
+    for batch in batches:
+        for doc, group, text in each(batch, "doc_id", "group", "text"):
+            words = text.encode().split()
+            if docs and (size + len(words) > BLOCK_WORDS or len(docs) == BLOCK_DOCS):
+                yield block()
+                number += 1
+                vocabulary, ids, docs, size = Vocabulary(), [], [], 0
+            own = np.fromiter(map(vocabulary.__getitem__, words), dtype=np.uint32, count=len(words))
+            ids.append(own)
+            docs.append({"doc_id": doc, "group": group, **dict(zip(COUNTS, base_counts(text, own)))})
+            size += len(words)
+    if docs:
+        yield block()
+
+
+def write_blocks(docs: DataFrame) -> DataFrame:
     """Token blocks of ``docs`` (doc_id, group, text without nulls), bucketed by block."""
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "group", "text").mapInArrow(cutter or cut(), BLOCK_DDL)
+    rows = docs.select("doc_id", "group", "text").mapInArrow(cut, BLOCK_DDL)
     return bucketed(rows, "block")
 
 

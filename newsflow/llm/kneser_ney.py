@@ -28,6 +28,8 @@ def _discounted(grams: DataFrame, group: str) -> DataFrame:
     d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     return (
         grams.join(_discounts(grams, group), F.col(group) == F.col("_group"))
+        # by context: left to the join, all n-grams of a group would meet in one task
+        .repartition(group, "context")
         .withColumn("d", F.when(F.col("c") > 0, d).otherwise(F.lit(0.0)))
         .withColumn("total", F.sum("c").over(context))
         .withColumn("freed", F.sum("d").over(context))
