@@ -22,14 +22,16 @@ def _discounts(grams: DataFrame, group: str) -> DataFrame:
     return counts.select(F.col(group).alias("_group"), *(discount(i) for i in (1, 2, 3)))
 
 
-def _discounted(grams: DataFrame, group: str) -> DataFrame:
-    """Adds d (this count's discount), total and freed (what its context gives away)."""
-    context = Window.partitionBy(group, "context")
+def _discounted(grams: DataFrame, *group: str) -> DataFrame:
+    """Adds d (this count's discount), total and freed (what its context gives away).
+
+    ``grams`` has the discounts d1, d2, d3 of its rows.
+    """
+    context = Window.partitionBy(*group, "context")
     d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     return (
-        grams.join(_discounts(grams, group), F.col(group) == F.col("_group"))
-        # by context: left to the join, all n-grams of a group would meet in one task
-        .repartition(group, "context")
+        # by context: left to joins before, all n-grams of a group would meet in one task
+        grams.repartition(*group, "context")
         .withColumn("d", F.when(F.col("c") > 0, d).otherwise(F.lit(0.0)))
         .withColumn("total", F.sum("c").over(context))
         .withColumn("freed", F.sum("d").over(context))
@@ -47,6 +49,7 @@ def probabilities(counts: DataFrame, order: int, group: str = "group") -> DataFr
     lower: DataFrame | None = None
     for size, level in enumerate(reversed(levels), start=1):
         level = level.withColumn("context", F.substring("gram", 1, size - 1))
+        level = level.join(_discounts(level, group), F.col(group) == F.col("_group"))
         level = _discounted(level, group)
         if lower is None:
             alphabet = Window.partitionBy(group)
@@ -68,25 +71,26 @@ def class_probabilities(shared: DataFrame, classes: DataFrame, order: int, names
     """gram, and in each class its count, p_ (its probability, backed off to what the
     classes share) and total_ (the count of its context).
 
-
     ``shared`` has the probability p of every n-gram, counted on all texts; ``classes`` has
     gram and one count column per class for the n-grams that labelled texts use. In each
     class the discounted mass of a context goes to the shared probability, so n-grams that
     a class has rarely or never seen are judged by the counts that the classes share.
     """
     rows = shared.select("gram", F.col("p").alias("shared"))
-    rows = rows.join(classes.select("gram", *names), "gram", "left").withColumn("context", F.substring("gram", 1, order - 1))
+    rows = rows.join(classes.select("gram", *names), "gram", "left")
+    rows = rows.withColumn("context", F.substring("gram", 1, order - 1))
     for name in names:
-        seen = F.coalesce(F.col(name), F.lit(0))
-        counted = rows.withColumn("c", seen).withColumn("_class", F.lit(name))
-        counted = _discounted(counted, "_class").withColumn(
+        own = rows.withColumn("c", F.coalesce(F.col(name), F.lit(0)))
+        discounts = _discounts(own.select("c", F.lit(name).alias("_class")), "_class")
+        own = own.withColumns({d: discounts.select(d).scalar() for d in ("d1", "d2", "d3")})
+        own = _discounted(own).withColumn(
             f"p_{name}",
             F.coalesce(
                 F.try_divide(F.col("c") - F.col("d") + F.col("freed") * F.col("shared"), F.col("total")),
                 "shared",
             ),
         )
-        counted = counted.withColumn(f"total_{name}", F.col("total"))
-        rows = counted.drop("c", "_class", "_group", "d", "d1", "d2", "d3", "total", "freed")
+        own = own.withColumn(f"total_{name}", F.col("total"))
+        rows = own.drop("c", "d", "d1", "d2", "d3", "total", "freed")
     columns = [column for name in names for column in (name, f"p_{name}", f"total_{name}")]
     return rows.select("gram", *columns).fillna(0, names)
