@@ -7,8 +7,8 @@ logged so far for all later messages. Redelivered events (all values equal) coun
 
 Rendered turns are ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts every run
 of bars after ``<`` gets one bar more, so a control string never occurs there, and taking
-one bar away gives the text back. Backslashes and line ends in roles are written as
-``\\\\`` and ``\\n``.
+one bar away gives the text back. In roles a backslash is written as ``\\b`` and a line
+end as ``\\n``.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -100,13 +100,11 @@ def unescaped(text: Column) -> Column:
 
 
 def _escaped_role(role: Column) -> Column:
-    return escaped(F.replace(F.replace(role, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+    return escaped(F.replace(F.replace(role, F.lit("\\"), F.lit("\\b")), F.lit("\n"), F.lit("\\n")))
 
 
 def _unescaped_role(role: Column) -> Column:
-    """Backslash pairs are set aside as a character that a role line cannot hold."""
-    apart = F.replace(unescaped(role), F.lit("\\\\"), F.lit("\n\n"))
-    return F.replace(F.replace(apart, F.lit("\\n"), F.lit("\n")), F.lit("\n\n"), F.lit("\\"))
+    return F.replace(F.replace(unescaped(role), F.lit("\\n"), F.lit("\n")), F.lit("\\b"), F.lit("\\"))
 
 
 def render(messages: DataFrame, trained_role: str = "assistant") -> DataFrame:
