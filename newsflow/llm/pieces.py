@@ -15,6 +15,7 @@ the same work took more disk and time than the limits allow, see the README.
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Substrings are cut from windows of this many characters, so long units stay linear.
 WINDOW = 256
 # Paths of distinct units that a task keeps at a time.
-KEPT_PATHS = 300_000
+KEPT_PATHS = 500_000
+# Units up to this length are merged by looking up only the edges that merges ask for.
+SHORT_UNIT = 48
 # Documents in one result batch, which holds ids and texts.
 _RESULT_DOCS = 500
 _UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
@@ -57,6 +60,7 @@ class Pieces:
     def __init__(self, table: DataFrame) -> None:
         rows = sorted(table.collect(), key=lambda r: r["id"])
         self.scores = {r["id"]: r["score"] for r in rows}
+        self.ranks = {r["piece"]: -r["score"] for r in rows if r["kind"] == "normal"}
         self.ids = {r["piece"]: r["id"] for r in rows if r["kind"] == "normal"}
         self.bytes = {int(r["piece"][3:5], 16): r["id"] for r in rows if r["kind"] == "byte"}
         self.unknown = next((r["id"] for r in rows if r["piece"] == "<unk>"), 0)
@@ -104,6 +108,26 @@ class Pieces:
             place = ends[place]
         return found
 
+    def path(self, unit: str) -> list[int]:
+        """The pieces of a unit."""
+        if len(unit) > SHORT_UNIT:
+            return self.merged(unit, self.edges(unit))
+        parts, rank, none = list(unit), self.ranks.get, float("inf")
+        pairs = [rank(a + b, none) for a, b in pairwise(parts)]
+        while pairs and (best := min(pairs)) != none:
+            i = pairs.index(best)
+            parts[i] += parts.pop(i + 1)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = rank(parts[i] + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
+        found: list[int] = []
+        for part in parts:
+            piece = self.ids.get(part)
+            found += [piece] if piece is not None else self.spelled(part)
+        return found
+
     def edges(self, unit: str) -> dict[tuple[int, int], int]:
         """The lattice of a unit: (start, length) of its substrings that are pieces."""
         return {
@@ -127,7 +151,7 @@ class Encoder(dict):
 
     def __missing__(self, word: str) -> bytes:
         ids = [
-            i for unit in _UNIT.findall(MARK + word) for i in self.pieces.merged(unit, self.pieces.edges(unit))
+            i for unit in _UNIT.findall(MARK + word) for i in self.pieces.path(unit)
         ]
         if len(self) >= KEPT_PATHS:
             self.clear()
