@@ -4,11 +4,13 @@ A template and a stretch of text are aligned on the words that occur exactly onc
 of these the longest run in the same order (a longest increasing subsequence) is kept, and
 the gaps between the kept words are aligned the same way. The share of the template's
 words that find a partner is its coverage. Stretches are taken around each occurrence of
-the template's rarest words in the text, so a license that is repeated is found each time.
+the template's rarest words in the text: of so many that a copy which lacks them all would
+not reach the coverage. So each copy of a repeated license has its own stretches.
 """
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,8 +19,6 @@ from pyspark.sql import DataFrame, functions as F
 from newsflow.llm.common import each, session_of, whole_text
 
 COVERAGE = 0.8
-# How many of a template's words, the rarest in the text first, stretches are taken around.
-SEEDS = 3
 _WORD = re.compile(r"[^\W_]+")
 
 # Wording of licenses and license notices, by SPDX name.
@@ -134,6 +134,7 @@ class Scanner:
         self.coverage = coverage
         self.templates = [(name, words) for name, text in templates if (words := words_of(text))]
         self.sets = [frozenset(words) for _, words in self.templates]
+        self.places = [_places(words) for _, words in self.templates]
         self.vocabulary = frozenset().union(*self.sets)
 
     def scan(self, text: str) -> list[dict]:
@@ -142,45 +143,96 @@ class Scanner:
         present = self.vocabulary.intersection(words)
         spans = []
         places: dict[str, list[int]] | None = None
-        for (name, template), distinct in zip(self.templates, self.sets):
+        for (name, template), distinct, own in zip(self.templates, self.sets, self.places):
             here = present & distinct
             if len(here) < len(distinct) and sum(w in here for w in template) < self.coverage * len(template):
                 continue
             if places is None:
-                places = {word: [] for word in present}
-                for i, word in enumerate(words):
-                    if word in present:
-                        places[word].append(i)
-            spans += self._found(name, template, words, places)
-        spans.sort(key=lambda s: (-s["coverage"], -s["matched"], s["first"], s["license"]))
-        kept: list[dict] = []
-        for span in spans:
-            if all(span["last"] < k["first"] or span["first"] > k["last"] for k in kept):
-                kept.append(span)
-        return sorted(kept, key=lambda s: s["first"])
-
-    def _found(self, name: str, template: list[str], words: list[str], places: dict) -> list[dict]:
-        slack = 5 + len(template) // 4
-        first = {word: i for i, word in reversed(list(enumerate(template)))}
-        seeds = sorted((w for w in first if w in places), key=lambda w: (len(places[w]), first[w]))[:SEEDS]
-        starts = {max(0, at - first[seed] - slack) for seed in seeds for at in places[seed]}
-        found, done = {}, -1
-        for start in sorted(starts):
-            if start <= done:
+                places = _places(words, present)
+            spans += self._found(name, template, own, words, places)
+        return sorted(_apart(spans), key=lambda s: s["first"])
+
+    def _found(self, name: str, template: list[str], own: dict, words: list[str], places: dict) -> list[dict]:
+        size = len(template)
+        slack, wide = 5 + size // 4, 5 + size
+        hits = sorted(i for word in own for i in places.get(word, ()))
+        counts = Counter(template)
+        found, wider, done = {}, {}, -1
+        for at in sorted(self._starts(size, own, places)):
+            if at <= done:
                 continue  # the same stretch, within the slack
-            done = start + slack // 2
-            stretch = words[start : start + len(template) + 2 * slack + slack // 2]
-            pairs = align(stretch, template)
-            if len(pairs) >= self.coverage * len(template):
+            done = at + slack // 2
+            near = None
+            for left, right in ((slack, slack), (slack, wide), (wide, slack), (wide, wide)):
+                start, end = max(0, at - left), max(0, at + size + right + slack // 2)
+                first, last = bisect_left(hits, start), bisect_left(hits, end)
+                if last - first < self.coverage * size:
+                    continue
+                here = Counter(words[i] for i in hits[first:last])
+                if (here & counts).total() < self.coverage * size:
+                    continue
+                pairs = align(words[start:end], template)
+                if len(pairs) < self.coverage * size:
+                    continue
                 ends = start + pairs[0][0], start + pairs[-1][0]
-                found[ends] = {
+                span = {
                     "license": name,
                     "first": ends[0],
                     "last": ends[1],
                     "matched": len(pairs),
-                    "coverage": round(len(pairs) / len(template), 6),
+                    "coverage": round(len(pairs) / size, 6),
                 }
-        return list(found.values())
+                if (left, right) == (slack, slack):
+                    found[ends] = near = span
+                elif near is None or len(pairs) > near["matched"]:
+                    wider[ends] = near, span
+                if len(pairs) == size:
+                    break
+        # Wider stretches are for copies with long insertions; none may reach into another copy.
+        spans, kept = list(found.values()), _apart(list(found.values()))
+        for near, span in sorted(wider.values(), key=lambda pair: _best_first(pair[1])):
+            rest = [k for k in kept if k is not near]
+            if all(_disjoint(span, k) for k in rest):
+                kept = [*rest, span]
+                spans.append(span)
+        return spans
+
+    def _starts(self, size: int, own: dict, places: dict) -> set[int]:
+        """Where the text would have the template's first word if nothing were changed before
+        a seed. A copy may lack ``spare`` of the template's words, so one more are seeds."""
+        spare = size - self.coverage * size - sum(len(own[word]) for word in own if word not in places)
+        starts: set[int] = set()
+        for word in sorted((w for w in own if w in places), key=lambda w: (len(places[w]), own[w][0])):
+            starts.update(at - place for at in places[word] for place in own[word])
+            spare -= len(own[word])
+            if spare < 0:
+                break
+        return starts
+
+
+def _best_first(span: dict) -> tuple:
+    return -span["coverage"], -span["matched"], span["first"], span["last"], span["license"]
+
+
+def _disjoint(one: dict, other: dict) -> bool:
+    return one["last"] < other["first"] or one["first"] > other["last"]
+
+
+def _apart(spans: list[dict]) -> list[dict]:
+    """Of spans that overlap, the best."""
+    kept: list[dict] = []
+    for span in sorted(spans, key=_best_first):
+        if all(_disjoint(span, k) for k in kept):
+            kept.append(span)
+    return kept
+
+
+def _places(words: list[str], wanted: frozenset[str] | None = None) -> dict[str, list[int]]:
+    places: dict[str, list[int]] = {}
+    for i, word in enumerate(words):
+        if wanted is None or word in wanted:
+            places.setdefault(word, []).append(i)
+    return places
 
 
 _SPAN = pa.struct(
@@ -213,9 +265,10 @@ def scan_licenses(
 
     ``licenses`` lists each license found with its first and last word (from 0) and its
     coverage; ``license`` and ``coverage`` are those of the best covered one (the first
-    of equals), null without any. Words are runs of letters and digits, in lower case. A
-    null text is empty. Repeated rows are scanned each. Other columns are not looked at.
-    An empty table gives no rows.
+    of equals), null without any. A copy is found if the words put between those of the
+    template are no more than about a quarter of it, or about all of it on either side of
+    words that it keeps. Words are runs of letters and digits, in lower case. A null text
+    is empty. Repeated rows are scanned each. Other columns are not looked at. An empty table gives no rows.
     """
     session_of(docs)
     rows = docs.select("doc_id", whole_text().alias("text"))

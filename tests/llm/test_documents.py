@@ -173,6 +173,25 @@ def test_license_scan(spark, tricky, nothing):
     assert licenses.scan_licenses(nothing).count() == 0
 
 
+def test_license_scan_finds_edited_copies():
+    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 200)
+    words = licenses.words_of(mit)
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    once = [w for w in words if words.count(w) == 1]
+    random_ = random.Random(4)
+    for lost in (once[:3], once[3:6], once[-3:], random_.sample(once, 12)):
+        edited = " ".join("other" if w in lost else w for w in words)
+        found = scanner.scan(f"{mit} some words between the two {edited}")
+        assert [(s["license"], s["matched"]) for s in found] == [("MIT", len(words)), ("MIT", len(words) - len(lost))]
+        away = " ".join("x" if i % 500 else random_.choice(lost) for i in range(6000))
+        found = scanner.scan(f"{' '.join(lost)} {away} {edited}")
+        assert [(s["license"], s["matched"]) for s in found] == [("MIT", len(words) - len(lost))]
+    for at in (10, len(words) // 2, len(words) - 10):
+        inserted = " ".join(words[:at] + ["put"] * 70 + words[at:])
+        (found,) = scanner.scan("x " * 300 + inserted + " x" * 300)
+        assert (found["first"], found["last"], found["coverage"]) == (300, 300 + len(words) + 69, 1)
+
+
 # --- SentencePiece ---------------------------------------------------------------------
 
 
