@@ -1,7 +1,8 @@
 """The corpus pipeline: documents through the stages below, each written and read again.
 
 Quality rules and near-dedup keep or drop documents, exact dedup keeps one of equal texts,
-mixing puts the rest in order, and the last stage gives their SentencePiece ids.
+mixing puts the rest in order, and the last stage gives their SentencePiece ids with their
+position in that order.
 """
 
 from collections.abc import Callable
@@ -33,14 +34,16 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, written in the order of the mix."""
-    return mixing.in_mixed_order(docs)
+    """All documents, written in the order of the mix, with their position in it."""
+    return mixing.in_mixed_order(docs, position="position")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_ids, ids, and the digest of the text that the ids decode to."""
-    return pieces.encode(docs).select(
+    """doc_id, position in the mix, n_ids, ids, and the digest of the text that the ids
+    decode to."""
+    return pieces.encode(docs, keep=("position",)).select(
         "doc_id",
+        "position",
         F.size("ids").cast("long").alias("n_ids"),
         "ids",
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),

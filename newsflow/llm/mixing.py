@@ -168,18 +168,32 @@ def mix(
     )
 
 
-def in_mixed_order(docs: DataFrame, parts: DataFrame | None = None, block_rows: int = 64) -> DataFrame:
+def in_mixed_order(
+    docs: DataFrame,
+    parts: DataFrame | None = None,
+    block_rows: int = 64,
+    position: str | None = None,
+) -> DataFrame:
     """All documents with all their columns, sorted by their position in the mix.
 
-    Written as files, the files and their rows follow that order.
+    Written as files, the files and their rows follow that order. ``position`` names a
+    column that holds it; one of that name in ``docs`` is replaced. Rows with the same
+    doc_id and source share out their positions in the order of a hash of the row.
     """
-    positions = mix(docs, parts, block_rows).select(
-        F.col("doc_id").alias("_id"), F.coalesce("source", F.lit("")).alias("_source"), "position"
+    key = F.struct("doc_id", F.coalesce("source", F.lit("")))
+    at = (
+        mix(docs, parts, block_rows)
+        .groupBy(key.alias("_key"))
+        .agg(F.sort_array(F.collect_list("position")).alias("_all"))
     )
-    once = positions.groupBy("_id", "_source").agg(F.min("position").alias("position"))
-    placed = docs.join(
-        once,
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & (F.coalesce("source", F.lit("")) == F.col("_source")),
+    hashed = [name for name, kind in docs.dtypes if "map<" not in kind]  # maps have no hash
+    same_key = Window.partitionBy("_key").orderBy(F.xxhash64(*hashed))
+    placed = (
+        docs.withColumn("_key", key)
+        .join(at, "_key")
+        .withColumn("_at", F.get("_all", F.row_number().over(same_key) - 1))
     )
-    return placed.repartitionByRange("position").sortWithinPartitions("position").select(*docs.columns)
+    ordered = placed.repartitionByRange("_at").sortWithinPartitions("_at")
+    if position is None:
+        return ordered.select(*docs.columns)
+    return ordered.select(*(c for c in docs.columns if c != position), F.col("_at").alias(position))

@@ -256,7 +256,7 @@ def viterbi(edges: Column, scores: Column, size: Column) -> Column:
     return F.get(folded, size)["ids"]
 
 
-def _encoded(pieces: Pieces):
+def _encoded(pieces: Pieces, keep: tuple[str, ...]):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(pieces)
         for batch in batches:
@@ -269,15 +269,16 @@ def _encoded(pieces: Pieces):
                         part["doc_id"],
                         pa.array(ids, pa.list_(pa.int32())),
                         pa.array(texts, pa.string()),
+                        *(part[name] for name in keep),
                     ],
-                    names=["doc_id", "ids", "text"],
+                    names=["doc_id", "ids", "text", *keep],
                 )
 
     return encoded
 
 
-def encode(docs: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
-    """One row per document: doc_id, ids, text (decoded from the ids).
+def encode(docs: DataFrame, pieces: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, ids, text (decoded from the ids), and columns to keep.
 
     ``pieces`` is the table of a BPE model (default: the public 32k model). Null and empty
     texts have no ids. A space mark in a text counts as a space. Repeated rows are encoded
@@ -286,8 +287,9 @@ def encode(docs: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
     """
     spark = session_of(docs)
     table = Pieces(piece_table(spark) if pieces is None else pieces)
-    texts = docs.select("doc_id", whole_text().alias("text"))
-    return texts.mapInArrow(_encoded(table), "doc_id long, ids array<int>, text string")
+    texts = docs.select("doc_id", whole_text().alias("text"), *keep)
+    kept = "".join(f", {name} {docs.schema[name].dataType.simpleString()}" for name in keep)
+    return texts.mapInArrow(_encoded(table, keep), f"doc_id long, ids array<int>, text string{kept}")
 
 
 def decode(encoded: DataFrame, pieces: DataFrame) -> DataFrame:

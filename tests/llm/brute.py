@@ -135,3 +135,26 @@ def merged(text: str, ids: dict[str, int], scores: dict[str, float]) -> list[str
         if best is None:
             return symbols
         symbols[best : best + 2] = [symbols[best] + symbols[best + 1]]
+
+
+def mix(sources: dict[int, str], exponent: float, total: int, block_rows: int) -> dict[int, int]:
+    """doc_id -> position: at each slot the released block with the earliest deadline."""
+    from hashlib import md5
+
+    queues: dict[str, list[int]] = {}
+    for doc in sorted(sources, key=lambda d: (md5(str(d).encode()).hexdigest(), d)):
+        queues.setdefault(sources[doc], []).append(doc)
+    shares = {s: len(queue) ** exponent for s, queue in queues.items()}
+    parts = {s: max(1, int(share * total / sum(shares.values()) + 0.5)) for s, share in shares.items()}
+    q = sum(parts.values())
+    done = dict.fromkeys(parts, 0)
+    order: list[int] = []
+    slot = 0
+    while len(order) < len(sources):
+        released = [s for s in parts if done[s] * q // parts[s] <= slot]
+        if released:
+            next_ = min(released, key=lambda s: (-(-(done[s] + 1) * q // parts[s]), s))
+            order += queues[next_][done[next_] * block_rows : (done[next_] + 1) * block_rows]
+            done[next_] += 1
+        slot += 1
+    return {doc: place for place, doc in enumerate(order)}

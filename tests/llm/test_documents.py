@@ -252,3 +252,9 @@ def test_pipeline(spark):
     want = {d: library.encode(rows[d].text) for d in kept}
     found = corpus_pipeline.run(spark, SMALL).collect()
     assert {r.doc_id: list(r.ids) for r in found} == want and len(found) == len(want)
+
+
+def test_pipeline_gives_the_position_in_the_mix(spark):
+    source = {r.doc_id: r.source or "" for r in documents(spark).collect()}
+    found = {r.doc_id: r.position for r in corpus_pipeline.run(spark, SMALL).collect()}
+    assert found == brute.mix({d: source[d] for d in found}, 0.7, 1000, 64)

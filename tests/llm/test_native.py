@@ -76,6 +76,14 @@ def test_mix(tricky, nothing, spark):
     assert ordered.columns == tricky.columns and ordered.count() == tricky.count()
 
 
+def test_mixed_order_gives_each_row_its_position(tricky, spark):
+    parts = spark.createDataFrame([("a", 2), ("b", 1), ("z", 4)], "source string, parts int")
+    want = Counter((r.doc_id, r.source, r.position) for r in mixing.mix(tricky, parts, block_rows=2).collect())
+    rows = mixing.in_mixed_order(tricky, parts, block_rows=2, position="position").collect()
+    assert Counter((r.doc_id, r.source or "", r.position) for r in rows) == want
+    assert [r.position for r in rows] == list(range(tricky.count()))
+
+
 def test_mix_refuses_too_many_parts(spark):
     parts = spark.createDataFrame([("a", mixing.MOST_PARTS), ("b", 1)], "source string, parts int")
     with pytest.raises(Exception, match="parts add up"):
