@@ -5,7 +5,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsflow.llm import chat, exact_dedup, licenses, line_dedup, main_text, mixing, near_dedup, pieces, quality, toxicity
+from newsflow.llm import chat, exact_dedup, licenses, line_dedup, main_text, merkle, mixing, near_dedup, pieces, quality, toxicity
 from newsflow.llm.common import session_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,3 +210,88 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     parts = mixing.tempered_parts(docs, _MIX_EXPONENT, _MIX_TOTAL)
     return mixing.mix(docs, parts, block_rows=_MIX_BLOCK)
+
+
+# CRC-32 of the decimal id, one character and then one bit at a time.
+_CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda v, z: xor(v >> 1, (v & 1) * 3988292384))))"""
+
+_MERKLE_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _merkle_leaf(text: str) -> str:
+    """SQL of a row's digest, given the SQL of its text."""
+    values = [*(f"{name}::VARCHAR" for name in _MERKLE_FIELDS[:4]), text]
+    parts = (f"coalesce(octet_length(encode({v}))::VARCHAR || ':' || {v}, '-')" for v in values)
+    return f"sha256({' || '.join(parts)})"
+
+
+@query(
+    f"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, coalesce('s' || source, '-') AS grp, {_merkle_leaf("text")} AS leaf,
+        {_merkle_leaf("replace(text, chr(10), '')")} AS other
+      FROM documents
+    ), o AS (
+      SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM d
+    ), up AS (
+      SELECT grp, 0 AS level, list(leaf ORDER BY idx) AS hs FROM o GROUP BY grp
+      UNION ALL
+      SELECT grp, level + 1, list_transform(range(0, (len(hs) + 2) // 3),
+        lambda i: sha256(array_to_string(hs[3 * i + 1:3 * i + 3], '')))
+      FROM up WHERE len(hs) > 1
+    ), s AS (
+      SELECT grp, hs[1] AS subroot, level AS depth, row_number() OVER (ORDER BY encode(grp)) - 1 AS gidx
+      FROM up WHERE len(hs) = 1
+    ), rup AS (
+      SELECT 0 AS level, list(subroot ORDER BY gidx) AS hs FROM s
+      UNION ALL
+      SELECT level + 1, list_transform(range(0, (len(hs) + 2) // 3),
+        lambda i: sha256(array_to_string(hs[3 * i + 1:3 * i + 3], '')))
+      FROM rup WHERE len(hs) > 1
+    ), r AS (SELECT hs[1] AS root, level AS depth FROM rup WHERE len(hs) = 1),
+    fold AS (
+      SELECT o.doc_id, o.grp, o.idx AS start, o.leaf, 0 AS step, o.idx AS idx,
+        CASE WHEN {_CRC32} % 2 = 0 THEN o.other ELSE o.leaf END AS h, '' AS sibs
+      FROM o
+      UNION ALL
+      SELECT f.doc_id, f.grp, f.start, f.leaf, f.step + 1,
+        CASE WHEN f.step + 1 = s.depth THEN s.gidx ELSE f.idx // 3 END,
+        sha256(array_to_string(hs[n - n % 3 + 1:n], '') || f.h || array_to_string(hs[n + 2:n - n % 3 + 3], '')),
+        f.sibs || array_to_string(hs[n - n % 3 + 1:n], '') || array_to_string(hs[n + 2:n - n % 3 + 3], '')
+      FROM (
+        SELECT fold.*, s.depth, s.gidx,
+          CASE WHEN step < s.depth THEN idx WHEN step = s.depth THEN s.gidx ELSE idx END AS n
+        FROM fold JOIN s USING (grp)
+      ) f
+      JOIN s ON s.grp = f.grp
+      JOIN (SELECT grp, level, hs FROM up UNION ALL SELECT NULL, level, hs FROM rup) l
+        ON l.grp IS NOT DISTINCT FROM CASE WHEN f.step < s.depth THEN f.grp END
+        AND l.level = CASE WHEN f.step < s.depth THEN f.step ELSE f.step - s.depth END
+      WHERE f.step < s.depth + (SELECT depth FROM r)
+    )
+    SELECT f.doc_id, f.leaf, s.subroot, r.root, sha256(f.sibs) AS proof_sha256,
+      f.h AS folded_root, f.h = r.root AS verified
+    FROM fold f JOIN s USING (grp), r WHERE f.step = s.depth + r.depth
+    """
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other document, by its id's CRC-32, is read back without its line ends."""
+    shortened = F.translate("text", "\n", "")
+    changed = merkle.leaf_hash(*map(F.col, _MERKLE_FIELDS[:4]), shortened)
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found = merkle.manifest(
+        table(spark, sf_dir, "documents"), _MERKLE_FIELDS, extra={"_changed": F.when(even, changed)}
+    )
+    root = merkle.folded(F.coalesce("_changed", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_hash(F.col("path")).alias("proof_sha256"),
+        root.alias("folded_root"),
+        (root == F.col("root")).alias("verified"),
+    )
