@@ -5,7 +5,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsflow.llm import chat, exact_dedup, licenses, line_dedup, main_text, merkle, mixing, near_dedup, pieces, quality, toxicity
+from newsflow.llm import chat, embeddings, exact_dedup, licenses, line_dedup, main_text, merkle, mixing, near_dedup, pieces, quality, toxicity
 from newsflow.llm.common import session_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,3 +295,25 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         root.alias("folded_root"),
         (root == F.col("root")).alias("verified"),
     )
+
+
+@query(
+    """
+    WITH RECURSIVE v AS (
+      SELECT vec_id, label, len(embedding) AS size, embedding::DOUBLE[] AS e FROM embeddings
+      WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), link AS (
+      SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b USING (label, size)
+      WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98
+    ), reach AS (
+      SELECT vec_id AS u, vec_id AS v FROM embeddings
+      UNION SELECT reach.u, link.v FROM reach JOIN link ON reach.v = link.u
+    ), c AS (SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u),
+    n AS (SELECT u AS vec_id, count(*) AS n FROM link GROUP BY u)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM c LEFT JOIN n USING (vec_id)
+    """
+)
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
