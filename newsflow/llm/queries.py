@@ -5,7 +5,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsflow.llm import chat, embeddings, exact_dedup, licenses, line_dedup, main_text, merkle, mixing, near_dedup, pieces, quality, toxicity
+from newsflow.llm import chat, embeddings, exact_dedup, licenses, line_dedup, main_text, merkle, mixing, near_dedup, pieces, quality, token_pairs, toxicity
 from newsflow.llm.common import session_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -297,6 +297,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_pairs.align(table(spark, sf_dir, "documents"))
+
+
 @query(
     """
     WITH RECURSIVE v AS (
