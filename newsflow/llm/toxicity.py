@@ -4,8 +4,8 @@ A toxic and an ordinary model of character 5-grams inside words are counted on l
 documents; both give what they discount to one shared model, counted on all documents. A
 document's feature is the difference of its log-likelihoods per n-gram; the first two
 letters of each word, which mostly tell the language, do not count. Words are runs of
-letters, in lower case. A logistic curve,
-fitted on the same labelled documents, turns features into scores.
+letters, in lower case. A logistic curve, fitted on the same labelled documents, turns
+features into scores. A score follows from the text alone: equal texts have equal scores.
 """
 
 from collections.abc import Iterator
@@ -20,13 +20,13 @@ from newsflow.llm.kneser_ney import class_probabilities, probabilities
 
 ORDER = 5
 FOLDS = 5
-# Training documents fall into two halves with a model each. A training document gets its
-# feature from the half it is not in, so that no model has seen it; others get the mean.
+# Training documents fall into two halves with a model each. The curve is fitted on features
+# from the half a document is not in, which no model has seen; scores take the mean of both.
 HALVES = ("a", "b")
 _CLASSES = [f"{label}_{half}" for half in HALVES for label in ("toxic", "ordinary")]
-# Standard errors by which an n-gram's shares in the two classes must differ to tell
-# anything: otherwise texts of unusual make look like the class that was counted less.
-LEAST_SURPRISE = 5.0
+# Evidence (squared standard errors between the classes' shares of an n-gram) at which a ratio
+# counts half: what chance may have made counts little, at all sizes of the evidence.
+HALF_EVIDENCE = 30.0
 _ROUNDS = 12
 
 
@@ -83,23 +83,41 @@ def held_out() -> Column:
     return _crc() % FOLDS == 0
 
 
-def _surprise(half: str) -> Column:
-    """How many standard errors the shares of an n-gram after its context lie apart."""
-    one, other = F.col(f"total_toxic_{half}"), F.col(f"total_ordinary_{half}")
-    toxic, ordinary = F.col(f"toxic_{half}"), F.col(f"ordinary_{half}")
-    pooled = F.try_divide(toxic + ordinary, one + other)
-    apart = F.try_divide(toxic, one) - F.try_divide(ordinary, other)
-    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), one) + F.try_divide(F.lit(1.0), other)))
-    return F.coalesce(F.try_divide(F.abs(apart), error), F.lit(0.0))
+def _evidence(one: Column, of_one: Column, other: Column, of_other: Column) -> Column:
+    """Squared distance of two shares in standard errors; 0 if either has no base."""
+    pooled = F.try_divide(one + other, of_one + of_other)
+    apart = F.try_divide(one, of_one) - F.try_divide(other, of_other)
+    error = pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), of_one) + F.try_divide(F.lit(1.0), of_other))
+    return F.coalesce(F.try_divide(apart * apart, error), F.lit(0.0))
+
+
+def _ratio(half: str, seen: dict[str, float]) -> Column:
+    """Log of how much likelier an n-gram is in toxic texts, shrunk by the evidence for it.
+
+    Both probabilities are backed off to the shared counts, so an n-gram after a context
+    that one class never has counts too. The evidence is that of its shares after its
+    context, or of its shares of all n-grams of the two classes (``seen`` of them).
+    """
+    toxic, ordinary = f"toxic_{half}", f"ordinary_{half}"
+    likelier = F.log(F.col(f"p_{toxic}") / F.col(f"p_{ordinary}"))
+    counts = F.col(toxic), F.col(ordinary)
+    after = _evidence(counts[0], F.col(f"total_{toxic}"), counts[1], F.col(f"total_{ordinary}"))
+    overall = _evidence(counts[0], F.lit(seen[toxic]), counts[1], F.lit(seen[ordinary]))
+    evidence = F.greatest(after, overall)
+    told = ~F.col("gram").startswith(B.START * 3)  # the first letters mostly tell the language
+    shrunk = likelier * evidence**2 / (evidence**2 + HALF_EVIDENCE**2)
+    return F.when(told, shrunk).otherwise(F.lit(0.0))
 
 
 def _curve(train: DataFrame) -> np.ndarray:
-    """Weights of a logistic curve over (1, ratio, ratio * log size), by Newton steps.
+    """Weights of a logistic curve over (1, x1, x2), by Newton steps.
 
-    Each step sums nine numbers over all training rows; a ridge keeps it defined where
-    there is one class only.
+    Each step sums nine numbers over all training rows. The features are brought to mean
+    square 1 first; a ridge keeps the curve defined where there is one class only.
     """
-    x = [F.lit(1.0), F.col("x1"), F.col("x2")]
+    squares = train.agg(F.avg(F.col("x1") ** 2), F.avg(F.col("x2") ** 2)).first()
+    scale = np.array([1.0, *(1 / np.sqrt(v) if v else 1.0 for v in squares)])
+    x = [F.lit(1.0), F.col("x1") * float(scale[1]), F.col("x2") * float(scale[2])]
     w = np.zeros(3)
     for _ in range(_ROUNDS):
         p = 1 / (1 + F.exp(-(w[0] * x[0] + w[1] * x[1] + w[2] * x[2])))
@@ -111,7 +129,7 @@ def _curve(train: DataFrame) -> np.ndarray:
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
-    return w
+    return w * scale
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -155,30 +173,22 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     shared = probabilities(stored(pooled, "gram-counts"), ORDER)
     model = class_probabilities(shared, classes, ORDER, _CLASSES)
-    told = ~F.col("gram").startswith(B.START * 3)
-
-    def ratio(half: str) -> Column:
-        likelier = F.log(F.col(f"p_toxic_{half}") / F.col(f"p_ordinary_{half}"))
-        return F.when(told & (_surprise(half) >= LEAST_SURPRISE), likelier).otherwise(F.lit(0.0))
-
+    seen = {name: float(n or 0) for name, n in classes.agg(*(F.sum(c).alias(c) for c in _CLASSES)).first().asDict().items()}
+    ratios = [_ratio(half, seen).alias(half) for half in HALVES]
     answers, shards = B.answers(
-        dictionary, model.select(F.lit("").alias("group"), "gram", ratio("a").alias("a"), ratio("b").alias("b"))
+        dictionary, model.select(F.lit("").alias("group"), "gram", *ratios)
     )
     found = blocks.join(answers, "block", "left").mapInArrow(
         _features(shards),
         "doc_id long, block long, place int, ratio_a double, ratio_b double, size double",
     )
-    features = stored(
-        found.join(trained.select("block", "place", "toxic", "half"), ["block", "place"], "left").withColumn(
-            "ratio",
-            F.when(F.col("half") == "a", F.col("ratio_b"))
-            .when(F.col("half") == "b", F.col("ratio_a"))
-            .otherwise((F.col("ratio_a") + F.col("ratio_b")) / 2),
-        ),
-        "features",
+    features = stored(found, "features").withColumn("ratio", (F.col("ratio_a") + F.col("ratio_b")) / 2)
+    # the curve learns from ratios of the half that has not counted the document
+    unseen = F.when(F.col("half") == "a", F.col("ratio_b")).otherwise(F.col("ratio_a"))
+    train = features.join(trained.select("block", "place", "toxic", "half"), ["block", "place"]).select(
+        "toxic", unseen.alias("x1"), (unseen * F.log1p("size")).alias("x2")
     )
     x1, x2 = F.col("ratio"), F.col("ratio") * F.log1p("size")
-    train = features.where("toxic IS NOT NULL").select("toxic", x1.alias("x1"), x2.alias("x2"))
     w = _curve(stored(train, "training-features"))
     score = F.round(1 / (1 + F.exp(-(float(w[0]) + float(w[1]) * x1 + float(w[2]) * x2))), 6)
     return features.select(

@@ -258,3 +258,14 @@ def test_pipeline_gives_the_position_in_the_mix(spark):
     source = {r.doc_id: r.source or "" for r in documents(spark).collect()}
     found = {r.doc_id: r.position for r in corpus_pipeline.run(spark, SMALL).collect()}
     assert found == brute.mix({d: source[d] for d in found}, 0.7, 1000, 64)
+
+
+def test_toxicity_follows_from_the_text_alone(spark):
+    """Copies of documents, held out or not, labelled or not, have one score."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    copies = docs.unionByName(docs.selectExpr("doc_id + 1000003 AS doc_id", "text"))
+    scores = {}
+    for r in toxicity.toxicity(copies, labels).join(copies, "doc_id").collect():
+        scores.setdefault(r.text, set()).add(r.score)
+    assert len(scores) > 100 and all(len(s) == 1 for s in scores.values())
