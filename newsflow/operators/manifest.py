@@ -1,6 +1,6 @@
 """Feed file lists: what a day should hold, what has landed, what is missing."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsflow.functions.dates import batch_digits, batch_label, batch_ts
 from newsflow.functions.urls import base_name
@@ -108,3 +108,31 @@ def completeness(manifest: DataFrame, above: int = COMPLETE_ABOVE) -> DataFrame:
 def missing_slots(expected: DataFrame, landed: DataFrame) -> DataFrame:
     """Expected files that have not landed."""
     return expected.join(landed.select("batch", "kind"), ["batch", "kind"], "left_anti")
+
+
+def missing_runs(expected: DataFrame, landed: DataFrame) -> DataFrame:
+    """Gaps of the feed: runs of consecutive missing slots of a kind, over midnight too.
+
+    ``(kind, first_batch, last_batch, n_slots)``. Slots are numbered by time; in a run the
+    number less the rank among the day's missing slots stays the same. Ranks are taken
+    within days, and the runs that touch midnight are joined afterwards, so no task holds
+    more than a day of a kind, or more than a row a day.
+    """
+    slot = (F.unix_seconds(F.col("batch_ts").cast("timestamp")) / (60 * BATCH_MINUTES)).cast("long")
+    missing = missing_slots(expected, landed).select("kind", "ymd", "batch", slot.alias("slot")).distinct()
+    rank = F.row_number().over(Window.partitionBy("kind", "ymd").orderBy("slot"))
+    runs = missing.withColumn("island", F.col("slot") - rank).groupBy("kind", "ymd", "island").agg(
+        F.min("slot").alias("first"), F.max("slot").alias("last"),
+        F.min("batch").alias("first_batch"), F.max("batch").alias("last_batch"),
+    )
+    per_day = 24 * 60 // BATCH_MINUTES
+    whole = (F.col("first") % per_day == 0) | (F.col("last") % per_day == per_day - 1)
+    by_time = Window.partitionBy("kind").orderBy("first")
+    starts = F.coalesce((F.col("first") != F.lag("last").over(by_time) + 1).cast("int"), F.lit(1))
+    touching = runs.where(whole).withColumn("starts", starts)
+    touching = touching.withColumn("run", F.sum("starts").over(by_time)).groupBy("kind", "run").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"),
+        F.min("first_batch").alias("first_batch"), F.max("last_batch").alias("last_batch"),
+    )
+    columns = ["kind", "first_batch", "last_batch", (F.col("last") - F.col("first") + 1).alias("n_slots")]
+    return runs.where(~whole).select(*columns).unionByName(touching.select(*columns))

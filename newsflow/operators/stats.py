@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsflow import schemas
 from newsflow.functions.dates import date_parts, strict_date
 from newsflow.functions.text import has_text
+from newsflow.operators.patterns import holding_any
 
 # Fixed value: the status of a page that was fetched.
 OK_STATUS = 200
@@ -29,18 +30,13 @@ def whitelist_match(domain: Column, whitelist: list[str], escape: bool = False)
     return domain.rlike("|".join(f"(?:{line})" for line in lines))
 
 
-def whitelisted_by(rows: DataFrame, lines: DataFrame, domain: str = "domain") -> DataFrame:
+def whitelisted_by(rows: DataFrame, lines: DataFrame, domain: str = "domain", escape: bool = False) -> DataFrame:
     """Rows whose domain matches any line of a whitelist table (``line``), of any length.
 
-    The lines are joined into one pattern inside the plan, each distinct domain is tried
-    once, and the rows are semi-joined with the domains that match.
+    Each distinct domain is tried once, against sharded automata of the lines, and the rows
+    are semi-joined with the domains that match.
     """
-    grouped = F.concat(F.lit("(?:"), F.col("line"), F.lit(")"))
-    pattern = lines.agg(F.array_join(F.collect_list(grouped), "|").alias("pattern")).scalar()
-    # no lines: a pattern that matches nothing
-    pattern = F.coalesce(F.nullif(pattern, F.lit("")), F.lit("(?!)"))
-    chosen = rows.select(domain).distinct().where(F.rlike(F.col(domain), pattern))
-    return rows.join(chosen, domain, "left_semi")
+    return rows.join(holding_any(rows, lines, domain, escape), domain, "left_semi")
 
 
 def whitelisted_articles(stats: DataFrame, whitelist: list[str], escape: bool = False) -> DataFrame:
@@ -77,6 +73,21 @@ def articles_for_ids(stats: DataFrame, ids: DataFrame) -> DataFrame:
     return dated.select(*schemas.SELECTED_ARTICLE_COLUMNS)
 
 
+def domain_rollup(stats: DataFrame) -> DataFrame:
+    """Article counts per year, month, day and domain with all their subtotals.
+
+    ``level`` is the grouping id: 0 for a day's domain, 1 for a day, 3 for a month, 7 for a
+    year, 15 for everything. Distinct rows are counted per day and domain first, so the
+    rows that the rollup multiplies are few.
+    """
+    counts = ["n_articles", "n_keywords", "n_descriptions", "n_both"]
+    by = ["year", "month", "day", "domain"]
+    rolled = daily_domain_stats(stats).rollup(*by).agg(
+        *(F.sum(n).alias(n) for n in counts), F.grouping_id().cast("int").alias("level")
+    )
+    return rolled.select(*by, "level", *counts)
+
+
 def daily_domain_stats(stats: DataFrame) -> DataFrame:
     """Per day and domain: articles, with keywords, with descriptions, with both.
 

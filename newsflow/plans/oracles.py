@@ -342,6 +342,38 @@ WITH {_EVENT_STATS}
 SELECT url, domain, eventid FROM event_stats
 WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT substr(event_type, 1, 4) AS line FROM events
   WHERE event_type <> 'view') w WHERE regexp_matches(domain, line))
+""",
+    "whitelist_of_any_length": """
+WITH site AS (
+  SELECT c_custkey, 'www.' || lower(c_name) || '.' || lower(c_mktsegment) || '.example' AS domain FROM customer
+), line AS (
+  SELECT DISTINCT 'customer.' || lpad(o_custkey::VARCHAR, 9, '0') AS line FROM orders
+  WHERE o_orderpriority = '1-URGENT'
+)
+SELECT c_custkey, domain FROM site
+WHERE regexp_matches(domain, '0{4}[12]99\\.b') OR regexp_matches(domain, '(?i)MACH.*00077')
+  OR EXISTS (SELECT 1 FROM line WHERE regexp_matches(domain, line.line))
+""",
+    "domain_rollup": f"""
+WITH {_EVENT_STATS}, flagged AS (
+  SELECT substr(accessdate, 1, 4)::INTEGER AS year, substr(accessdate, 5, 2)::INTEGER AS month,
+    substr(accessdate, 7, 2)::INTEGER AS day, domain,
+    CASE WHEN keywords <> '' THEN 1 ELSE 0 END AS k, CASE WHEN description <> '' THEN 1 ELSE 0 END AS d
+  FROM event_stats WHERE status = 200
+)
+SELECT year, month, day, domain, GROUPING(year, month, day, domain)::INTEGER AS level, count(*) AS n_articles,
+  sum(k)::BIGINT AS n_keywords, sum(d)::BIGINT AS n_descriptions, sum(k * d)::BIGINT AS n_both
+FROM flagged GROUP BY ROLLUP (year, month, day, domain)
+""",
+    "missing_runs": f"""
+WITH {_GRID}, {_MANIFEST}, missing AS (
+  SELECT kind, batch, strptime(batch, '%Y%m%d%H%M%S') AS began FROM grid g
+  WHERE NOT EXISTS (SELECT 1 FROM manifest m WHERE m.batch = g.batch AND m.kind = g.kind)
+), numbered AS (
+  SELECT *, epoch(began)::BIGINT // 900 - row_number() OVER (PARTITION BY kind ORDER BY began) AS island FROM missing
+)
+SELECT kind, min(batch) AS first_batch, max(batch) AS last_batch, count(*) AS n_slots
+FROM numbered GROUP BY kind, island
 """,
     "manifest_by_date": f"""
 WITH {_MANIFEST}

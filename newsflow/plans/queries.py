@@ -72,6 +72,26 @@ def whitelist_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("url", "domain", "eventid")
 
 
+@query
+def whitelist_of_any_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites of customers against a list with one line per customer with an urgent order.
+
+    A dot of a line stands for the mark in the customer's name.
+    """
+    sites = table(spark, sf_dir, "customer").select(
+        "c_custkey", text("www.", F.lower("c_name"), ".", F.lower("c_mktsegment"), ".example").alias("domain")
+    )
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    plain = urgent.select(text("customer.", F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("line"))
+    patterns = spark.createDataFrame([("0{4}[12]99\\.b",), ("(?i)MACH.*00077",)], "line string")
+    return stats.whitelisted_by(sites, plain.unionByName(patterns))
+
+
+@query
+def domain_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.domain_rollup(inputs.event_stats(spark, sf_dir))
+
+
 @query
 def whitelisted_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.whitelisted_articles(inputs.event_stats(spark, sf_dir), EVENT_WHITELIST)
@@ -304,6 +324,13 @@ def missing_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.missing_slots(expected, landed).select("batch", "kind", "url")
 
 
+@query
+def missing_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    expected = manifest.expected_slots(_days(spark, sf_dir), inputs.FEED_BASE)
+    landed = manifest.parse_manifest(inputs.event_manifest(spark, sf_dir))
+    return manifest.missing_runs(expected, landed)
+
+
 @query
 def day_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = manifest.parse_manifest(inputs.event_manifest(spark, sf_dir))
