@@ -448,6 +448,12 @@ FROM event_flags f LEFT JOIN entities e ON f.gkgid = e.gkgid
 """,
     "roundtrip_bulk": f"SELECT title, accessdate, article, eventid, gkgid FROM ({_SEARCH_DOCS}) d",
     "stream_dedup": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS ymd, user_id FROM events",
+    "stream_dedup_state": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS ymd, user_id FROM events",
+    "sketched_duplicates": """
+SELECT event_type, count(*) AS n_rows, count(DISTINCT user_id) AS n_distinct,
+       count(*) - count(DISTINCT user_id) AS n_duplicates, count(*) AS kept_rows, true AS within
+FROM events GROUP BY event_type
+""",
     "stream_dedup_watermark": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS ymd, user_id FROM events",
     "stream_pages": _PAGE_STATS,
     "stream_window_counts": """

@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from newsflow import schemas
 from newsflow.functions import dates, html, text as texts, urls
-from newsflow.operators import docs, entities, manifest, merge, pages, stats
+from newsflow.operators import docs, entities, manifest, merge, pages, sketches, stats
 from newsflow.plans import inputs, jobs
 from newsflow.plans.inputs import table, text
 from newsflow.plans.session import ship_package, working_folder
 from newsflow.sinks import files, runlog, search
 from newsflow.sinks.tables import add_partitions, write_dated
 from newsflow.sources import archives, extracts, layout, lists
-from newsflow.streaming import feed
+from newsflow.streaming import feed, once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,6 +139,25 @@ def url_duplicate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.duplicate_counts(both, "url", "feed")
 
 
+@query
+def sketched_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users per event type over all days: exact, and whether the merged sketches of
+    the days come within five standard deviations (and one) of it."""
+    path = working_folder(spark, "sketched_duplicates")
+    rows = table(spark, sf_dir, "events").select("event_type", "user_id", F.date_format("ts", "yyyyMMdd").alias("ymd"))
+    write_dated(sketches.daily_sketches(rows, "user_id", "event_type"), path, ("ymd",))
+    kept = spark.read.schema("event_type string, n_rows bigint, sketch binary, ymd string").parquet(path)
+    exact = merge.duplicate_counts(rows, "user_id", "event_type")
+    merged = sketches.merged_counts(kept, "event_type").select(
+        "event_type", F.col("n_rows").alias("kept_rows"), F.col("n_distinct").alias("estimate")
+    )
+    bound = 1 + 5 * F.col("n_distinct") / F.sqrt(F.lit(float(2**sketches.LG_ENTRIES)))
+    return exact.join(merged, "event_type").select(
+        "event_type", "n_rows", "n_distinct", "n_duplicates", "kept_rows",
+        (F.abs(F.col("estimate") - F.col("n_distinct")) <= bound).alias("within"),
+    )
+
+
 # --- scalar functions ------------------------------------------------------------------
 
 
@@ -689,6 +708,20 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{path}/out").select("ymd", "user_id")
 
 
+@query
+def stream_dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each (day, user) landed once by state; all rows come a second time after a restart."""
+    path = working_folder(spark, "stream_dedup_state")
+    rows = _event_files(spark, sf_dir, f"{path}/in", 4)
+    keys = ["ymd", "user_id"]
+    once.land_first(rows.select("ts", *keys), f"{path}/out", keys, "ts", f"{path}/checkpoint", 60).awaitTermination()
+    again = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    again.write.mode("append").parquet(f"{path}/in")
+    once.land_first(rows.select("ts", *keys), f"{path}/out", keys, "ts", f"{path}/checkpoint", 60).awaitTermination()
+    schema = "user_id bigint, ymd string, run string"
+    return spark.read.schema(schema).parquet(f"{path}/out").select("ymd", "user_id")
+
+
 @query
 def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each (day, user) once, with state bounded by a watermark longer than the data."""

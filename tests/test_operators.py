@@ -320,3 +320,21 @@ def test_missing_runs_cross_midnight(spark):
     runs = sorted((r.first_batch, r.last_batch, r.n_slots) for r in manifest.missing_runs(expected, landed).collect())
     assert runs == [(slots[95], slots[97], 3), (slots[100], slots[100], 1), (slots[191], slots[287], 97)]
     assert manifest.missing_runs(expected, expected).count() == 0
+
+
+def test_sketches_of_days_merge_to_the_whole(spark, folder):
+    from newsflow.operators import merge, sketches
+
+    rows = spark.range(200_000).selectExpr(
+        "cast(id % 7 AS string) AS ymd", "if(id % 3 = 0, 'gkg', 'export') AS kind", "if(id % 11 = 0, NULL, id % 60000) AS url"
+    )
+    sketches.daily_sketches(rows, "url", "kind").write.partitionBy("ymd").parquet(folder + "/days")
+    kept = spark.read.parquet(folder + "/days")
+    assert kept.count() == 14
+    exact = {r.kind: r for r in merge.duplicate_counts(rows, "url", "kind").collect()}
+    for r in sketches.merged_counts(kept, "kind").collect():
+        assert r.n_rows == exact[r.kind].n_rows
+        # four standard deviations of 1 / sqrt(2**14)
+        assert abs(r.n_distinct - exact[r.kind].n_distinct) <= 4 * exact[r.kind].n_distinct / 128
+    few = sketches.merged_counts(sketches.daily_sketches(rows.limit(100), "url"), lg_entries=14).first()
+    assert few.n_distinct == rows.limit(100).where("url IS NOT NULL").select("url").distinct().count()

@@ -73,7 +73,7 @@ AUTOMATON_QUERIES = {"whitelist_from_file", "whitelist_of_any_length"}
 # Plans that only read back what a job or a stream wrote; the Python ran before.
 WRITTEN_BEFORE = {
     "page_job", "rebuilt_domains", "roundtrip_bulk", "roundtrip_csv", "roundtrip_events", "roundtrip_feed",
-    "roundtrip_json", "roundtrip_text", "roundtrip_tsv", "stream_dedup", "stream_dedup_watermark",
+    "roundtrip_json", "roundtrip_text", "roundtrip_tsv", "stream_dedup", "stream_dedup_state", "stream_dedup_watermark",
     "stream_ingest", "stream_pages", "stream_window_counts",
 }
 
