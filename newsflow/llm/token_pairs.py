@@ -16,6 +16,7 @@ the two vocabularies.
 import heapq
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
@@ -44,25 +45,77 @@ _U = np.uint64
 
 @dataclass
 class Tokens:
-    """The tokens of one text: their ids and the ends of their bytes, if the bytes are the text's."""
+    """The tokens of one text: their ids and the ends of their bytes."""
 
     ids: np.ndarray
     ends: np.ndarray
 
 
+# Texts of these characters are cut into words below: letters, digits, blanks and marks that
+# all versions of Unicode class alike.
+_LETTER, _DIGIT, _BLANK = "A-Za-zÀ-ÖØ-öø-ʯ", "0-9", "\t\n\r "
+_PLAIN = re.compile(f"[{_BLANK}!-~¡-¨«»¿{_LETTER}]*")
+# The pattern of byte-level vocabularies, over those characters. No token crosses its words.
+_WORD = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^{_BLANK}{_LETTER}{_DIGIT}]+"
+    f"|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"
+)
+# Distinct words whose ids a task keeps.
+KEPT_WORDS = 400_000
+
+
 class Vocabulary:
-    """The bytes of each id, and a tokenizer's ids checked against the bytes of a text."""
+    """The bytes of each id, and a tokenizer whose ids are checked against the bytes of a text.
 
-    def __init__(self, pieces: list[bytes], encode: Callable[[list[str]], list[list[int]]]) -> None:
+    With ``words``, which cuts plain texts where no token crosses, the ids of words are kept,
+    so that a frequent word is encoded once.
+    """
+
+    def __init__(
+        self,
+        pieces: list[bytes],
+        encode: Callable[[list[str]], list[list[int]]],
+        words: Callable[[str], list[str]] | None = None,
+        encode_words: Callable[[list[str]], list[list[int]]] | None = None,
+    ) -> None:
         self.pieces = pieces
         self.lengths = np.array([len(p) for p in pieces], dtype=np.int64)
-        self.encode = encode
-
-    def tokens(self, ids: list[int], expected: bytes) -> Tokens | None:
-        if b"".join(map(self.pieces.__getitem__, ids)) != expected:
-            return None
-        own = np.array(ids, dtype=np.int64)
-        return Tokens(own, np.cumsum(self.lengths[own]))
+        self.encode, self.words, self.encode_words = encode, words, encode_words
+        self.kept: dict[str, bytes] = {}  # packed ids
+        self.unspelled: set[str] = set()
+
+    def tokens(self, texts: list[str]) -> list[Tokens | None]:
+        """Tokens of each text, None where they do not spell a space and the text."""
+        plain = [i for i, text in enumerate(texts) if self.words and _PLAIN.fullmatch(text)]
+        others = sorted(set(range(len(texts))) - set(plain))
+        found: list[Tokens | None] = [None] * len(texts)
+        for i, ids in zip(others, self.encode([texts[i] for i in others])):
+            if self._spells(ids, b" " + texts[i].encode()):
+                found[i] = self._tokens(np.array(ids, dtype=np.int64))
+        cut = [self.words(texts[i]) for i in plain]
+        if cut:
+            self._learn(cut)
+        for i, words in zip(plain, cut):
+            if self.unspelled.isdisjoint(words):
+                ids = np.frombuffer(b"".join(map(self.kept.__getitem__, words)), dtype=np.int32)
+                found[i] = self._tokens(ids.astype(np.int64))
+        return found
+
+    def _tokens(self, ids: np.ndarray) -> Tokens:
+        return Tokens(ids, np.cumsum(self.lengths[ids]))
+
+    def _spells(self, ids: list[int], expected: bytes) -> bool:
+        return b"".join(map(self.pieces.__getitem__, ids)) == expected
+
+    def _learn(self, cut: list[list[str]]) -> None:
+        if len(self.kept) > KEPT_WORDS:
+            self.kept.clear()
+            self.unspelled.clear()
+        new = sorted(set().union(*cut).difference(self.kept))
+        for word, ids in zip(new, self.encode_words(new)):
+            self.kept[word] = np.array(ids, dtype=np.int32).tobytes()
+            if not self._spells(ids, word.encode()):
+                self.unspelled.add(word)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -89,11 +142,13 @@ def byte_level(data: bytes) -> Vocabulary:
     for piece, number in vocabulary.items():
         pieces[number] = bytes(letters[c] for c in piece) if all(c in letters for c in piece) else piece.encode()
 
+    def encode_words(words: list[str]) -> list[list[int]]:
+        return [found.ids for found in tokenizer.encode_batch(words, add_special_tokens=False)]
+
     def encode(texts: list[str]) -> list[list[int]]:
-        spaced = [" " + text for text in texts]
-        return [found.ids for found in tokenizer.encode_batch(spaced, add_special_tokens=False)]
+        return encode_words([" " + text for text in texts])
 
-    return Vocabulary(pieces, encode)
+    return Vocabulary(pieces, encode, lambda text: _WORD.findall(" " + text), encode_words)
 
 
 def piece_level(data: bytes) -> Vocabulary:
@@ -107,7 +162,10 @@ def piece_level(data: bytes) -> Vocabulary:
         return bytes([int(piece[3:5], 16)]) if model.is_byte(number) else piece.replace("▁", " ").encode()
 
     pieces = [spelled(number) for number in range(model.get_piece_size())]
-    return Vocabulary(pieces, lambda texts: model.encode(texts, num_threads=1))
+    def encode(texts: list[str]) -> list[list[int]]:
+        return model.encode(texts, num_threads=1)
+
+    return Vocabulary(pieces, encode)
 
 
 class Writer:
@@ -119,7 +177,9 @@ class Writer:
         self.offset = 2 * first
 
     def digest(self, a: Tokens, b: Tokens, common: np.ndarray) -> str:
-        ends_a, ends_b = np.isin(a.ends, common), np.isin(b.ends, common)
+        ends_a, ends_b = (np.zeros(len(side.ids), dtype=np.int64) for side in (a, b))
+        ends_a[np.searchsorted(a.ends, common)] = 1
+        ends_b[np.searchsorted(b.ends, common)] = 1
         group_a = np.cumsum(ends_a) - ends_a
         group_b = np.cumsum(ends_b) - ends_b
         sizes_a, sizes_b = np.bincount(group_a), np.bincount(group_b)
@@ -136,11 +196,13 @@ def aligned(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
     All ends together cut the bytes into parts; each part is the overlap of one token of
     either side, and each overlap is one part.
     """
-    ends = np.union1d(a.ends, b.ends)
+    all_ends = np.sort(np.concatenate([a.ends, b.ends]), kind="stable")
+    single = np.append(all_ends[1:] != all_ends[:-1], True)
+    ends = all_ends[single]
     first = a.ids[np.searchsorted(a.ends, ends)]
     second = b.ids[np.searchsorted(b.ends, ends)]
     pairs = (first.astype(_U) << _U(_SECOND_BITS)) | second.astype(_U)
-    return pairs, np.intersect1d(a.ends, b.ends, assume_unique=True)
+    return pairs, all_ends[~single]
 
 
 def frozen(array: np.ndarray) -> bytes:
@@ -211,13 +273,8 @@ def _block(number: int, docs: list[dict], links: list[np.ndarray]) -> pa.RecordB
 
 def _encoded(texts: list[str], a: Vocabulary, b: Vocabulary) -> Iterator[tuple[Tokens, Tokens] | None]:
     """Tokens of both sides, or None where a side does not give the text's bytes."""
-    for text, ids_a, ids_b in zip(texts, a.encode(texts), b.encode(texts)):
-        if not text:
-            yield None
-            continue
-        expected = b" " + text.encode()
-        one, other = a.tokens(ids_a, expected), b.tokens(ids_b, expected)
-        yield None if one is None or other is None else (one, other)
+    for text, one, other in zip(texts, a.tokens(texts), b.tokens(texts)):
+        yield None if not text or one is None or other is None else (one, other)
 
 
 def _cut(first: bytes, second: bytes):

@@ -146,3 +146,18 @@ def test_id_pairs(spark):
     for r in rows:
         highest[r.a] = max(highest.get(r.a, 0), r.n_docs)
     assert rows and all(r.best == (r.n_docs == highest[r.a]) for r in rows)
+
+
+def test_words_give_the_ids_of_whole_texts():
+    """Kept words are joined to what the libraries give for all texts of the larger table."""
+    import pyarrow.parquet as pq
+
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()]
+    texts += ["", " ", "  a", "a  b ", "a \n\n b\n", "it's I'll 'tis ''s", "x\t\ty", "3.14 a1b2", "\r\n", "¿Qué? «a»", "a" * 300]
+    files = token_pairs.read_file(token_pairs.BYTE_BPE), token_pairs.read_file(token_pairs.PIECE_BPE)
+    for side in (token_pairs.byte_level(files[0]), token_pairs.piece_level(files[1])):
+        plain = [t for t in texts if token_pairs._PLAIN.fullmatch(t)]
+        assert len(plain) > len(texts) / 2
+        for text, ids, found in zip(plain, side.encode(plain), side.tokens(plain)):
+            if text:
+                assert found.ids.tolist() == ids
