@@ -255,6 +255,9 @@ def gram_key(group: str, gram: str) -> int:
 
 
 KEYS_PER_SHARD = 250_000
+# Questions a task answers: many more than a shard has keys, so its copy of the arrays is
+# the smaller part of what it reads.
+QUESTIONS_PER_TASK = 2_000_000
 
 
 def _ask(shards: int):
@@ -326,17 +329,22 @@ def answers(dictionary: DataFrame, model: DataFrame) -> tuple[DataFrame, int]:
     """Per block: answers (group, shard, values) from ``model`` (group, gram, and values).
 
     The model is held as sorted arrays of key hashes with their values, by shard. Also
-    gives the number of shards.
+    gives the number of shards. The model grows slower than the questions, so a shard's
+    questions are dealt over salts, each with a copy of its arrays; their number follows
+    from the number of questions.
     """
     values = [name for name in model.columns if name not in ("group", "gram")]
     model = stored(model.select(F.xxhash64("group", "gram").alias("key"), *values), "model")
     shards = int(1 + model.count() // KEYS_PER_SHARD)
+    questions = dictionary.agg(F.sum(F.size("counts"))).first()[0] or 0
+    salts = int(1 + questions // (shards * QUESTIONS_PER_TASK))
     arrays = (
         model.withColumn("shard", F.pmod("key", F.lit(shards)).cast("int"))
         .groupBy("shard")
         .applyInArrow(_sorted_arrays, "shard int, keys binary, values binary")
         .select(
             "shard",
+            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
             F.lit(0).alias("kind"),
             F.lit(None).cast("long").alias("block"),
             F.lit(None).cast("string").alias("group"),
@@ -345,10 +353,11 @@ def answers(dictionary: DataFrame, model: DataFrame) -> tuple[DataFrame, int]:
         )
     )
     asked = dictionary.select("block", "group", "grams").mapInArrow(_ask(shards), _ASK_DDL)
+    asked = asked.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
     found = (
         asked.unionByName(arrays)
-        .repartition("shard")
-        .sortWithinPartitions("shard", "kind")
+        .repartition("shard", "salt")
+        .sortWithinPartitions("shard", "salt", "kind")
         .mapInArrow(_answer, "block long, group string, shard int, values binary")
     )
     by_block = found.groupBy("block").agg(

@@ -1,6 +1,7 @@
 """Operators on documents against brute-force versions."""
 
 import random
+import re
 from collections import Counter
 
 import brute
@@ -11,7 +12,7 @@ from brute import SMALL
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from newsflow.llm import kneser_ney, licenses, line_dedup, near_dedup, pieces, quality, toxicity
+from newsflow.llm import blocks, kneser_ney, licenses, line_dedup, near_dedup, pieces, quality, toxicity
 from newsflow.llm.queries import QUERIES
 
 
@@ -111,6 +112,22 @@ def test_quality(spark, tricky, nothing):
     assert quality.quality(nothing).count() == 0
 
 
+def test_questions_to_one_shard_are_dealt_over_salts(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "QUESTIONS_PER_TASK", 100)
+    rows = [(b, "g", [f"k{(b * 7 + i) % 60:02d}" for i in range(50)], [1] * 50) for b in range(40)]
+    asked = spark.createDataFrame(rows, "block long, group string, grams array<string>, counts array<long>")
+    model = spark.createDataFrame([("g", f"k{i:02d}", float(i)) for i in range(60)], "group string, gram string, value double")
+    answers, shards = blocks.answers(asked, model)
+    assert shards == 1
+    found = {r.block: r.answers for r in answers.collect()}
+    assert len(found) == 40
+    for block, group, grams, _ in rows:
+        values = np.frombuffer(found[block][0]["values"], dtype=np.float32)
+        assert values.tolist() == [float(g[1:]) for g in grams]
+    text = answers._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(shard" in text and re.search(r"hashpartitioning\(shard#\d+, salt#\d+", text)
+
+
 def test_toxicity_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
