@@ -24,9 +24,12 @@ FOLDS = 5
 # from the half a document is not in, which no model has seen; scores take the mean of both.
 HALVES = ("a", "b")
 _CLASSES = [f"{label}_{half}" for half in HALVES for label in ("toxic", "ordinary")]
+_RATIOS = [f"{kind}_{half}" for kind in ("after", "overall") for half in HALVES]
 # Evidence (squared standard errors between the classes' shares of an n-gram) at which a ratio
 # counts half: what chance may have made counts little, at all sizes of the evidence.
 HALF_EVIDENCE = 30.0
+# Of weights on features of mean square 1; chosen by cross-validation on training rows alone.
+RIDGE = 0.3
 _ROUNDS = 12
 
 
@@ -56,8 +59,8 @@ def _features(shards: int):
             grams = block.grams(ORDER)
             size = block.by_doc(grams.symbols.astype(np.float64))
             values = B.answered(row, "", grams, np.arange(len(grams.first)), shards)
-            if len(values) < 2:  # no words at all
-                values = np.zeros((2, len(grams.first)))
+            if len(values) < len(_RATIOS):  # no words at all
+                values = np.zeros((len(_RATIOS), len(grams.first)))
             ratios = [
                 np.round(block.by_doc(grams.by_word(v)) / np.maximum(size, 1), 6) for v in values
             ]
@@ -69,7 +72,7 @@ def _features(shards: int):
                     *map(pa.array, ratios),
                     pa.array(size),
                 ],
-                names=["doc_id", "block", "place", "ratio_a", "ratio_b", "size"],
+                names=["doc_id", "block", "place", *_RATIOS, "size"],
             )
 
     return features
@@ -91,41 +94,55 @@ def _evidence(one: Column, of_one: Column, other: Column, of_other: Column) -> C
     return F.coalesce(F.try_divide(apart * apart, error), F.lit(0.0))
 
 
-def _ratio(half: str, seen: dict[str, float]) -> Column:
-    """Log of how much likelier an n-gram is in toxic texts, shrunk by the evidence for it.
+def _ratios(half: str, seen: dict[str, float]) -> dict[str, Column]:
+    """Logs of how much likelier an n-gram is in toxic texts, shrunk by the evidence for it.
 
     Both probabilities are backed off to the shared counts, so an n-gram after a context
-    that one class never has counts too. The evidence is that of its shares after its
-    context, or of its shares of all n-grams of the two classes (``seen`` of them).
+    that one class never has counts too. ``overall`` takes the evidence of its shares of all
+    n-grams of the two classes (``seen`` of them); ``after`` that of its shares after its
+    context where that is greater. Few labels leave chance contexts that only ``after``
+    believes; many labels make it the better one. The curve weighs the two.
     """
     toxic, ordinary = f"toxic_{half}", f"ordinary_{half}"
     likelier = F.log(F.col(f"p_{toxic}") / F.col(f"p_{ordinary}"))
     counts = F.col(toxic), F.col(ordinary)
     after = _evidence(counts[0], F.col(f"total_{toxic}"), counts[1], F.col(f"total_{ordinary}"))
     overall = _evidence(counts[0], F.lit(seen[toxic]), counts[1], F.lit(seen[ordinary]))
-    evidence = F.greatest(after, overall)
     told = ~F.col("gram").startswith(B.START * 3)  # the first letters mostly tell the language
-    shrunk = likelier * evidence**2 / (evidence**2 + HALF_EVIDENCE**2)
-    return F.when(told, shrunk).otherwise(F.lit(0.0))
+
+    def shrunk(evidence: Column) -> Column:
+        return F.when(told, likelier * evidence**2 / (evidence**2 + HALF_EVIDENCE**2)).otherwise(F.lit(0.0))
+
+    return {f"after_{half}": shrunk(F.greatest(after, overall)), f"overall_{half}": shrunk(overall)}
+
+
+_X = ("x1", "x2", "x3", "x4")
+
+
+def _curve_features(after: Column, overall: Column) -> list[Column]:
+    """A text's two ratios, each also times the log of its length."""
+    found = [after, after * F.log1p("size"), overall, overall * F.log1p("size")]
+    return [x.alias(name) for x, name in zip(found, _X)]
 
 
 def _curve(train: DataFrame) -> np.ndarray:
-    """Weights of a logistic curve over (1, x1, x2), by Newton steps.
+    """Weights of a logistic curve over (1, x1 ... x4), by Newton steps.
 
-    Each step sums nine numbers over all training rows. The features are brought to mean
+    Each step sums thirty numbers over all training rows. The features are brought to mean
     square 1 first; a ridge keeps the curve defined where there is one class only.
     """
-    squares = train.agg(F.avg(F.col("x1") ** 2), F.avg(F.col("x2") ** 2)).first()
+    n = 1 + len(_X)
+    squares = train.agg(*(F.avg(F.col(x) ** 2) for x in _X)).first()
     scale = np.array([1.0, *(1 / np.sqrt(v) if v else 1.0 for v in squares)])
-    x = [F.lit(1.0), F.col("x1") * float(scale[1]), F.col("x2") * float(scale[2])]
-    w = np.zeros(3)
+    x = [F.lit(1.0), *(F.col(name) * float(s) for name, s in zip(_X, scale[1:]))]
+    ridge = np.diag([1e-3] + [RIDGE] * len(_X))
+    w = np.zeros(n)
     for _ in range(_ROUNDS):
-        p = 1 / (1 + F.exp(-(w[0] * x[0] + w[1] * x[1] + w[2] * x[2])))
-        sums = [F.sum(x[i] * (F.col("toxic") - p)) for i in range(3)]
-        sums += [F.sum(x[i] * x[j] * p * (1 - p)) for i in range(3) for j in range(3)]
+        p = 1 / (1 + F.exp(-sum(float(w[i]) * x[i] for i in range(n))))
+        sums = [F.sum(x[i] * (F.col("toxic") - p)) for i in range(n)]
+        sums += [F.sum(x[i] * x[j] * p * (1 - p)) for i in range(n) for j in range(n)]
         found = np.array([v or 0.0 for v in train.agg(*sums).first()])
-        ridge = 1e-3 * np.eye(3)
-        step = np.linalg.solve(found[3:].reshape(3, 3) + ridge, found[:3] - ridge @ w)
+        step = np.linalg.solve(found[n:].reshape(n, n) + ridge, found[:n] - ridge @ w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -174,24 +191,31 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     shared = probabilities(stored(pooled, "gram-counts"), ORDER)
     model = class_probabilities(shared, classes, ORDER, _CLASSES)
     seen = {name: float(n or 0) for name, n in classes.agg(*(F.sum(c).alias(c) for c in _CLASSES)).first().asDict().items()}
-    ratios = [_ratio(half, seen).alias(half) for half in HALVES]
+    ratios = {name: r for half in HALVES for name, r in _ratios(half, seen).items()}
     answers, shards = B.answers(
-        dictionary, model.select(F.lit("").alias("group"), "gram", *ratios)
+        dictionary, model.select(F.lit("").alias("group"), "gram", *(ratios[name].alias(name) for name in _RATIOS))
     )
     found = blocks.join(answers, "block", "left").mapInArrow(
         _features(shards),
-        "doc_id long, block long, place int, ratio_a double, ratio_b double, size double",
+        "doc_id long, block long, place int, " + ", ".join(f"{name} double" for name in _RATIOS) + ", size double",
     )
-    features = stored(found, "features").withColumn("ratio", (F.col("ratio_a") + F.col("ratio_b")) / 2)
+    features = stored(found, "features")
+    mean = {kind: (F.col(f"{kind}_a") + F.col(f"{kind}_b")) / 2 for kind in ("after", "overall")}
     # the curve learns from ratios of the half that has not counted the document
-    unseen = F.when(F.col("half") == "a", F.col("ratio_b")).otherwise(F.col("ratio_a"))
+    unseen = {
+        kind: F.when(F.col("half") == "a", F.col(f"{kind}_b")).otherwise(F.col(f"{kind}_a"))
+        for kind in ("after", "overall")
+    }
     train = features.join(trained.select("block", "place", "toxic", "half"), ["block", "place"]).select(
-        "toxic", unseen.alias("x1"), (unseen * F.log1p("size")).alias("x2")
+        "toxic", *_curve_features(unseen["after"], unseen["overall"])
     )
-    x1, x2 = F.col("ratio"), F.col("ratio") * F.log1p("size")
     w = _curve(stored(train, "training-features"))
-    score = F.round(1 / (1 + F.exp(-(float(w[0]) + float(w[1]) * x1 + float(w[2]) * x2))), 6)
-    return features.select(
+    scored = features.select(
+        "doc_id", mean["after"].alias("ratio"), *_curve_features(mean["after"], mean["overall"])
+    )
+    at = sum((float(v) * F.col(x) for v, x in zip(w[1:], _X)), F.lit(float(w[0])))
+    score = F.round(1 / (1 + F.exp(-at)), 6)
+    return scored.select(
         "doc_id",
         F.coalesce(held_out(), F.lit(False)).alias("held_out"),
         "ratio",
