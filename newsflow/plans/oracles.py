@@ -272,6 +272,11 @@ FROM events
 WITH {_PAIRS}
 SELECT o.url, o.id AS eventid, coalesce(e.batch || '-' || e.id, '') AS gkgid
 FROM last_orders o LEFT JOIN last_events e ON o.url = e.url
+""",
+    "url_ids_merge_bucketed": f"""
+WITH {_PAIRS}
+SELECT o.url, o.id AS eventid, coalesce(e.batch || '-' || e.id, '') AS gkgid
+FROM last_orders o LEFT JOIN last_events e ON o.url = e.url
 """,
     "url_ids_merge_outer": f"""
 WITH {_PAIRS}
@@ -325,6 +330,19 @@ FROM u GROUP BY ymd, kind
     "extract_pairs": """
 SELECT event_id AS eventid, 'http://' || event_type || '.example/' || user_id AS url FROM events
 """,
+    "processed_tree": f"""
+WITH {_EVENT_FLAGS}
+SELECT year, month, day, domain, count(*) AS n_articles,
+       CAST(sum(hasKeywords) AS BIGINT) AS n_keywords,
+       CAST(sum(hasDescription) AS BIGINT) AS n_descriptions,
+       CAST(sum(hasKeywords * hasDescription) AS BIGINT) AS n_both
+FROM event_flags GROUP BY year, month, day, domain
+""",
+    "entity_pairs": """
+SELECT strftime(ts, '%Y%m%d') || '000000-' || event_id AS id, 'http://' || event_type || '.example/' || user_id AS url,
+       strftime(ts, '%Y%m%d') || '000000' AS batch FROM events
+""",
+    "backfilled_day": _PAGE_STATS,
     "run_log": """
 SELECT 'pages r1' AS kind, 'rows: ' || count(*) || '; n_fetched: '
        || count(*) FILTER (WHERE url NOT LIKE '%cheap-pills%') || '; n_chars: '
@@ -446,7 +464,10 @@ SELECT f.eventid, nullif(f.gkgid, '') AS gkgid, e.Persons, e.Locations, e.year A
        e.month AS gkg_month, e.day AS gkg_day
 FROM event_flags f LEFT JOIN entities e ON f.gkgid = e.gkgid
 """,
-    "roundtrip_bulk": f"SELECT title, accessdate, article, eventid, gkgid FROM ({_SEARCH_DOCS}) d",
+    "roundtrip_bulk": f"""
+SELECT 'articles' AS index, CASE WHEN eventid > 0 THEN CAST(eventid AS VARCHAR) ELSE 'g_' || gkgid END AS doc_key, d.*
+FROM ({_SEARCH_DOCS}) d
+""",
     "stream_dedup": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS ymd, user_id FROM events",
     "stream_dedup_state": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS ymd, user_id FROM events",
     "sketched_duplicates": """
@@ -475,5 +496,13 @@ SELECT url, event_id AS eventid,
        CASE WHEN event_type IN ('view', 'click') THEN batch || '-' || event_id ELSE '' END AS gkgid, batch,
        CASE WHEN event_id > 0 THEN CAST(event_id AS VARCHAR) ELSE 'g_' END AS article_id, ymd
 FROM last_event
+""",
+    "stream_ingest_deltas": """
+SELECT url, event_id AS eventid, batch || '-' || event_id AS gkgid, batch,
+       CASE WHEN event_id > 0 THEN CAST(event_id AS VARCHAR) ELSE 'g_' || batch || '-0' END AS article_id, ymd
+FROM (SELECT *, row_number() OVER (PARTITION BY url, ymd ORDER BY event_id DESC) AS rn
+      FROM (SELECT event_id, 'http://' || event_type || '.example/' || user_id AS url,
+                   strftime(ts, '%Y%m%d') AS ymd, strftime(ts, '%Y%m%d') || '000000' AS batch FROM events) e) x
+WHERE rn = 1
 """,
 }

@@ -18,9 +18,9 @@ from newsflow.plans import inputs, jobs
 from newsflow.plans.inputs import table, text
 from newsflow.plans.session import ship_package, working_folder
 from newsflow.sinks import files, runlog, search
-from newsflow.sinks.tables import add_partitions, write_dated
+from newsflow.sinks.tables import add_partitions, read_bucketed, write_bucketed, write_dated
 from newsflow.sources import archives, extracts, layout, lists
-from newsflow.streaming import feed, once
+from newsflow.streaming import deltas, feed, once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -258,6 +258,18 @@ def url_ids_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_url_ids(*inputs.customer_pairs(spark, sf_dir))
 
 
+@query
+def url_ids_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from pairs that landed bucketed by URL, in two parts: no shuffle is left."""
+    path, buckets, landed = working_folder(spark, "url_ids_merge_bucketed"), 16, []
+    for n, rows in enumerate(inputs.customer_pairs(spark, sf_dir)):
+        first = F.xxhash64("id") % 2 == 0
+        write_bucketed(rows.where(first), f"{path}/{n}", "url", buckets)
+        write_bucketed(rows.where(~first), f"{path}/{n}", "url", buckets, "append")
+        landed.append(read_bucketed(spark, f"{path}/{n}", rows.schema, "url", buckets))
+    return merge.merge_url_ids(*landed)
+
+
 @query
 def url_ids_merge_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The roles of the two tables swapped, and URLs of both sides kept."""
@@ -564,6 +576,21 @@ def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _entity_lines(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """An entity line per event, in the first batch of its day: ``(kind, batch, line)``."""
+    batch = text(F.date_format("ts", "yyyyMMdd"), "000000")
+    records = events.select(
+        text(batch, "-", F.col("event_id")).alias("GKGRECORDID"),
+        inputs.event_url().alias("DocumentIdentifier"),
+    )
+    whole = _all_columns(records, schemas.ENTITIES)
+    return whole.select(
+        F.lit("gkg").alias("kind"),
+        F.substring("GKGRECORDID", 1, 14).alias("batch"),
+        F.to_csv(F.struct(*whole.columns), {"sep": "\t", "emptyValue": ""}).alias("line"),
+    )
+
+
 @query
 def roundtrip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event extracts in feed format, landed as Parquet by day, read back."""
@@ -587,6 +614,51 @@ def extract_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.where(F.col("url").isNotNull()).select(F.col("id").alias("eventid"), "url")
 
 
+@query
+def entity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id, URL and batch of entity files, one per day of ``events``; the batch is in the name."""
+    path = working_folder(spark, "entity_pairs")
+    lines = _entity_lines(spark, table(spark, sf_dir, "events"))
+    lines.select(F.col("line").alias("value"), "batch").write.partitionBy("batch").text(path)
+    records = extracts.read_entities(spark, path, recursiveFileLookup="true")
+    # Spark names its files itself, so the batch is told by the id here.
+    return extracts.entity_pairs(records).select("id", "url", F.substring("id", 1, 14).alias("batch"))
+
+
+@query
+def processed_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user transform over every statistics file of a tree, its result written and read back."""
+    path = working_folder(spark, "processed_tree")
+    rows = inputs.event_stats(spark, sf_dir)
+    dated = rows.withColumn("day", F.col("accessdate"))
+    dated.write.partitionBy("day").options(**extracts.STATS_OPTIONS).csv(f"{path}/in")
+    jobs.process_tree(
+        spark, f"{path}/in", ".csv", extracts.read_article_stats, stats.daily_domain_stats,
+        lambda found: found.write.parquet(f"{path}/out"),
+    )
+    return spark.read.parquet(f"{path}/out")
+
+
+@query
+def backfilled_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day processed by a run, then backfilled twice: one row per article is left."""
+    path, day = working_folder(spark, "backfilled_day"), "20240101"
+    fetched = inputs.fetched_pages(spark, sf_dir)
+    jobs.process_pages(fetched, path, "r1", f"{path}/runs")
+    named = fetched.select(
+        F.col("eventid").alias("GLOBALEVENTID"), F.col("gkgid").alias("GKGRECORDID"), F.col("url").alias("SOURCEURL"),
+        F.col("url").alias("DocumentIdentifier"), F.lit(f"{day}000000").alias("batch"), "ymd",
+    )
+    pages_of_day = fetched.select("url", "ymd", "status", "html", "eventid")
+    # A URL that was fetched more than once has the page of its last event.
+    last = pages_of_day.groupBy("url").agg(F.max("eventid").alias("eventid"))
+    once_fetched = pages_of_day.join(last, ["url", "eventid"], "left_semi").drop("eventid")
+    for _ in range(2):
+        jobs.backfill_day(named, named, once_fetched, path, f"{path}/runs", day)
+    stored = spark.read.schema(schemas.ARTICLE_STATS).parquet(f"{path}/article_stats")
+    return stored.select(*schemas.ARTICLE_STATS.names)
+
+
 @query
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the page job logs of its run."""
@@ -674,13 +746,10 @@ def roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def roundtrip_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bulk search files: the action lines give the ids, the document lines the fields."""
+    """Bulk search files read back: index and id of each action with its document's eight fields."""
     path = working_folder(spark, "roundtrip_bulk")
     search.write_bulk(search_docs(spark, sf_dir), path, "articles")
-    lines = spark.read.text(path)
-    fields = "title string, accessdate string, article string, eventid bigint, gkgid string"
-    documents = lines.where(~F.startswith(F.col("value"), F.lit('{"index"')))
-    return documents.select(F.from_json("value", fields).alias("doc")).select("doc.*")
+    return search.read_bulk(spark, path)
 
 
 # --- streams ---------------------------------------------------------------------------
@@ -772,17 +841,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("export").alias("kind"), text(F.col("ymd"), "000000").alias("batch"), "line"
     )
     seen = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "click"))
-    batch = text(F.date_format("ts", "yyyyMMdd"), "000000")
-    records = seen.select(
-        text(batch, "-", F.col("event_id")).alias("GKGRECORDID"),
-        inputs.event_url().alias("DocumentIdentifier"),
-    )
-    whole = _all_columns(records, schemas.ENTITIES)
-    lines = whole.select(
-        F.lit("gkg").alias("kind"),
-        F.substring("GKGRECORDID", 1, 14).alias("batch"),
-        F.to_csv(F.struct(*whole.columns), {"sep": "\t", "emptyValue": ""}).alias("line"),
-    )
+    lines = _entity_lines(spark, seen)
     both = events.unionByName(lines).withColumnRenamed("line", "value")
     both.write.partitionBy("kind", "batch").text(f"{path}/in")
     # Few files per trigger: the two files of a batch fall into different micro-batches.
@@ -794,3 +853,24 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).awaitTermination()
     columns = "url string, eventid bigint, gkgid string, batch string, article_id string, ymd string"
     return spark.read.schema(columns).parquet(f"{path}/out/urls")
+
+
+@query
+def stream_ingest_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both whole feeds landed as deltas; compacted after the first half, merged on read."""
+    path = working_folder(spark, "stream_ingest_deltas")
+    events = _event_lines(spark, sf_dir).select(
+        F.lit("export").alias("kind"), text(F.col("ymd"), "000000").alias("batch"), "line"
+    )
+    both = events.unionByName(_entity_lines(spark, table(spark, sf_dir, "events")))
+    both = both.withColumnRenamed("line", "value")
+    first = F.xxhash64("value") % 2 == 0
+    reader = spark.readStream.schema("value string, kind string, batch string")
+    reader = reader.option("maxFilesPerTrigger", 25)
+    for half in (first, ~first):
+        both.where(half).write.mode("append").partitionBy("kind", "batch").text(f"{path}/in")
+        lines = reader.text(f"{path}/in").select("kind", "batch", F.col("value").alias("line"))
+        deltas.ingest_deltas(lines, f"{path}/out", f"{path}/checkpoint", f"{path}/runs").awaitTermination()
+        if half is first:
+            deltas.compact(spark, f"{path}/out", least_runs=2)
+    return deltas.current_urls(spark, f"{path}/out")

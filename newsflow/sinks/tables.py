@@ -1,5 +1,7 @@
 """Date-partitioned Parquet tables and the Parquet copy of landed extracts."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from newsflow.functions.dates import partition_columns, strict_date
@@ -51,6 +53,15 @@ def clear(spark: SparkSession, pattern: str) -> None:
         system.delete(folder, True)
 
 
+def day_runs(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The runs of each day of a table laid out by ``ymd`` and ``run``: folder names only."""
+    found: dict[str, list[str]] = {}
+    for folder in _matching(spark, f"{path.rstrip('/')}/ymd=*/run=*")[1]:
+        day, run = (part.getName().split("=", 1)[1] for part in (folder.getParent(), folder))
+        found.setdefault(day, []).append(run)
+    return found
+
+
 def read_days(spark: SparkSession, path: str, schema: T.StructType, days: list[str]) -> DataFrame:
     """Some days of a table laid out by ``ymd`` first. No other folder is listed."""
     found = [f for day in days for f in _matching(spark, f"{path.rstrip('/')}/ymd={day}")[1]]
@@ -66,6 +77,55 @@ def one_run(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(newest, [*keys, "run"], "left_semi")
 
 
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, mode: str = "overwrite") -> None:
+    """Write a Parquet table whose files are dealt by a key, so that joins need no shuffle.
+
+    ``append`` adds files to the buckets. The session's catalog is left as it was.
+    """
+    name = _BUCKETED + uuid.uuid4().hex
+    spark = df.sparkSession
+    try:
+        if mode == "append":
+            _register(spark, name, path, df.schema, key, buckets)
+            df.select(*spark.table(name).columns).write.mode(mode).insertInto(name)
+        else:
+            writer = df.write.format("parquet").mode(mode).option("path", path)
+            writer.bucketBy(buckets, key).saveAsTable(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def read_bucketed(
+    spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int
+) -> DataFrame:
+    """A table of ``write_bucketed``, with the layout it was written in.
+
+    Aggregates and joins by ``key`` of tables with as many buckets are planned without an
+    exchange. The table is in the catalog for the time of the call only.
+    """
+    name = _BUCKETED + uuid.uuid4().hex
+    _register(spark, name, path, schema, key, buckets)
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+_BUCKETED = "newsflow_bucketed_"
+
+
+def _register(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, key: str, buckets: int
+) -> None:
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    # A table with a location is external: dropping it leaves the files.
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS "
+        f"LOCATION '{location}'"
+    )
+
+
 def land_extract(df: DataFrame, path: str, batch: str = "batch") -> None:
     """Keep a landed extract as Parquet laid out by the day and label of its batch.
 

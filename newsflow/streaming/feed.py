@@ -83,14 +83,14 @@ def once_within_watermark(rows: DataFrame, keys: list[str], ts: str, delay: str)
     return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def _ensure_table(
+def ensure_table(
     spark: SparkSession, path: str, schema: T.StructType, by: tuple[str, ...]
 ) -> None:
     # An empty table makes the first micro-batch like all others.
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*by).parquet(path)
 
 
-def _run_label(batch_id: int) -> str:
+def run_label(batch_id: int) -> str:
     return f"{batch_id:012d}"
 
 
@@ -118,7 +118,7 @@ def land_unseen(
     A micro-batch that is run again overwrites its own partitions and does not take its
     own earlier rows for landed ones, so each key lands exactly once.
     """
-    spark, run = batch.sparkSession, _run_label(batch_id)
+    spark, run = batch.sparkSession, run_label(batch_id)
     if days is None:
         days = batch_days(batch, F.col("ymd"))
     landed = landed_before(spark, path, _with_run(batch.schema), run, days)
@@ -126,7 +126,7 @@ def land_unseen(
     write_dated(new.withColumn("run", F.lit(run)), path, BY_RUN)
 
 
-def _start(rows: DataFrame, each, checkpoint: str, mode: str, every: str | None) -> StreamingQuery:
+def start(rows: DataFrame, each, checkpoint: str, mode: str, every: str | None) -> StreamingQuery:
     writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.foreachBatch(each).start()
@@ -136,8 +136,8 @@ def land_once(
     rows: DataFrame, path: str, keys: list[str], checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Land each key once. ``every=None`` takes all that is there and stops."""
-    _ensure_table(rows.sparkSession, path, _with_run(rows.schema), BY_RUN)
-    return _start(
+    ensure_table(rows.sparkSession, path, _with_run(rows.schema), BY_RUN)
+    return start(
         rows, lambda batch, n: land_unseen(batch, n, path, keys), checkpoint, "append", every
     )
 
@@ -146,6 +146,24 @@ _PAIRS = "kind string, id string, url string, batch string, ymd string"
 _URLS = "url string, eventid bigint, gkgid string, batch string, article_id string, ymd string"
 
 
+def feed_pairs(lines: DataFrame) -> DataFrame:
+    """Ids of feed lines ``(kind, batch, line)``: ``(kind, id, url, batch, ymd, bad)``."""
+
+    def pairs(kind: str, schema: T.StructType, record_id: str, url: str) -> DataFrame:
+        parsed = parse_lines(lines.where(F.col("kind") == kind), "line", schema, "batch")
+        return parsed.select(
+            F.lit(kind).alias("kind"),
+            F.col(record_id).cast("string").alias("id"),
+            F.col(url).alias("url"),
+            "batch",
+            F.substring("batch", 1, 8).alias("ymd"),
+            F.col(schemas.CORRUPT).isNotNull().alias("bad"),
+        )
+
+    events = pairs("export", schemas.EVENTS, schemas.EVENT_ID, schemas.EVENT_URL)
+    return events.unionByName(pairs("gkg", schemas.ENTITIES, schemas.ENTITY_ID, schemas.ENTITY_URL))
+
+
 def ingest_urls(
     lines: DataFrame,
     path: str,
@@ -167,27 +185,12 @@ def ingest_urls(
     """
     spark = lines.sparkSession
     pair_schema, url_schema = _with_run(T.StructType.fromDDL(_PAIRS)), T.StructType.fromDDL(_URLS)
-    _ensure_table(spark, f"{path}/pairs", pair_schema, BY_RUN)
-    _ensure_table(spark, f"{path}/urls", url_schema, ("ymd",))
-
-    def pairs(
-        batch: DataFrame, kind: str, schema: T.StructType, record_id: str, url: str
-    ) -> DataFrame:
-        parsed = parse_lines(batch.where(F.col("kind") == kind), "line", schema, "batch")
-        return parsed.select(
-            F.lit(kind).alias("kind"),
-            F.col(record_id).cast("string").alias("id"),
-            F.col(url).alias("url"),
-            "batch",
-            F.substring("batch", 1, 8).alias("ymd"),
-            F.col(schemas.CORRUPT).isNotNull().alias("bad"),
-        )
+    ensure_table(spark, f"{path}/pairs", pair_schema, BY_RUN)
+    ensure_table(spark, f"{path}/urls", url_schema, ("ymd",))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        run = _run_label(batch_id)
-        found = pairs(batch, "export", schemas.EVENTS, schemas.EVENT_ID, schemas.EVENT_URL).unionByName(
-            pairs(batch, "gkg", schemas.ENTITIES, schemas.ENTITY_ID, schemas.ENTITY_URL)
-        )
+        run = run_label(batch_id)
+        found = feed_pairs(batch)
         clear(spark, f"{path}/pairs/ymd=*/run={run}")
         good = ~F.col("bad") & F.col("ymd").isNotNull()
 
@@ -222,7 +225,7 @@ def ingest_urls(
             message = "urls: %d; distinct: %d; duplicates: %d" % counts
             log_run(spark, runs, f"duplicates {row.kind}", datetime.now(timezone.utc), message)
 
-    return _start(lines, handle, checkpoint, "append", every)
+    return start(lines, handle, checkpoint, "append", every)
 
 
 def _has_run(spark: SparkSession, path: str, day: str, run: str) -> bool:
@@ -254,27 +257,27 @@ def process_new_pages(
     """
     spark = fetched.sparkSession
     articles = T.StructType.fromDDL("article_id string, text string, ymd string, run string")
-    _ensure_table(spark, f"{out}/articles", articles, BY_RUN)
+    ensure_table(spark, f"{out}/articles", articles, BY_RUN)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        run = _run_label(batch_id)
+        run = run_label(batch_id)
         days = batch_days(batch, F.col("ymd"))
         landed = landed_before(spark, f"{out}/articles", articles, run, days)
         process_pages(new_pages(batch, landed), out, run, runs, absolute_only)
 
-    return _start(fetched, handle, checkpoint, "append", every)
+    return start(fetched, handle, checkpoint, "append", every)
 
 
 def upsert_counts(
     counts: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Write the groups that each micro-batch changed, one partition per run."""
-    _ensure_table(counts.sparkSession, path, _with_run(counts.schema), ("run",))
+    ensure_table(counts.sparkSession, path, _with_run(counts.schema), ("run",))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_dated(batch.withColumn("run", F.lit(_run_label(batch_id))), path, ("run",))
+        write_dated(batch.withColumn("run", F.lit(run_label(batch_id))), path, ("run",))
 
-    return _start(counts, handle, checkpoint, "update", every)
+    return start(counts, handle, checkpoint, "update", every)
 
 
 def latest_counts(stored: DataFrame, keys: list[str], value: str = "n") -> DataFrame:

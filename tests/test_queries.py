@@ -72,9 +72,9 @@ PAGE_QUERIES = {
 AUTOMATON_QUERIES = {"whitelist_from_file", "whitelist_of_any_length"}
 # Plans that only read back what a job or a stream wrote; the Python ran before.
 WRITTEN_BEFORE = {
-    "page_job", "rebuilt_domains", "roundtrip_bulk", "roundtrip_csv", "roundtrip_events", "roundtrip_feed",
+    "backfilled_day", "page_job", "rebuilt_domains", "roundtrip_bulk", "roundtrip_csv", "roundtrip_events", "roundtrip_feed",
     "roundtrip_json", "roundtrip_text", "roundtrip_tsv", "stream_dedup", "stream_dedup_state", "stream_dedup_watermark",
-    "stream_ingest", "stream_pages", "stream_window_counts",
+    "stream_ingest", "stream_ingest_deltas", "stream_pages", "stream_window_counts",
 }
 
 
@@ -84,6 +84,15 @@ def test_python_runs_only_for_pages_archives_and_automata(spark):
     assert {n for n in light if PYTHON.search(plan(spark, n))} == expected
 
 
+def test_pairs_bucketed_by_url_merge_without_a_shuffle(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    found = QUERIES["url_ids_merge_bucketed"](spark, SF_DIR)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
+    assert text.count("Bucketed: true") == 2
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_pages_are_parsed_once(spark):
     assert plan(spark, "page_stats").count("ArrowEvalPython") == 1
 

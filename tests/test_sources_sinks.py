@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from newsflow import schemas
 from newsflow.sinks import files as out, runlog, search
-from newsflow.sinks.tables import add_partitions, write_dated
+from newsflow.sinks.tables import add_partitions, read_bucketed, write_bucketed, write_dated
 from newsflow.sources import archives, articles, extracts, layout, lists
 
 
@@ -218,3 +218,26 @@ def test_run_log(spark, folder):
     runlog.log_run(spark, f"{folder}/runs", "other", datetime.now(timezone.utc), "done")
     logged = {r.kind: r for r in spark.read.schema(runlog.RUNS_DDL).json(f"{folder}/runs").collect()}
     assert logged["job"].message == "rows: 10; total: 45" and logged["other"].seconds >= 0
+
+
+def test_bulk_files_read_back(spark, folder):
+    """Line ends, quotes and action-like texts inside of documents; empty files too."""
+    odd = '{"index":{"_id":"9"}}\n{"index": "x"}\n'
+    rows = [("t", "20200101", odd, "", "k", "d", 5, "g-5"), ('"', "20200102", "", "a", "", "", None, "g-6")]
+    names = ", ".join(f"{c} {'bigint' if c == 'eventid' else 'string'}" for c in schemas.SEARCH_DOC_COLUMNS)
+    docs = spark.createDataFrame(rows, names)
+    for partitions in (1, 4):
+        search.write_bulk(docs.repartition(partitions), f"{folder}/{partitions}", "news")
+        found = search.read_bulk(spark, f"{folder}/{partitions}").orderBy("accessdate").collect()
+        assert [tuple(r) for r in found] == [("news", "5", *rows[0]), ("news", "g_g-6", *rows[1])]
+
+
+def test_bucketed_tables(spark, folder):
+    rows = spark.range(200).selectExpr("id % 7 AS k", "id AS v")
+    write_bucketed(rows, f"{folder}/it's", "k", 4)
+    write_bucketed(rows.select("v", "k"), f"{folder}/it's", "k", 4, "append")
+    found = read_bucketed(spark, f"{folder}/it's", rows.schema, "k", 4)
+    assert sorted(map(tuple, found.collect())) == sorted(2 * [(n % 7, n) for n in range(200)])
+    write_bucketed(rows.where("v < 3"), f"{folder}/it's", "k", 4)
+    assert read_bucketed(spark, f"{folder}/it's", rows.schema, "k", 4).count() == 3
+    assert not spark.catalog.listTables()

@@ -1,6 +1,7 @@
 """Streams: incremental ingest, once-only landing, restarts, late data, batch equality."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from files import entity_line, event_line, write, write_zip
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from newsflow import schemas
 from newsflow.sinks import runlog
-from newsflow.streaming import feed
+from newsflow.sinks.tables import clear, day_runs, write_dated
+from newsflow.streaming import deltas, feed
 
 URLS = "url string, eventid bigint, gkgid string, batch string, article_id string, ymd string"
 
@@ -45,6 +47,73 @@ def test_ingest_does_not_depend_on_triggers(spark, folder, per_trigger):
     assert "urls: 3; distinct: 2; duplicates: 1" in {r.message for r in log if r.kind == "duplicates export"}
 
 
+def run_deltas(spark, folder, per_trigger=192):
+    lines = feed.read_feed_lines(spark, f"{folder}/in", per_trigger)
+    deltas.ingest_deltas(lines, f"{folder}/deltas", f"{folder}/c2", f"{folder}/runs2").awaitTermination()
+    return current(spark, folder)
+
+
+def current(spark, folder, days=None):
+    found = deltas.current_urls(spark, f"{folder}/deltas", days)
+    return sorted((r.url, r.eventid, r.gkgid, r.batch, r.article_id, r.ymd) for r in found.collect())
+
+
+@pytest.mark.parametrize("per_trigger", [1, 192])
+def test_deltas_merged_on_read(spark, folder, per_trigger):
+    """Equal to days merged anew, before and after a compaction, with late rows and bad lines."""
+    write(f"{folder}/in/20190311214500.export.CSV",
+          "\n".join([event_line(9, "http://a/"), event_line(10, "http://a/"), event_line(3, "http://b/"),
+                     event_line(4, ""), "bad"]) + "\n")
+    write(f"{folder}/in/20190311214500.gkg.csv.gz",
+          entity_line("20190311214500-9", "http://a/") + "\n" + entity_line("20190311214500-10", "http://a/") + "\n")
+    first = [("http://a/", 10, "20190311214500-10", "20190311214500", "10", "20190311"),
+             ("http://b/", 3, "", "20190311214500", "3", "20190311")]
+    assert run_deltas(spark, folder, per_trigger) == first
+    assert run_deltas(spark, folder, per_trigger) == first
+    write(f"{folder}/in/20190311120000.export.CSV", event_line(99, "http://a/") + "\n")  # late, and older
+    write(f"{folder}/in/20190311220000.gkg.csv.gz", entity_line("20190311220000-1", "http://b/") + "\n")
+    write(f"{folder}/in/20190312000000.export.CSV", event_line(7, "http://a/") + "\n")
+    second = run_deltas(spark, folder, per_trigger)
+    anew = run_ingest(spark, folder).collect()
+    assert second == sorted((r.url, r.eventid, r.gkgid, r.batch, r.article_id, r.ymd) for r in anew)
+    assert deltas.compact(spark, f"{folder}/deltas", least_runs=2) == ["20190311"]
+    runs = day_runs(spark, f"{folder}/deltas")
+    assert [r[:5] for r in runs["20190311"]] == ["base-"] and len(runs["20190312"]) == 1
+    assert current(spark, folder) == second
+    assert current(spark, folder, ["20190312"]) == [r for r in second if r[-1] == "20190312"]
+    assert current(spark, folder, ["20200101"]) == []
+    assert deltas.compact(spark, f"{folder}/deltas", least_runs=2) == []
+    log = spark.read.schema(runlog.RUNS_DDL).json(f"{folder}/runs2").collect()
+    assert any("bad_lines: 1" in r.message for r in log)
+
+
+def test_a_compaction_that_ended_halfway(spark, folder):
+    """Base and deltas side by side give the same rows, and the next compaction takes both in."""
+    path, rows = f"{folder}/deltas", [("export", str(n), "http://a/", "20190311000000", "20190311") for n in (9, 10, 8)]
+    for n, row in enumerate(rows):
+        one = spark.createDataFrame([(*row, f"{n:012d}")], deltas.WINNERS)
+        write_dated(one, path, feed.BY_RUN)
+    want = current(spark, folder)
+    assert [r[1] for r in want] == [10]
+    base = spark.createDataFrame([(*rows[1], "base-x")], deltas.WINNERS)
+    write_dated(base, path, feed.BY_RUN)
+    clear(spark, f"{path}/ymd=20190311/run={0:012d}")
+    assert current(spark, folder) == want
+    assert deltas.compact(spark, path, least_runs=2) == ["20190311"] and current(spark, folder) == want
+    assert len(day_runs(spark, path)["20190311"]) == 1
+
+
+def test_a_micro_batch_does_not_touch_landed_days(spark, folder):
+    """Only the partitions of its own run are written."""
+    write(f"{folder}/in/20190311000000.export.CSV", event_line(1, "http://a/") + "\n")
+    run_deltas(spark, folder)
+    before = {f: f.stat().st_mtime_ns for f in Path(f"{folder}/deltas").rglob("*.parquet")}
+    write(f"{folder}/in/20190311001500.export.CSV", event_line(2, "http://a/") + "\n")
+    run_deltas(spark, folder)
+    after = {f: f.stat().st_mtime_ns for f in Path(f"{folder}/deltas").rglob("*.parquet")}
+    assert before.items() <= after.items() and len(after) == len(before) + 1
+
+
 def test_ingest_of_archives(spark, folder):
     write_zip(f"{folder}/in/20190311214500.export.CSV.zip",
               {"20190311214500.export.CSV": [event_line(1, "http://a/")]})
@@ -84,7 +153,7 @@ def test_each_key_lands_once(spark, folder):
 
 
 def test_a_repeated_micro_batch_changes_nothing(spark, folder):
-    feed._ensure_table(spark, f"{folder}/t", feed._with_run(spark.createDataFrame([], ROWS).schema), feed.BY_RUN)
+    feed.ensure_table(spark, f"{folder}/t", feed._with_run(spark.createDataFrame([], ROWS).schema), feed.BY_RUN)
     stored = lambda: sorted(map(tuple, spark.read.schema(STORED).parquet(f"{folder}/t").collect()))
     one = spark.createDataFrame([("a", "20200101")], ROWS)
     two = spark.createDataFrame([("a", "20200101"), ("b", "20200101")], ROWS)
