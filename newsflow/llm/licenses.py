@@ -6,6 +6,10 @@ the gaps between the kept words are aligned the same way. The share of the templ
 words that find a partner is its coverage. Stretches are taken around each occurrence of
 the template's rarest words in the text: of so many that a copy which lacks them all would
 not reach the coverage. So each copy of a repeated license has its own stretches.
+
+Coverage alone does not tell a license from its siblings, which differ in a word or two. The
+words that name a license (its version, its conditions) are its keys: they have to be aligned
+one by one, with nothing put between them.
 """
 
 import re
@@ -61,11 +65,91 @@ TEMPLATES: list[tuple[str, str]] = [
         "list of conditions and the following disclaimer in the documentation and/or other materials "
         "provided with the distribution.",
     ),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: 1. Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT "
+        'HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+        "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE "
+        "ARE DISCLAIMED.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: 1. Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. 3. Neither the name of the copyright holder nor "
+        "the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE "
+        'COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this permission "
+        'notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL '
+        "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY "
+        "AND FITNESS.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+        "copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation; either version "
+        "2 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+        "version 2.1 of the License, or (at your option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Affero General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
 ]
 
+# The words that tell a license from its siblings. Those that a template of the
+# license has must be found whole.
+KEYS: dict[str, list[str]] = {
+    "MIT": ["MIT License"],
+    "Apache-2.0": ["Apache License, Version 2.0"],
+    "GPL-2.0": ["GNU General Public License", "version 2"],
+    "GPL-3.0": ["GNU General Public License", "version 3"],
+    "LGPL-2.1": ["GNU Lesser General Public License", "version 2.1"],
+    "AGPL-3.0": ["GNU Affero General Public License", "version 3"],
+    "BSD-3-Clause": ["nor the names of its contributors may be used to endorse"],
+    "MPL-2.0": ["Mozilla Public License, v. 2.0"],
+    "CC-BY-4.0": ["CC BY 4.0"],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0"],
+    "CC-BY-ND-4.0": ["CC BY-ND 4.0"],
+    "CC-BY-NC-SA-4.0": ["CC BY-NC-SA 4.0"],
+    "CC-BY-NC-ND-4.0": ["CC BY-NC-ND 4.0"],
+}
+
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
@@ -127,32 +211,61 @@ def _unique(words: list[str], start: int, end: int) -> dict[str, int]:
     return {word: place for word, place in places.items() if place >= 0}
 
 
+def key_places(template: list[str], keys: list[str]) -> list[range]:
+    """Where the keys stand in a template; keys that it does not have are left out."""
+    found = []
+    for key in map(words_of, keys):
+        starts = [i for i in range(len(template) - len(key) + 1) if template[i : i + len(key)] == key]
+        found += [range(i, i + len(key)) for i in starts]
+    return found
+
+
+def keys_hold(pairs: list[tuple[int, int]], keys: list[range]) -> bool:
+    """Whether all words of all keys are aligned, those of a key with adjacent words."""
+    at = {place: i for i, place in pairs}
+    return all(
+        key[0] in at and all(at.get(place) == at[key[0]] + place - key[0] for place in key) for key in keys
+    )
+
+
 class Scanner:
     """Finds licenses in one text after the other."""
 
-    def __init__(self, templates: list[tuple[str, str]], coverage: float) -> None:
+    def __init__(
+        self, templates: list[tuple[str, str]], coverage: float, keys: dict[str, list[str]] = KEYS
+    ) -> None:
         self.coverage = coverage
         self.templates = [(name, words) for name, text in templates if (words := words_of(text))]
         self.sets = [frozenset(words) for _, words in self.templates]
         self.places = [_places(words) for _, words in self.templates]
+        self.keys = [key_places(words, keys.get(name, [])) for name, words in self.templates]
+        self.key_words = [
+            frozenset(words[i] for key in found for i in key)
+            for (_, words), found in zip(self.templates, self.keys)
+        ]
         self.vocabulary = frozenset().union(*self.sets)
 
     def scan(self, text: str) -> list[dict]:
-        """Licenses in page order; of those that overlap the best covered, then the longest."""
+        """Licenses in page order; of those that overlap the one with most words found."""
         words = words_of(text)
         present = self.vocabulary.intersection(words)
         spans = []
         places: dict[str, list[int]] | None = None
-        for (name, template), distinct, own in zip(self.templates, self.sets, self.places):
+        parts = zip(self.templates, self.sets, self.places, self.keys, self.key_words)
+        for (name, template), distinct, own, keys, key_words in parts:
+            if not key_words <= present:
+                continue
             here = present & distinct
             if len(here) < len(distinct) and sum(w in here for w in template) < self.coverage * len(template):
                 continue
             if places is None:
                 places = _places(words, present)
-            spans += self._found(name, template, own, words, places)
+            spans += self._found(name, template, own, keys, words, places)
         return sorted(_apart(spans), key=lambda s: s["first"])
 
-    def _found(self, name: str, template: list[str], own: dict, words: list[str], places: dict) -> list[dict]:
+    def _found(
+        self, name: str, template: list[str], own: dict, keys: list[range], words: list[str], places: dict
+    ) -> list[dict]:
         size = len(template)
         slack, wide = 5 + size // 4, 5 + size
         hits = sorted(i for word in own for i in places.get(word, ()))
@@ -172,7 +285,7 @@ class Scanner:
                 if (here & counts).total() < self.coverage * size:
                     continue
                 pairs = align(words[start:end], template)
-                if len(pairs) < self.coverage * size:
+                if len(pairs) < self.coverage * size or not keys_hold(pairs, keys):
                     continue
                 ends = start + pairs[0][0], start + pairs[-1][0]
                 span = {
@@ -211,7 +324,7 @@ class Scanner:
 
 
 def _best_first(span: dict) -> tuple:
-    return -span["coverage"], -span["matched"], span["first"], span["last"], span["license"]
+    return -span["matched"], -span["coverage"], span["first"], span["last"], span["license"]
 
 
 def _disjoint(one: dict, other: dict) -> bool:
@@ -246,9 +359,9 @@ _SPAN = pa.struct(
 )
 
 
-def _scan(templates: list[tuple[str, str]], coverage: float):
+def _scan(templates: list[tuple[str, str]], coverage: float, keys: dict[str, list[str]]):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, coverage)
+        scanner = Scanner(templates, coverage, keys)
         for batch in batches:
             found = [scanner.scan(text) for (text,) in each(batch, "text")]
             yield pa.RecordBatch.from_arrays(
@@ -259,7 +372,10 @@ def _scan(templates: list[tuple[str, str]], coverage: float):
 
 
 def scan_licenses(
-    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, coverage: float = COVERAGE
+    docs: DataFrame,
+    templates: list[tuple[str, str]] = TEMPLATES,
+    coverage: float = COVERAGE,
+    keys: dict[str, list[str]] = KEYS,
 ) -> DataFrame:
     """One row per document: doc_id, license, coverage, licenses.
 
@@ -267,13 +383,13 @@ def scan_licenses(
     coverage; ``license`` and ``coverage`` are those of the best covered one (the first
     of equals), null without any. A copy is found if the words put between those of the
     template are no more than about a quarter of it, or about all of it on either side of
-    words that it keeps. Words are runs of letters and digits, in lower case. A null text
+    words that it keeps, and none are put into its ``keys``. Words are runs of letters and digits, in lower case. A null text
     is empty. Repeated rows are scanned each. Other columns are not looked at. An empty table gives no rows.
     """
     session_of(docs)
     rows = docs.select("doc_id", whole_text().alias("text"))
     found = rows.mapInArrow(
-        _scan(templates, coverage),
+        _scan(templates, coverage, keys),
         "doc_id long, licenses array<struct<license: string, first: bigint, last: bigint, "
         "matched: bigint, coverage: double>>",
     )

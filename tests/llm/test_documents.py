@@ -112,6 +112,16 @@ def test_quality(spark, tricky, nothing):
     assert quality.quality(nothing).count() == 0
 
 
+def test_bands_reach_documents_without_a_shuffle_by_language(spark, monkeypatch):
+    docs = documents(spark)
+    frame = quality.quality(docs)
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    want = {r.doc_id: r.kept for r in frame.collect()}
+    monkeypatch.setattr(quality, "SMALL_TABLE_BYTES", -1)
+    assert {r.doc_id: r.kept for r in quality.quality(docs).collect()} == want
+
+
 def test_questions_to_one_shard_are_dealt_over_salts(spark, monkeypatch):
     monkeypatch.setattr(blocks, "QUESTIONS_PER_TASK", 100)
     rows = [(b, "g", [f"k{(b * 7 + i) % 60:02d}" for i in range(50)], [1] * 50) for b in range(40)]
@@ -190,6 +200,38 @@ def test_license_scan(spark, tricky, nothing):
     assert licenses.scan_licenses(nothing).count() == 0
 
 
+def test_license_siblings_are_told_apart():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+
+    def names(text):
+        return [s["license"] for s in scanner.scan(f"some words before. {text} and some words after")]
+
+    for text in (
+        "Licensed under the BSD License.",
+        "Licensed under CC BY-XX 4.0.",
+        "Licensed under CC BY 3.0.",
+        "This work is licensed under the GNU General Public License, version 1.",
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "Licensed under the Apache License, Version 1.1.",
+    ):
+        assert names(text) == [], text
+    for name, text in licenses.TEMPLATES:
+        assert names(text) == [name], text
+        assert names(text.replace("Licensed", "Released").replace("work", "text"))[:1] == [name], text
+    gpl = next(t for n, t in licenses.TEMPLATES if n == "GPL-3.0" and len(t) > 100)
+    assert names(gpl.replace("version 3", "version 4")) == []
+    assert names("Licensed under CC BY-NC-ND 4.0. Licensed under CC BY 4.0.") == ["CC-BY-NC-ND-4.0", "CC-BY-4.0"]
+
+
+def test_license_keys_are_adjacent():
+    template = licenses.words_of("under the MIT License here")
+    keys = licenses.key_places(template, ["MIT License", "absent words"])
+    assert keys == [range(2, 4)]
+    assert licenses.keys_hold(licenses.align(template, template), keys)
+    for text in ("under the MIT zero License here", "under the License here"):
+        assert not licenses.keys_hold(licenses.align(licenses.words_of(text), template), keys)
+
+
 def test_license_scan_finds_edited_copies():
     mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 200)
     words = licenses.words_of(mit)
