@@ -24,6 +24,8 @@ MOST_REPEATED = 30  # percent of words inside repeated windows
 BELOW, ABOVE = 10.0, 12.0
 # Least median deviation, in nats per word, for languages of few documents.
 LEAST_SPREAD = 0.05
+# Tables of one row per language up to this size are sent to all tasks.
+SMALL_TABLE_BYTES = 8 << 20
 # Grid on which medians are taken, in nats per word.
 _GRID = 0.001
 
@@ -92,6 +94,17 @@ def _median(rows: DataFrame, value: str, name: str) -> DataFrame:
     )
 
 
+def _with_language(rows: DataFrame, table: DataFrame, how: str) -> DataFrame:
+    """Rows with the columns of a stored table that has a few numbers per language.
+
+    Languages are few as a rule; sending their table to the tasks leaves the rows where they
+    are, whatever share of them a language holds. A table of more than ``SMALL_TABLE_BYTES``
+    (measured) is joined by shuffles, where adaptive execution splits hot languages.
+    """
+    size = table.agg(F.sum(F.octet_length("lang") + 64)).first()[0] or 0
+    return rows.join(F.broadcast(table) if size <= SMALL_TABLE_BYTES else table, "lang", how)
+
+
 def quality(docs: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, log_perplexity, kept.
@@ -108,9 +121,9 @@ def quality(docs: DataFrame, below: float = BELOW, above: float = ABOVE) -> Data
         | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")),
     )
     passed = found.where("NOT base_failed")
-    middle = _median(passed, "log_perplexity", "middle")
+    middle = stored(_median(passed, "log_perplexity", "middle"), "medians")
     spread = _median(
-        passed.join(middle, "lang").withColumn("off", F.abs(F.col("log_perplexity") - F.col("middle"))),
+        _with_language(passed, middle, "inner").withColumn("off", F.abs(F.col("log_perplexity") - F.col("middle"))),
         "off",
         "spread",
     )
@@ -120,7 +133,7 @@ def quality(docs: DataFrame, below: float = BELOW, above: float = ABOVE) -> Data
         (F.col("middle") - below * F.col("spread")).alias("low"),
         (F.col("middle") + above * F.col("spread")).alias("high"),
     )
-    judged = found.join(bands, "lang", "left")
+    judged = _with_language(found, stored(bands, "bands"), "left")
     return judged.select(
         "doc_id",
         *B.COUNTS,
