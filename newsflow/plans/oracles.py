@@ -300,6 +300,13 @@ WHERE status = 200 AND gkgid IN (SELECT 'c-' || doc_id FROM labels WHERE quality
     "unseen_anti_join": """
 SELECT doc_id, source, n_chars FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+""",
+    "unseen_by_day_filters": """
+SELECT event_id, user_id, event_type, strftime(ts, '%Y%m%d') AS ymd FROM events e
+WHERE event_type <> 'error' AND NOT EXISTS (
+    SELECT 1 FROM events o
+    WHERE o.event_type = 'error' AND o.user_id = e.user_id AND CAST(o.ts AS DATE) = CAST(e.ts AS DATE)
+)
 """,
     "search_docs": _SEARCH_DOCS,
     "batch_grid": f"WITH {_GRID} SELECT * FROM grid",

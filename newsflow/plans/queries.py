@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from newsflow import schemas
 from newsflow.functions import dates, html, text as texts, urls
-from newsflow.operators import docs, entities, manifest, merge, pages, sketches, stats
+from newsflow.operators import docs, entities, filters, manifest, merge, pages, sketches, stats
 from newsflow.plans import inputs, jobs
 from newsflow.plans.inputs import table, text
 from newsflow.plans.session import ship_package, working_folder
@@ -158,6 +158,19 @@ def sketched_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def unseen_by_day_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of (user, day) pairs without an error, against error events landed by day with a filter each."""
+    path = working_folder(spark, "unseen_by_day_filters")
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("ymd"))
+    write_dated(rows.where("event_type = 'error'"), f"{path}/landed", ("ymd",))
+    landed = spark.read.schema(rows.schema).parquet(f"{path}/landed")
+    filters.write_filters(landed, f"{path}/filters", ["user_id", "ymd"])
+    made = spark.read.schema(filters.FILTERS).parquet(f"{path}/filters")
+    new = rows.where("event_type <> 'error'")
+    return filters.unseen_by_filters(spark, new, f"{path}/landed", rows.schema, made, ["user_id", "ymd"], f"{path}/probed")
+
+
 # --- scalar functions ------------------------------------------------------------------
 
 
