@@ -3,6 +3,7 @@
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 RUNS_DDL = "kind string, started_at string, finished_at string, seconds double, message string"
@@ -33,16 +34,18 @@ def write_observed(
     """Run a write once, collect metrics from the rows that pass through it, log the run.
 
     Where adaptive execution finds out that there is nothing to write it drops the observed
-    plan, and no metrics come: all counts are then zero.
+    plan, and no metrics come: the rows are then counted by a job of their own.
     """
     started = datetime.now(timezone.utc)
     seen = Observation(kind)
-    counted = [column.alias(name) for name, column in metrics.items()]
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counted))
+    counted = [F.count(F.lit(1)).alias("rows"), *[column.alias(name) for name, column in metrics.items()]]
+    write(df.observe(seen, *counted))
     try:
         found = dict(seen.get)
-    except AssertionError:
-        found = dict.fromkeys(["rows", *metrics], 0)
+    except (AssertionError, Py4JJavaError) as missing:
+        if isinstance(missing, Py4JJavaError) and "java.lang.AssertionError" not in str(missing.java_exception):
+            raise
+        found = df.agg(*counted).first().asDict()
     found = {name: 0 if value is None else value for name, value in found.items()}
     message = "; ".join(f"{name}: {value}" for name, value in found.items())
     log_run(df.sparkSession, runs_path, kind, started, message)

@@ -47,6 +47,27 @@ def test_ingest_does_not_depend_on_triggers(spark, folder, per_trigger):
     assert "urls: 3; distinct: 2; duplicates: 1" in {r.message for r in log if r.kind == "duplicates export"}
 
 
+def test_entities_that_land_before_all_events(spark, folder):
+    """A merge without rows, whose observed plan adaptive execution drops."""
+    write(f"{folder}/in/20190311214500.gkg.csv.gz", entity_line("20190311214500-4", "http://a/") + "\n")
+    assert run_ingest(spark, folder).count() == 0
+    write(f"{folder}/in/20190311214500.export.CSV", event_line(1, "http://a/") + "\n")
+    assert [(r.eventid, r.gkgid) for r in run_ingest(spark, folder).collect()] == [(1, "20190311214500-4")]
+    log = spark.read.schema(runlog.RUNS_DDL).json(f"{folder}/runs").collect()
+    assert sorted(r.message for r in log if r.kind.startswith("merged")) == ["rows: 0", "rows: 1"]
+
+
+def test_counts_of_rows_that_a_write_leaves_out(spark, folder):
+    """Nothing is left behind the shuffle, but the rows that came there are counted."""
+    rows = spark.range(100).selectExpr("id", "id % 4 = 0 AS bad", "'20190311' AS ymd")
+
+    def write_none(df):
+        write_dated(df.where("id < 0 OR id + 1 < 0").dropDuplicates(["id"]), f"{folder}/none", ("ymd",))
+
+    found = runlog.write_observed(rows, write_none, f"{folder}/runs", "none", bad=F.sum(F.col("bad").cast("int")))
+    assert found == {"rows": 100, "bad": 25}
+
+
 def run_deltas(spark, folder, per_trigger=192):
     lines = feed.read_feed_lines(spark, f"{folder}/in", per_trigger)
     deltas.ingest_deltas(lines, f"{folder}/deltas", f"{folder}/c2", f"{folder}/runs2").awaitTermination()
