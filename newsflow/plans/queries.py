@@ -821,7 +821,8 @@ def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page job on a stream of fetched pages, once per article."""
     path = working_folder(spark, "stream_pages")
     stream = spark.readStream.schema(table(spark, sf_dir, "pages").schema)
-    rows = inputs.as_fetched(stream.option("pathGlobFilter", "pages.parquet").parquet(sf_dir))
+    # A pattern, as a stream takes a plain path for a folder; the table may be one or a file.
+    rows = inputs.as_fetched(stream.parquet(f"{sf_dir}/[p]ages.parquet"))
     feed.process_new_pages(rows, path, f"{path}/checkpoint", f"{path}/runs").awaitTermination()
     stored = spark.read.schema(schemas.ARTICLE_STATS).parquet(f"{path}/article_stats")
     return stored.select(*schemas.ARTICLE_STATS.names)

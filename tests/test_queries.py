@@ -39,6 +39,15 @@ def test_page_text(spark):
     assert not fetched.text.str.contains("margin:0|track\\(", regex=True).any()
 
 
+def test_stream_pages_of_a_table_of_many_files(spark, folder):
+    """The table may be a folder of part files, next to others that are not read."""
+    rows = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    rows.repartition(3).write.parquet(f"{folder}/pages.parquet")
+    rows.limit(1).selectExpr("page_id AS doc_id").write.parquet(f"{folder}/my_pages.parquet")
+    one_file, many = (sorted(map(repr, QUERIES["stream_pages"](spark, d).collect())) for d in (SF_DIR, folder))
+    assert one_file and many == one_file
+
+
 def test_entry(spark):
     found = entry_module.entry(spark)
     assert found.columns[:4] == ["year", "month", "day", "domain"] and found.count() > 0
