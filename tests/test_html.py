@@ -1,7 +1,9 @@
 """The page parser, its derived columns, and the body-text rules."""
 
+import tracemalloc
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -191,3 +193,17 @@ def test_pages_that_were_not_fetched(spark):
     assert [r.text for r in pages.articles(parsed).collect()] == ["", ""]
     for derived in (pages.links, pages.domains, pages.html_meta, pages.article_stats):
         assert derived(parsed).count() == 0
+
+
+def test_few_results_are_python_objects_at_once(spark, monkeypatch):
+    """A batch is read in slices, so memory follows the slice and not the batch."""
+    monkeypatch.setattr(html, "SLICE_CHARS", 20_000, raising=False)
+    batch = pa.array([*["<p>a" * 1000] * 200, None, "", "<p>b" * 10_000])
+    parse = html.page_parser("blocks").func
+    tracemalloc.start()
+    found = list(parse(iter([batch, pa.array([], pa.string())])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [len(part) for part in found] == [203, 0]
+    assert found[0].to_pylist()[199:] == [html.read_page(h, ("blocks",)) for h in batch.to_pylist()[199:]]
+    assert peak < 15e6  # 200,000 blocks as objects take over 40 MB
