@@ -3,68 +3,30 @@
 The anti-join of ``feed.land_once`` reads the landed days again in every micro-batch. Here
 the keys that have passed are state of the stream: a lookup costs one read of the store for
 each key of the micro-batch, whatever has landed before. A key is forgotten ``keep_days``
-after its time, by an event-time timer, so the store is bounded by the keys of that many
+after its time, by event time, so the store is bounded by the keys of that many
 days; rows that come later than that are left out, as their keys may be forgotten.
 """
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from newsflow.plans.jobs import BY_RUN
 from newsflow.sinks.tables import write_dated
 
-# The store that keeps state outside the heap; the only one that state of this kind works with.
+# The store that keeps state outside the heap.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
-_DAY_MS = 24 * 60 * 60 * 1000
-
-
-def _processor(ts: str, keep_days: int) -> StatefulProcessor:
-    """Passes the first row of a key, marks the key as seen, and forgets it in time.
-
-    A local class, so that it travels whole: the planning of a stream calls it in a worker
-    that cannot import this package.
-    """
-    keep_ms = keep_days * _DAY_MS
-
-    class FirstOfKey(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.handle = handle
-            self.seen = handle.getValueState("seen", "seen boolean")
-
-        def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-            new = not self.seen.exists()
-            for row in rows:
-                if new:
-                    new = False
-                    self.seen.update((True,))
-                    self.handle.registerTimer(int(row[ts].timestamp() * 1000) + keep_ms)
-                    yield row
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-            self.seen.clear()
-            return iter([])
-
-        def close(self) -> None:
-            pass
-
-    return FirstOfKey()
 
 
 def first_of_keys(rows: DataFrame, keys: list[str], ts: str, keep_days: int = 30) -> DataFrame:
     """The first row of each key of a stream. Which of a micro-batch's rows is first is not defined.
 
-    ``ts`` is the time of a row, not null. Rows without a key value are a key of their own.
-    Needs the ``STORE`` provider when the query starts.
+    ``ts`` is the time of a row; a first row without one fails the stream. Rows without a key
+    value are a key of their own. Keys are looked up, kept and forgotten inside the JVM: a
+    Python call for each key would be most of the work.
     """
-    return rows.withWatermark(ts, f"{keep_days} days").groupBy(*keys).transformWithState(
-        statefulProcessor=_processor(ts, keep_days),
-        outputStructType=rows.schema,
-        outputMode="append",
-        timeMode="EventTime",
-    )
+    first = rows.withWatermark(ts, f"{keep_days} days").dropDuplicatesWithinWatermark(keys)
+    return first.withColumn(ts, F.coalesce(ts, F.raise_error(F.lit(f"{ts} is null")).cast("timestamp")))
 
 
 def land_first(

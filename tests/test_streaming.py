@@ -1,5 +1,6 @@
 """Streams: incremental ingest, once-only landing, restarts, late data, batch equality."""
 
+import re
 from datetime import datetime
 from pathlib import Path
 
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from newsflow import schemas
 from newsflow.sinks import runlog
 from newsflow.sinks.tables import clear, day_runs, write_dated
-from newsflow.streaming import deltas, feed
+from newsflow.streaming import deltas, feed, once
 
+PYTHON_STATE = re.compile(r"InPandas|InPySpark|Python", re.IGNORECASE)
 URLS = "url string, eventid bigint, gkgid string, batch string, article_id string, ymd string"
 
 
@@ -211,6 +213,27 @@ def test_pages_are_processed_once(spark, folder):
     assert sorted(r.title for r in stats.collect()) == ["next day", "one", "three"]
 
 
+def test_state_looks_keys_up_without_python_and_forgets_them(spark, folder):
+    schema = "k string, ts timestamp, ymd string"
+    Path(f"{folder}/in").mkdir()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    firsts = once.first_of_keys(stream, ["k"], "ts", 2)
+    assert not PYTHON_STATE.search(firsts._jdf.queryExecution().logical().toString())
+
+    def land(*rows):
+        found = spark.createDataFrame([(k, datetime(2024, 1, day), f"2024010{day}") for k, day in rows], schema)
+        found.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        once.land_first(stream, f"{folder}/out", ["k"], "ts", f"{folder}/c", 2).awaitTermination()
+        landed = spark.read.schema(f"{schema}, run string").parquet(f"{folder}/out")
+        return sorted((r.k or "", r.ts.day) for r in landed.collect())
+
+    first = [("", 1), ("a", 1), ("b", 2)]
+    assert land(("a", 1), ("a", 1), ("b", 2), (None, 1), (None, 1)) == first
+    assert land(("a", 2), ("b", 2), (None, 2)) == first  # after a restart
+    land(("c", 8))  # two days after their time a and b are forgotten
+    assert land(("a", 8), ("b", 1), ("c", 9)) == [*first[:2], ("a", 8), ("b", 2), ("c", 8)]
+
+
 def test_the_watermark_variant_drops_late_rows(spark, folder):
     schema = "k string, ts timestamp"
     batches = [[("a", datetime(2020, 1, 1)), ("a", datetime(2020, 1, 1, 1))],
