@@ -13,26 +13,32 @@ Pages are counted by their own text: copies of a text, and pages that are little
 than a text others have, are one context of a run. Runs stay inside a zone, do not reach
 past the place where their pages part, and take of a block they enter all or nothing.
 
-A host with more than SHARD_TOKENS tokens is dealt into shards by a hash of its pages.
-Thresholds are shares of the pages compared, so a shard finds what its host would.
+Pages are dealt into chunks of about CHUNK_BYTES of a host, pages of equal text into the same
+one, so that the contexts of a run are the sum over the chunks. A run that has a share of the
+contexts of a host has it in one of its chunks at least: each chunk names the runs that it
+finds that often, all chunks of the host count the named ones, and the sums decide. So the
+text does not depend on the number of chunks, and no task holds a large host.
 """
 
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 from html.parser import HTMLParser
 from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import zstandard
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsflow.functions.html import BLOCK_TAGS
+from newsflow.llm.blocks import bucketed, mix64, rows_of
 from newsflow.llm.common import each, session_of, stored
 
 RUN = 8  # tokens; a power of two
-SHARD_TOKENS = 2_000_000
+CHUNK_BYTES = 12_000_000  # of HTML; some two million tokens
 # (pages, share of pages) from which a run is boilerplate: in a marked article, and elsewhere.
 IN_ARTICLE = (10, 0.6)
 ELSEWHERE = (3, 0.05)
@@ -40,6 +46,8 @@ ELSEWHERE = (3, 0.05)
 COPY_IN_ARTICLE, COPY_ELSEWHERE = 0.5, 0.1
 # Pages part at the end of a run if fewer than this share of them go on alike.
 GO_ON = 0.5
+# A run of fewer contexts is boilerplate nowhere.
+LEAST, SHARE = map(min, zip(IN_ARTICLE, ELSEWHERE))
 
 CHROME, ARTICLE, BODY = 0, 1, 2
 _FIRST = 4  # added to the zone of a block's first token
@@ -176,32 +184,51 @@ def _host(url: str | None) -> str:
         return ""
 
 
+def _hosts(url: Column) -> Column:
+    def hosts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([_host(value.as_py()) for value in batch], pa.string())
+
+    return F.arrow_udf(hosts, "string")(url)
+
+
+def _digest(data: bytes) -> int:
+    return int.from_bytes(blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page: its host, and its tokens as 24-bit hashes with zones and block starts, deflated.
+    """Per page: its host, a digest of its text, and its tokens as 24-bit hashes with zones and
+    block starts, deflated. Of pages that a task finds again there is one row.
 
     A run has RUN tokens, so a chance collision of one token is all but harmless.
     """
+    seen: set[int] = set()
     for batch in batches:
-        hosts, sizes, tokens = [], [], []
-        for url, html in each(batch, "url", "html"):
+        hosts, pages, owners, tokens = [], [], [], []
+        for host, page, html in each(batch, "host", "page", "html"):
+            if page in seen:
+                continue
+            seen.add(page)
             blocks = page_blocks(html)
             words = [
                 (w, zone if i else zone | _FIRST) for text, zone in blocks for i, w in enumerate(text.split(" "))
             ]
             hashes = np.fromiter((zlib.crc32(w.encode()) for w, _ in words), np.uint32, len(words))
             zones = np.fromiter((zone for _, zone in words), np.uint8, len(words))
-            hosts.append(_host(url))
-            sizes.append(len(words))
+            wanted = ARTICLE if any(zone == ARTICLE for _, zone in blocks) else BODY
             planes = hashes.view(np.uint8).reshape(-1, 4)[:, :3].T
+            hosts.append(host)
+            pages.append(page)
+            owners.append(_digest(planes[:, zones & (_FIRST - 1) == wanted].tobytes()))
             tokens.append(zlib.compress(planes.tobytes() + zones.tobytes(), 1))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(hosts, pa.string()),
-                batch["page"],
-                pa.array(sizes, pa.int64()),
+                pa.array(pages, pa.int64()),
+                pa.array(owners, pa.int64()),
                 pa.array(tokens, pa.binary()),
             ],
-            names=["host", "page", "size", "tokens"],
+            names=["host", "page", "owner", "tokens"],
         )
 
 
@@ -218,7 +245,7 @@ def sorted_runs(tokens: np.ndarray, pages: np.ndarray) -> tuple[np.ndarray, np.n
     length = 1
     while length < RUN:
         after = np.zeros(n, dtype=np.int64)
-        after[: n - length] = rank[length:] + 1
+        after[: max(n - length, 0)] = rank[length:] + 1
         _, rank = np.unique(rank * (n + 1) + after, return_inverse=True)
         length *= 2
     whole = np.zeros(n, dtype=bool)
@@ -280,65 +307,221 @@ def _covered(at: np.ndarray, least: float, block: np.ndarray) -> np.ndarray:
     return inside | (across & whole[block])
 
 
-def boilerplate(tokens: np.ndarray, zones: np.ndarray, starts: np.ndarray, page: np.ndarray) -> np.ndarray:
-    """Which tokens of a host are boilerplate of their page's text.
+_CHUNK_DDL = "block long, host string, chunks int, pages array<long>, owners array<long>, sizes array<int>, tokens binary"
 
-    ``starts`` marks the first token of each block; ``page`` numbers the page of each
-    token, from 0 and in order.
-    """
-    n = len(tokens)
-    if not n:
-        return np.zeros(0, dtype=bool)
-    pages = int(page[-1]) + 1
-    block = np.cumsum(starts) - 1
-    segment = np.cumsum(np.r_[True, (page[1:] != page[:-1]) | (zones[1:] != zones[:-1])])
-    in_article = np.bincount(page[zones == ARTICLE], minlength=pages) > 0
-    wanted = zones == np.where(in_article[page], ARTICLE, BODY)
-    size = np.bincount(page[wanted], minlength=pages)
-    ends = np.cumsum(size)
-    texts = tokens[wanted]
-    same: dict[bytes, int] = {}
-    owner = np.array(
-        [same.setdefault(texts[e - k : e].tobytes(), len(same)) for k, e in zip(size.tolist(), ends.tolist())],
-        dtype=np.int64,
-    )
 
-    def found() -> np.ndarray:
-        at = contexts(tokens, segment, owner[page])
-        whole = len(np.unique(owner))
-        drop = np.zeros(n, dtype=bool)
-        for zone, (least, share) in ((ARTICLE, IN_ARTICLE), (BODY, ELSEWHERE)):
-            drop |= (zones == zone) & _covered(at, max(least, share * whole), block)
-        return drop & wanted
-
-    drop = found()
-    own = size - np.bincount(page[drop], minlength=pages)
-    copies = (own < np.where(in_article, COPY_IN_ARTICLE, COPY_ELSEWHERE) * size) & (own < size)
-    if copies.any():
-        owner[copies] = len(same)
-        drop = found()
-    return drop
-
-
-def _boilerplate(rows: pa.Table) -> pa.Table:
-    """Tokens to remove from the pages of a shard: page, and their places."""
-    pages, places = [], []
-    # repeated rows are one page
+def _chunk(rows: pa.Table) -> pa.Table:
+    """The pages of a chunk as one row; repeated rows are one page."""
     _, once = np.unique(rows["page"].to_numpy(), return_index=True)
     rows = rows.take(pa.array(np.sort(once)))
     parts = [zlib.decompress(x.as_py()) for x in rows["tokens"]]
-    sizes = np.array([len(x) // 4 for x in parts], dtype=np.int64)
     planes = np.concatenate([np.frombuffer(x, np.uint8).reshape(4, -1) for x in parts], axis=1)
-    low, middle, high = planes[:3].astype(np.uint32)
-    tokens, zones = low | middle << 8 | high << 16, planes[3] & (_FIRST - 1)
-    page = np.repeat(np.arange(len(parts)), sizes)
-    drop = boilerplate(tokens, zones, planes[3] >= _FIRST, page)
-    offsets = np.cumsum(sizes) - sizes
-    for i in np.unique(page[drop]).tolist():
-        own = slice(offsets[i], offsets[i] + sizes[i])
-        pages.append(rows["page"][i].as_py())
-        places.append(np.flatnonzero(drop[own]).astype(np.int32))
-    return pa.table({"page": pa.array(pages, pa.int64()), "places": pa.array(places, pa.list_(pa.int32()))})
+    first = rows.slice(0, 1).to_pylist()[0]
+    return pa.table(
+        {
+            "block": pa.array([first["block"]], pa.int64()),
+            "host": pa.array([first["host"]], pa.string()),
+            "chunks": pa.array([first["chunks"]], pa.int32()),
+            "pages": pa.array([rows["page"].to_pylist()], pa.list_(pa.int64())),
+            "owners": pa.array([rows["owner"].to_pylist()], pa.list_(pa.int64())),
+            "sizes": pa.array([[len(x) // 4 for x in parts]], pa.list_(pa.int32())),
+            "tokens": pa.array([zstandard.ZstdCompressor(level=3).compress(planes.tobytes())], pa.binary()),
+        }
+    )
+
+
+def run_keys(tokens: np.ndarray, segments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit key of the run that starts at each token, and whether it lies in one segment."""
+    n = len(tokens)
+    key = mix64(tokens.astype(np.uint64) + np.uint64(1))
+    length = 1
+    while length < RUN:
+        after = np.zeros(n, dtype=np.uint64)
+        after[: max(n - length, 0)] = key[length:]
+        key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + after)
+        length *= 2
+    whole = np.zeros(n, dtype=bool)
+    if n >= RUN:
+        whole[: n - RUN + 1] = segments[: n - RUN + 1] == segments[RUN - 1 :]
+    return key.view(np.int64), whole
+
+
+class Chunk:
+    """Pages of a host, laid end to end.
+
+    An owner is a text that one page or equal pages have; ``copies`` are the pages whose text
+    is little more than what others have, and all of them have one owner in the host.
+    """
+
+    def __init__(self, row: dict) -> None:
+        self.sizes = np.array(row["sizes"], dtype=np.int64)
+        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), np.uint8)
+        low, middle, high, marks = raw.reshape(4, -1)
+        self.tokens = low.astype(np.uint32) | middle.astype(np.uint32) << 8 | high.astype(np.uint32) << 16
+        self.zones = marks & (_FIRST - 1)
+        self.block = np.cumsum(marks >= _FIRST) - 1
+        self.page = page = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        zones = self.zones
+        self.segment = np.cumsum(np.r_[True, (page[1:] != page[:-1]) | (zones[1:] != zones[:-1])][: len(page)])
+        self.in_article = np.bincount(page[zones == ARTICLE], minlength=len(self.sizes)) > 0
+        self.wanted = zones == np.where(self.in_article[page], ARTICLE, BODY)
+        self.owner = np.unique(np.array(row["owners"], dtype=np.int64), return_inverse=True)[1]
+        self.keys, self.whole = run_keys(self.tokens, self.segment)
+
+    def own(self, copies: np.ndarray) -> int:
+        """Owners without that of the copies."""
+        return len(np.unique(self.owner[~copies]))
+
+    def frequent(self, copies: np.ndarray, chunks: int) -> np.ndarray:
+        """Keys of the runs that may be boilerplate by what this chunk has of them."""
+        owner = np.where(copies, self.owner.max(initial=0) + 1, self.owner)
+        at = contexts(self.tokens, self.segment, owner[self.page])
+        return np.unique(self.keys[(at > 0) & (at >= max(SHARE * self.own(copies), LEAST / chunks))])
+
+    def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens at which one of the sorted keys starts, and the number of the key."""
+        if not len(keys):
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        # most tokens are ruled out by the last bits of their key
+        known = np.zeros(1 << 20, dtype=bool)
+        known[keys & 0xFFFFF] = True
+        at = np.flatnonzero(self.whole & known[self.keys & 0xFFFFF])
+        number = np.minimum(np.searchsorted(keys, self.keys[at]), len(keys) - 1)
+        same = keys[number] == self.keys[at]
+        return at[same], number[same]
+
+    def counts(self, keys: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each key, how many owners have the run, and whether a copy has it."""
+        at, number = self.places(keys)
+        copied = copies[self.page[at]]
+        owners = int(self.owner.max(initial=0)) + 1
+        held = np.unique(number[~copied] * owners + self.owner[self.page[at[~copied]]]) // owners
+        return np.bincount(held, minlength=len(keys)), np.bincount(number[copied], minlength=len(keys)) > 0
+
+    def boilerplate(self, keys: np.ndarray, counts: np.ndarray, whole: int) -> np.ndarray:
+        """Which tokens are boilerplate of their page's text; ``whole`` is the host's owners."""
+        at = np.zeros(len(self.tokens), dtype=np.int64)
+        place, number = self.places(keys)
+        at[place] = counts[number]
+        drop = np.zeros(len(at), dtype=bool)
+        for zone, (least, share) in ((ARTICLE, IN_ARTICLE), (BODY, ELSEWHERE)):
+            drop |= (self.zones == zone) & _covered(at, max(least, share * whole), self.block)
+        return drop & self.wanted
+
+    def copies(self, drop: np.ndarray) -> np.ndarray:
+        """Pages whose text is little more than boilerplate."""
+        size = np.bincount(self.page[self.wanted], minlength=len(self.sizes))
+        own = size - np.bincount(self.page[drop], minlength=len(self.sizes))
+        return (own < np.where(self.in_article, COPY_IN_ARTICLE, COPY_ELSEWHERE) * size) & (own < size)
+
+    def removed(self, drop: np.ndarray) -> list[list[int]]:
+        """The places of tokens to remove from each page."""
+        ends = np.cumsum(self.sizes)
+        found = zip((ends - self.sizes).tolist(), ends.tolist())
+        return [np.flatnonzero(drop[start:end]).tolist() for start, end in found]
+
+
+_TYPES = {
+    "long": pa.int64(),
+    "string": pa.string(),
+    "array<long>": pa.list_(pa.int64()),
+    "array<boolean>": pa.list_(pa.bool_()),
+    "array<array<int>>": pa.list_(pa.list_(pa.int32())),
+}
+
+
+def _per_chunk(rows: DataFrame, answer: Callable[..., dict], **columns: str) -> DataFrame:
+    """A row per chunk: block, host, and the columns that ``answer`` gives.
+
+    It gets the chunk, the row, the keys and counts of runs that came with it, and its copies.
+    """
+    columns = {"block": "long", "host": "string"} | columns
+    schema = pa.schema([(name, _TYPES[kind]) for name, kind in columns.items()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            keys, counts = (np.array(row.get(name) or [], dtype=np.int64) for name in ("keys", "counts"))
+            copies = np.array(row.get("copies") or [False] * len(row["pages"]), dtype=bool)
+            found = answer(Chunk(row), row, keys, counts, copies)
+            found |= {"block": row["block"], "host": row["host"]}
+            yield pa.RecordBatch.from_pylist([found], schema=schema)
+
+    return rows.mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in columns.items()))
+
+
+def _named(chunk: Chunk, row: dict, keys: np.ndarray, counts: np.ndarray, copies: np.ndarray) -> dict:
+    return {"whole": chunk.own(copies), "keys": chunk.frequent(copies, row["chunks"])}
+
+
+def _counted(chunk: Chunk, row: dict, keys: np.ndarray, counts: np.ndarray, copies: np.ndarray) -> dict:
+    own, copied = chunk.counts(keys, copies)
+    held = (own > 0) | copied
+    return {"keys": keys[held], "counts": own[held], "copied": copied[held]}
+
+
+def _decided(chunk: Chunk, row: dict, keys: np.ndarray, counts: np.ndarray, copies: np.ndarray) -> dict:
+    drop = chunk.boilerplate(keys, counts, row["whole"])
+    copies = chunk.copies(drop)
+    again = chunk.frequent(copies, row["chunks"]) if copies.any() else []
+    found = {"pages": row["pages"], "places": chunk.removed(drop), "copies": copies}
+    return found | {"whole": chunk.own(copies), "keys": again}
+
+
+def _told(blocks: DataFrame, whole: DataFrame, runs: DataFrame, *others: DataFrame) -> DataFrame:
+    """Chunks of the hosts in ``whole`` (host, block, whole) with their host's runs (host, key,
+    count), in the order of the keys. Chunks are bucketed by block: what they are told moves."""
+    pairs = F.sort_array(F.collect_list(F.struct("key", "count")))
+    lists = runs.groupBy("host").agg(pairs.alias("runs"))
+    lists = lists.select("host", F.col("runs.key").alias("keys"), F.col("runs.count").alias("counts"))
+    told = blocks.join(whole.join(lists, "host", "left").drop("host"), "block")
+    for other in others:
+        told = told.join(other, "block")
+    return told
+
+
+def _totals(told: DataFrame, whole: DataFrame) -> DataFrame:
+    """Contexts in the whole host of the runs that chunks were asked for: host, key, count."""
+    found = _per_chunk(told, _counted, keys="array<long>", counts="array<long>", copied="array<boolean>")
+    rows = found.select("host", F.explode(F.arrays_zip("keys", "counts", "copied")).alias("run"))
+    count = F.sum("run.counts") + F.max(F.col("run.copied").cast("int"))  # copies have one owner
+    summed = rows.groupBy("host", F.col("run.keys").alias("key")).agg(count.alias("count"))
+    often = (F.col("count") >= LEAST) & (F.col("count") >= F.floor(SHARE * F.col("whole")))
+    summed = summed.join(whole.select("host", "whole").distinct(), "host").where(often)
+    return stored(summed.select("host", "key", "count"), "run-totals")
+
+
+def _whole(chunks: DataFrame, copies: int) -> DataFrame:
+    """The owners of each chunk's host: host, block, whole."""
+    sums = chunks.groupBy("host").agg((F.sum("whole") + copies).alias("whole"))
+    return chunks.select("host", "block").join(sums, "host")
+
+
+def _removed(blocks: DataFrame) -> DataFrame:
+    """Tokens to remove from the pages: page, and their places.
+
+    Runs are counted, and then once more in hosts that have copies, with one owner for all.
+    """
+
+    def asked(chunks: DataFrame) -> DataFrame:
+        return chunks.select("host", F.explode("keys").alias("key")).distinct().withColumn("count", F.lit(0))
+
+    named = stored(_per_chunk(blocks, _named, whole="long", keys="array<long>"), "named-runs")
+    whole = _whole(named, 0)
+    totals = _totals(_told(blocks, whole, asked(named)), whole)
+    decided = {"pages": "array<long>", "places": "array<array<int>>"}
+    more = {"copies": "array<boolean>", "whole": "long", "keys": "array<long>"}
+    first = stored(_per_chunk(_told(blocks, whole, totals), _decided, **decided, **more), "boilerplate-first")
+
+    copied = first.where(F.exists("copies", lambda copy: copy)).select("host").distinct()
+    of_copied = first.join(copied, "host", "left_semi")
+    whole = _whole(of_copied, 1)
+    keys = named.select("host", "keys").join(copied, "host", "left_semi").unionByName(of_copied.select("host", "keys"))
+    totals = _totals(_told(blocks, whole, asked(keys), of_copied.select("block", "copies")), whole)
+    second = _per_chunk(_told(blocks, whole, totals), _decided, **decided, **more)
+    found = first.join(copied, "host", "left_anti").unionByName(second)
+    each_page = found.select(F.explode(F.arrays_zip("pages", "places")).alias("found"))
+    each_page = each_page.select(F.col("found.pages").alias("page"), F.col("found.places").alias("places"))
+    return stored(each_page.where(F.size("places") > 0), "boilerplate")
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,28 +557,23 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     session_of(pages)
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("page", F.xxhash64("page_id", "url", "html"))
-    streams = stored(
-        rows.select("url", "html", "page").mapInArrow(
-            _streams, "host string, page long, size long, tokens binary"
-        ),
-        "token-streams",
-    )
-    # Hosts of one shard are left out, so this is small unless the corpus has many large
+    rows = rows.withColumn("host", _hosts(F.col("url"))).withColumn("page", F.xxhash64("host", "html"))
+    # Hosts of one chunk are left out, so this is small unless the corpus has many large
     # hosts; its size is known once it is written, and Spark joins by it.
-    hosts = streams.groupBy("host").agg(F.sum("size").alias("whole"))
+    hosts = rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("whole"))
     large = stored(
-        hosts.where(F.col("whole") > SHARD_TOKENS).select(
-            "host", F.ceil(F.col("whole") / SHARD_TOKENS).cast("int").alias("shards")
+        hosts.where(F.col("whole") > CHUNK_BYTES).select(
+            "host", F.ceil(F.col("whole") / CHUNK_BYTES).cast("int").alias("chunks")
         ),
         "large-hosts",
     )
-    shard = F.pmod("page", F.coalesce("shards", F.lit(1))).cast("int")
-    dealt = streams.join(large, "host", "left").select("host", shard.alias("shard"), "page", "tokens")
-    removed = stored(
-        dealt.groupBy("host", "shard").applyInArrow(_boilerplate, "page long, places array<int>"),
-        "boilerplate",
+    streams = rows.select("host", "page", "html").mapInArrow(
+        _streams, "host string, page long, owner long, tokens binary"
     )
+    dealt = streams.join(large, "host", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    block = F.xxhash64("host", F.pmod("owner", "chunks"))
+    dealt = dealt.select(block.alias("block"), "host", "chunks", "page", "owner", "tokens")
+    removed = _removed(bucketed(dealt.groupBy("block").applyInArrow(_chunk, _CHUNK_DDL), "block"))
     return (
         rows.join(removed, "page", "left")
         .select("page_id", "url", "html", "places")

@@ -96,3 +96,35 @@ def test_copies_of_an_article_stay(spark):
         want[i] = f"The {text(f'own{i}x', 30)}"
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r.page_id: r.text for r in main_text.main_text(pages).collect()} == want
+
+
+def many_pages(spark):
+    """Hosts with menus of several shares, copies and near copies; some with three tokens at most."""
+    random_ = random.Random(4)
+    words = lambda name, n: " ".join(f"{name}{j}" for j in range(n))
+    rows = []
+    for i in range(240):
+        menu, rare = words("menu", 12), words("rare", 10) if i < 16 else words("seldom", 10) if i < 27 else ""
+        story = words("story", 60) + f" tail{i % 7}" if i % 3 == 0 else words(f"own{i}x", 40)
+        body = f"<div>{menu}</div><div>{rare} {story}</div><div>{random_.choice(['', menu, words('foot', 9)])}</div>"
+        article = f"<article><p>{story}</p><p>{words('share', 14) if i % 5 else ''}</p></article>"
+        rows.append((i, "http://plain/x", body))
+        rows.append((1000 + i, "http://marked/x", article))
+        rows.append((2000 + i, "http://mixed/x", body if i % 2 else article))
+    rows += [(3000 + i, f"http://{i}/x", "<p>one two three") for i in range(3)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_the_text_does_not_depend_on_the_number_of_chunks(spark, monkeypatch):
+    pages = many_pages(spark).cache()
+
+    def texts():
+        return {r.page_id: r.text for r in main_text.main_text(pages).collect()}
+
+    whole = texts()
+    marked = {r.page_id: "\n".join(t for t, z in page_blocks(r.html) if z in (ARTICLE, BODY)) for r in pages.collect()}
+    assert not any("menu0 " in whole[i] for i in range(240)) and sum(whole[i] != marked[i] for i in whole) > 400
+    assert whole[3000] == "one two three"
+    for name, size in (("CHUNK_BYTES", 40_000), ("CHUNK_BYTES", 9_000)):
+        monkeypatch.setattr(main_text, name, size)
+        assert texts() == whole
