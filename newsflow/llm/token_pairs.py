@@ -20,6 +20,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -111,11 +112,17 @@ class Vocabulary:
         if len(self.kept) > KEPT_WORDS:
             self.kept.clear()
             self.unspelled.clear()
-        new = sorted(set().union(*cut).difference(self.kept))
-        for word, ids in zip(new, self.encode_words(new)):
-            self.kept[word] = np.array(ids, dtype=np.int32).tobytes()
-            if not self._spells(ids, word.encode()):
-                self.unspelled.add(word)
+        new = list(set().union(*cut).difference(self.kept))
+        found = self.encode_words(new)
+        ends = np.cumsum([0, *map(len, found)])
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]))
+        packed, at = ids.tobytes(), (ids.itemsize * ends).tolist()
+        self.kept.update((word, packed[s:e]) for word, s, e in zip(new, at, at[1:]))
+        # All words are checked at once: their bytes in one row, and where each word ends.
+        sizes = np.diff(np.cumsum(np.append(0, self.lengths[ids]))[ends])
+        words = [word.encode() for word in new]
+        if sizes.tolist() != [*map(len, words)] or not self._spells(ids.tolist(), b"".join(words)):
+            self.unspelled.update(word for word, own in zip(new, found) if not self._spells(own, word.encode()))
 
 
 def _byte_letters() -> dict[str, int]:
@@ -143,7 +150,7 @@ def byte_level(data: bytes) -> Vocabulary:
         pieces[number] = bytes(letters[c] for c in piece) if all(c in letters for c in piece) else piece.encode()
 
     def encode_words(words: list[str]) -> list[list[int]]:
-        return [found.ids for found in tokenizer.encode_batch(words, add_special_tokens=False)]
+        return [found.ids for found in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def encode(texts: list[str]) -> list[list[int]]:
         return encode_words([" " + text for text in texts])

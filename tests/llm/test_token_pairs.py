@@ -161,3 +161,25 @@ def test_words_give_the_ids_of_whole_texts():
         for text, ids, found in zip(plain, side.encode(plain), side.tokens(plain)):
             if text:
                 assert found.ids.tolist() == ids
+
+
+def test_new_words_are_checked_at_once(monkeypatch):
+    pieces = [b"a", b"b", b"c", b" "]
+    wrong = {"ab": "a", "c": "bc", "ba": "ca"}  # the first two spell the same bytes together
+
+    def ids(words):
+        return [["abc ".index(letter) for letter in wrong.get(word, word)] for word in words]
+
+    calls = []
+    check = token_pairs.Vocabulary._spells
+    monkeypatch.setattr(token_pairs.Vocabulary, "_spells", lambda *args: calls.append(1) or check(*args))
+
+    def side():
+        return token_pairs.Vocabulary(pieces, lambda texts: ids([" " + t for t in texts]), lambda t: f" {t}".split(" ")[1:], ids)
+
+    right, some = side(), side()
+    assert [t.ids.tolist() for t in right.tokens(["aa bb cc acb", "", "bb aa"])] == [[0, 0, 1, 1, 2, 2, 0, 2, 1], [], [1, 1, 0, 0]]
+    assert len(calls) == 1 and not right.unspelled
+    found = some.tokens(["aa", "aa ab c", "ba bb", "bb cc"])
+    assert [None if t is None else t.ids.tolist() for t in found] == [[0, 0], None, None, [1, 1, 2, 2]]
+    assert some.unspelled == {"ab", "c", "ba"}
