@@ -8,6 +8,9 @@ partition by a heap, frame by frame, and adds up the counts of each pair. Runs a
 order of the first id, so each id's highest count is known when the next id comes. Counts
 and marks then stream back to the blocks, in the order in which each block holds its pairs.
 
+Texts are cut into chunks where no token of either side crosses. Both sides end there, so a
+chunk's links and groups are the same in every text, and a frequent chunk is aligned once.
+
 A block counts a pair once per document before anything is shuffled, so a pair that all
 documents hold costs one entry per block. A radix partition's merged pairs are bounded by
 the two vocabularies.
@@ -19,6 +22,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from hashlib import sha256
 from itertools import chain
 
@@ -39,7 +43,7 @@ RADIX = 64
 # Pairs in a frame of a run; runs that a task merges at once; blocks that one task answers.
 FRAME_PAIRS, FAN_IN, ANSWERED = 4096, 256, 1024
 # Characters given to a tokenizer at once.
-_BATCH_CHARS = 250_000
+_BATCH_CHARS = 500_000
 _SECOND_BITS = 32
 _U = np.uint64
 
@@ -63,6 +67,17 @@ _WORD = re.compile(
 )
 # Distinct words whose ids a task keeps.
 KEPT_WORDS = 400_000
+# A chunk begins at a space behind one of !-~, or at a mark behind a letter, all of ASCII. The
+# pattern of byte-level vocabularies cuts there whatever surrounds it; that no entry of either
+# vocabulary has such a place inside is looked up.
+_MARK = r"!-/:-@\[-`{-~"
+_CHUNK = re.compile(rf"[ {_MARK}][^ {_MARK}]*+(?:(?:(?<![A-Za-z])[{_MARK}]|(?<![!-~]) )[^ {_MARK}]*+)*+(?: ++\Z)?+")
+_INSIDE = re.compile(rf"[!-~] |[A-Za-z][{_MARK}]".encode())
+# A chunk that any other may follow.
+_STEM = " a"
+# Distinct chunks and characters that a worker keeps, and once more of those it kept before;
+# texts of longer chunks, on average, are read whole.
+KEPT_CHUNKS, KEPT_CHARS, LONG_CHUNK = 150_000, 3_000_000, 50
 
 
 class Vocabulary:
@@ -78,8 +93,11 @@ class Vocabulary:
         encode: Callable[[list[str]], list[list[int]]],
         words: Callable[[str], list[str]] | None = None,
         encode_words: Callable[[list[str]], list[list[int]]] | None = None,
+        controls: frozenset[int] = frozenset(),
     ) -> None:
         self.pieces = pieces
+        # Ids of control strings aside, which no text has, no token crosses chunks.
+        self.chunked = not any(_INSIDE.search(p) for i, p in enumerate(pieces) if i not in controls)
         self.lengths = np.array([len(p) for p in pieces], dtype=np.int64)
         self.encode, self.words, self.encode_words = encode, words, encode_words
         self.kept: dict[str, bytes] = {}  # packed ids
@@ -90,9 +108,8 @@ class Vocabulary:
         plain = [i for i, text in enumerate(texts) if self.words and _PLAIN.fullmatch(text)]
         others = sorted(set(range(len(texts))) - set(plain))
         found: list[Tokens | None] = [None] * len(texts)
-        for i, ids in zip(others, self.encode([texts[i] for i in others])):
-            if self._spells(ids, b" " + texts[i].encode()):
-                found[i] = self._tokens(np.array(ids, dtype=np.int64))
+        for i, own in zip(others, self.whole([texts[i] for i in others])):
+            found[i] = own
         cut = [self.words(texts[i]) for i in plain]
         if cut:
             self._learn(cut)
@@ -102,6 +119,13 @@ class Vocabulary:
                 found[i] = self._tokens(ids.astype(np.int64))
         return found
 
+    def whole(self, texts: list[str]) -> list[Tokens | None]:
+        """As ``tokens``, of texts that are encoded in one piece."""
+        return [
+            self._tokens(np.array(ids, dtype=np.int64)) if self._spells(ids, b" " + text.encode()) else None
+            for text, ids in zip(texts, self.encode(texts))
+        ]
+
     def _tokens(self, ids: np.ndarray) -> Tokens:
         return Tokens(ids, np.cumsum(self.lengths[ids]))
 
@@ -155,7 +179,8 @@ def byte_level(data: bytes) -> Vocabulary:
     def encode(texts: list[str]) -> list[list[int]]:
         return encode_words([" " + text for text in texts])
 
-    return Vocabulary(pieces, encode, lambda text: _WORD.findall(" " + text), encode_words)
+    controls = frozenset(t["id"] for t in described["added_tokens"] if t["special"])
+    return Vocabulary(pieces, encode, lambda text: _WORD.findall(" " + text), encode_words, controls)
 
 
 def piece_level(data: bytes) -> Vocabulary:
@@ -172,7 +197,8 @@ def piece_level(data: bytes) -> Vocabulary:
     def encode(texts: list[str]) -> list[list[int]]:
         return model.encode(texts, num_threads=1)
 
-    return Vocabulary(pieces, encode)
+    controls = frozenset(i for i in range(len(pieces)) if model.is_control(i) or model.is_unknown(i))
+    return Vocabulary(pieces, encode, controls=controls)
 
 
 class Writer:
@@ -181,9 +207,11 @@ class Writer:
     def __init__(self, first: int, second: int) -> None:
         # a token's number, then what follows it inside its side of a group and at its end
         self.texts = [f"{i}{end}" for ends, n in ((",|", first), (",;", second)) for i in range(n) for end in ends]
+        self.sizes = np.array([len(text) for text in self.texts])
         self.offset = 2 * first
 
-    def digest(self, a: Tokens, b: Tokens, common: np.ndarray) -> str:
+    def written(self, a: Tokens, b: Tokens, common: np.ndarray) -> tuple[str, np.ndarray]:
+        """The text of all groups, with a mark too many, and where in it the text of each token ends."""
         ends_a, ends_b = (np.zeros(len(side.ids), dtype=np.int64) for side in (a, b))
         ends_a[np.searchsorted(a.ends, common)] = 1
         ends_b[np.searchsorted(b.ends, common)] = 1
@@ -194,7 +222,7 @@ class Writer:
         # before a token: its own side's tokens, and the other side's in earlier groups (B: in its own, too)
         order[np.arange(len(a.ids)) + (np.cumsum(sizes_b) - sizes_b)[group_a]] = 2 * a.ids + ends_a
         order[np.arange(len(b.ids)) + np.cumsum(sizes_a)[group_b]] = self.offset + 2 * b.ids + ends_b
-        return sha256("".join(map(self.texts.__getitem__, order.tolist()))[:-1].encode()).hexdigest()
+        return "".join(map(self.texts.__getitem__, order.tolist())), np.cumsum(self.sizes[order])
 
 
 def aligned(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
@@ -284,25 +312,140 @@ def _encoded(texts: list[str], a: Vocabulary, b: Vocabulary) -> Iterator[tuple[T
         yield None if not text or one is None or other is None else (one, other)
 
 
+@dataclass
+class Aligned:
+    """What both sides make of one text."""
+
+    n_a: int
+    n_groups: int
+    pairs: np.ndarray
+    groups: str  # with a mark too many
+
+
+class Aligner:
+    """Aligns texts chunk by chunk; what is known of a chunk is kept."""
+
+    def __init__(self, a: Vocabulary, b: Vocabulary) -> None:
+        self.a, self.b = a, b
+        self.writer = Writer(len(a.pieces), len(b.pieces))
+        # Of each chunk: tokens of A, groups, pairs and group strings; None if a side does not spell it.
+        self.kept: dict[str, tuple[int, int, bytes, str] | None] = {}
+        self.before = self.kept
+        self.chars = 0
+
+    def align(self, texts: list[str]) -> Iterator[Aligned]:
+        """Each text aligned; empty where a side does not spell a space and the text."""
+        cut = [self._chunks(text) for text in texts]
+        known = self._known(set().union(*cut))
+        apart = {chunk for chunk, found in known.items() if found is None}
+        whole = [i for i, chunks in enumerate(cut) if not chunks or apart and not apart.isdisjoint(chunks)]
+        read = dict(zip(whole, _encoded([texts[i] for i in whole], self.a, self.b)))
+        for i in read:
+            cut[i] = []
+        for i, joined in enumerate(_joined(cut, {chunk: found for chunk, found in known.items() if found is not None})):
+            if read.get(i) is not None:
+                pairs, common = aligned(*read[i])
+                joined = Aligned(len(read[i][0].ids), len(common), pairs, self.writer.written(*read[i], common)[0])
+            yield joined
+
+    def _chunks(self, text: str) -> list[str]:
+        """The chunks of a space and a text, or none if it is read whole."""
+        chunks = _CHUNK.findall(" " + text) if text and self.a.chunked and self.b.chunked else []
+        return chunks if len(text) <= LONG_CHUNK * len(chunks) else []
+
+    def _known(self, chunks: set[str]) -> dict[str, tuple[int, int, bytes, str] | None]:
+        """What is known of chunks. Those that did not come for long are forgotten."""
+        if len(self.kept) > KEPT_CHUNKS or self.chars > KEPT_CHARS:
+            self.kept, self.before, self.chars = {}, self.kept, 0
+        missing = chunks.difference(self.kept)
+        self.chars += sum(map(len, missing))
+        new = missing.difference(self.before)
+        self.kept.update((chunk, self.before[chunk]) for chunk in missing.difference(new))
+        # New chunks are read as one text. Behind those that only end a text nothing may follow.
+        last = [chunk for chunk in new if not "!" <= chunk[-1] <= "~"]
+        inner = [word for chunk in new.difference(last) for word in _led(chunk)]
+        apart = self._read([inner] if inner else [])
+        self._read([_led(chunk) for chunk in chain(last, dict.fromkeys(apart))])
+        return dict(zip(chunks, map(self.kept.__getitem__, chunks)))
+
+    def _read(self, runs: list[list[str]]) -> list[str]:
+        """Keeps what is known of the chunks of each run. Those of runs that are not spelled come back.
+
+        The last of them is kept as one that is not, for a run of that chunk alone.
+        """
+        texts = ["".join(run)[1:] for run in runs]
+        apart = []
+        for run, text, a, b in zip(runs, texts, self.a.whole(texts), self.b.whole(texts)):
+            if a is not None and b is not None:
+                pairs, common = aligned(a, b)
+                sizes = map(len, run) if text.isascii() else (len(chunk.encode()) for chunk in run)
+                ends = np.cumsum([*sizes])
+                n_a, n_b, n_groups = (np.searchsorted(own, ends, side="right") for own in (a.ends, b.ends, common))
+                if np.array_equal(common[n_groups - 1], ends):
+                    written, at = self.writer.written(a, b, common)
+                    own_pairs = _slices(pairs.tobytes(), pairs.itemsize * (n_a + n_b - n_groups))
+                    own_groups = _slices(written, at[n_a + n_b - 1])
+                    counts = (np.diff(n, prepend=0).tolist() for n in (n_a, n_groups))
+                    self.kept.update(zip(run, zip(*counts, own_pairs, own_groups)))
+                    continue
+            self.kept[run[-1]] = None
+            apart += run
+        return apart
+
+
+def _joined(cut: list[list[str]], known: dict[str, tuple[int, int, bytes, str]]) -> Iterator[Aligned]:
+    """Texts from what is known of their chunks."""
+    n_a, n_groups, packed, groups = zip(*known.values()) if known else ((), (), (), ())
+    number = dict(zip(known, range(len(known))))
+    at = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64)
+    bounds = np.cumsum([0, *map(len, cut)])
+    pairs = np.frombuffer(b"".join(packed), dtype=_U)
+    sizes = np.array([*map(len, packed)], dtype=np.int64) // pairs.itemsize
+    first, size = (np.cumsum(sizes) - sizes)[at], sizes[at]
+    ends = np.cumsum(size)
+    pairs = pairs[np.repeat(first - ends + size, size) + np.arange(size.sum())]
+    tokens, shared, links = (
+        np.append(0, np.cumsum(np.array(n, dtype=np.int64)[at]))[bounds].tolist() for n in (n_a, n_groups, sizes)
+    )
+    written = dict(zip(known, groups))
+    for i, chunks in enumerate(cut):
+        own = pairs[links[i] : links[i + 1]]
+        yield Aligned(tokens[i + 1] - tokens[i], shared[i + 1] - shared[i], own, "".join(map(written.__getitem__, chunks)))
+
+
+def _led(chunk: str) -> list[str]:
+    """A chunk behind one that it may follow."""
+    return [chunk] if chunk[0] == " " else [_STEM, chunk]
+
+
+def _slices(whole: bytes | str, ends: np.ndarray) -> list:
+    """What lies between one end and the next."""
+    at = [0, *ends.tolist()]
+    return [whole[s:e] for s, e in zip(at, at[1:])]
+
+
+@lru_cache(maxsize=1)
+def _aligner(first: bytes, second: bytes) -> Aligner:
+    """The tasks that a Python worker runs one after another share what is known of chunks."""
+    return Aligner(byte_level(first), piece_level(second))
+
+
 def _cut(first: bytes, second: bytes):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = byte_level(first), piece_level(second)
-        writer = Writer(len(a.pieces), len(b.pieces))
+        aligner = _aligner(first, second)
         number = TaskContext.get().partitionId() << 32
         docs, links, size = [], [], 0
         for doc_ids, texts in _portions(batches):
-            for doc_id, found in zip(doc_ids, _encoded(texts, a, b)):
-                pairs, digest, common = np.empty(0, dtype=_U), "", ()
-                n_a = n_b = 0
-                if found is not None:
-                    pairs, common = aligned(*found)
-                    digest = writer.digest(*found, common)
-                    n_a, n_b = len(found[0].ids), len(found[1].ids)
+            for doc_id, found in zip(doc_ids, aligner.align(texts)):
+                pairs = found.pairs
                 if docs and (size + len(pairs) > BLOCK_LINKS or len(docs) == BLOCK_DOCS):
                     yield _block(number, docs, links)
                     number += 1
                     docs, links, size = [], [], 0
-                counts = dict(zip(_DOC_FIELDS, (n_a, n_b, len(common), len(pairs))))
+                # Each end of either side ends a link, and those that both share are groups' ends.
+                n_b = len(pairs) + found.n_groups - found.n_a
+                digest = sha256(found.groups[:-1].encode()).hexdigest() if found.groups else ""
+                counts = dict(zip(_DOC_FIELDS, (found.n_a, n_b, found.n_groups, len(pairs))))
                 docs.append({"doc_id": doc_id, **counts, "groups_sha256": digest})
                 links.append(pairs)
                 size += len(pairs)

@@ -183,3 +183,61 @@ def test_new_words_are_checked_at_once(monkeypatch):
     found = some.tokens(["aa", "aa ab c", "ba bb", "bb cc"])
     assert [None if t is None else t.ids.tolist() for t in found] == [[0, 0], None, None, [1, 1, 2, 2]]
     assert some.unspelled == {"ab", "c", "ba"}
+
+
+def libraries():
+    return token_pairs.byte_level(token_pairs.read_file(token_pairs.BYTE_BPE)), token_pairs.piece_level(token_pairs.read_file(token_pairs.PIECE_BPE))
+
+
+def test_chunks_give_what_whole_texts_give(monkeypatch):
+    monkeypatch.setattr(token_pairs, "KEPT_CHUNKS", 300)
+    a, b = libraries()
+    aligner, read = token_pairs.Aligner(a, b), []
+    monkeypatch.setattr(token_pairs, "_encoded", lambda texts, *_: [read.append(t) or pair(t) for t in texts])
+    rng = np.random.default_rng(7)
+    parts = [*"aZé日🎉 ▁", *"    \n\t\r\x85\xa0\u3000\x1c\x00\u0301\u200b", *"'(.,;_-<>~!19", "'s", "'ll", "the", "ing", " of", " don't", ");\r\n", "<|endoftext|>", "<s>", "<0x41>"]
+
+    def pair(text):
+        sides = [side.whole([text])[0] for side in (a, b)]
+        return None if not text or None in sides else sides
+
+    spelled = 0
+    for _ in range(60):
+        odds = np.array([0.02 if p == "▁" else 1 for p in parts])
+        texts = ["".join(rng.choice(parts, rng.integers(0, 40), p=odds / odds.sum())) for _ in range(20)] + ["x" * 200, "", "a "]
+        for text, found in zip(texts, aligner.align(texts)):
+            sides = pair(text)
+            if sides is None:
+                assert (found.n_a, found.n_groups, len(found.pairs), found.groups) == (0, 0, 0, "")
+                continue
+            spelled += 1
+            pairs, common = token_pairs.aligned(*sides)
+            assert found.pairs.tolist() == pairs.tolist() and (found.n_a, found.n_groups) == (len(sides[0].ids), len(common))
+            assert found.groups == aligner.writer.written(*sides, common)[0]
+    assert spelled > 1000 and aligner.before is not aligner.kept
+    assert {t for t in read if "▁" not in t} == {"x" * 200, ""}
+
+
+def test_frequent_words_are_encoded_once(monkeypatch):
+    import pyarrow as pa
+
+    seen, sides = [], libraries()
+    for side in sides:
+        monkeypatch.setattr(side, "encode", lambda texts, encode=side.encode: seen.extend(texts) or encode(texts))
+    monkeypatch.setattr(token_pairs, "byte_level", lambda _: sides[0])
+    monkeypatch.setattr(token_pairs, "piece_level", lambda _: sides[1])
+    monkeypatch.setattr(token_pairs, "TaskContext", type("Task", (), {"get": classmethod(lambda c: c), "partitionId": lambda: 0}))
+    text = "These words, and these; come in (every) text. "
+    rows = pa.RecordBatch.from_pydict({"doc_id": [*range(2500)], "text": [text * 3] * 2500})
+    blocks = [row for batch in token_pairs._cut(b"", b"")(iter([rows])) for row in batch.to_pylist()]
+    assert sum(len(row["docs"]) for row in blocks) == 2500 and len({d["groups_sha256"] for row in blocks for d in row["docs"]}) == 1
+    assert sum(map(len, seen)) < 1000
+
+
+def test_vocabularies_with_entries_across_chunks_are_not_cut():
+    def side(pieces, **controls):
+        return token_pairs.Vocabulary(pieces, lambda texts: [[] for _ in texts], **controls)
+
+    assert side([b" a", b"ing", b"\xc3(", b"1.", b" (a"]).chunked
+    assert not side([b"a b"]).chunked and not side([b". "]).chunked and not side([b"a("]).chunked
+    assert side([b"<s>"], controls=frozenset([0])).chunked
